@@ -62,7 +62,12 @@ def main() -> None:
         if name not in sql:
             print(f"----  {name}: {len(mine)} rows, no SQL, {spent:.2f}s")
             continue
-        result = connection.execute(sql[name])
+        try:
+            result = connection.execute(sql[name])
+        except duckdb.Error as error:
+            print(f"FAIL  {name}: {error}")
+            failed.append(name)
+            continue
         columns = [column[0] for column in result.description]
         theirs = canonical(columns, result.fetchall())
         wrong = differences(mine, theirs)

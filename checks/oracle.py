@@ -470,11 +470,11 @@ SELECT {DIRTY_COLUMNS} FROM dirty WHERE revenue_c >= 0 OR revenue_c IS NULL""",
         "validated_transactions": f"""{with_(DIRTY)}
 SELECT {DIRTY_COLUMNS} FROM judged WHERE fault IS NULL""",
         "validation_counts": f"""{with_(DIRTY)}
-SELECT (SELECT count(*) FROM dirty) AS loaded, loaded - count(*) AS duplicates,
+SELECT loaded, loaded - count(*) AS duplicates,
        count(*) FILTER (fault = 'negative_revenue') AS negative_revenue,
        count(*) FILTER (fault = 'non_positive_quantity') AS non_positive_quantity,
        count(*) FILTER (fault IS NULL) AS remaining, loaded - remaining AS removed
-FROM judged""",
+FROM judged, (SELECT count(*) AS loaded FROM dirty) GROUP BY loaded""",
         "duplicate_keys": """
 SELECT c_nationkey, count(*) AS copies FROM customer
 GROUP BY c_nationkey HAVING count(*) > 1""",
