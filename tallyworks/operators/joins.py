@@ -7,26 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.session import bytes_setting, input_bytes
+
 # At most this many keys are salted; each must hold at least HOT_SHARE of the rows.
 MAX_HOT_KEYS = 64
 HOT_SHARE = 1.0 / 256
 SKETCH_ITEMS = 4096
 
 
-def broadcast_limit(frame: DataFrame) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; not positive means never."""
-    setting = frame.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    digits = setting.rstrip("bkmgti")
-    unit = setting[len(digits) :].rstrip("ib") or "b"
-    return int(digits) * {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}[unit]
-
-
-def input_bytes(frame: DataFrame) -> int:
-    """Bytes of all inputs of ``frame``, from the optimizer's own statistics."""
-    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
-
-
 def hot_keys(fact: DataFrame, key: str) -> DataFrame:
     """Keys that hold at least HOT_SHARE of the rows: at most MAX_HOT_KEYS of them.
 
@@ -83,6 +71,7 @@ def lookup(
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Join ``dimension`` onto ``fact``: broadcast while it is small, else salted."""
-    if input_bytes(dimension) <= broadcast_limit(fact):
+    limit = bytes_setting(fact.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
+    if input_bytes(dimension) <= limit:
         return fact.join(F.broadcast(dimension), key, how)
     return salted_lookup(fact, dimension, key, how, spread_by or fact.columns)

@@ -32,6 +32,20 @@ def get_session(app_name: str = "tallyworks", cores: int | None = None, **settin
     return builder.getOrCreate()
 
 
+def bytes_setting(spark: SparkSession, key: str) -> int:
+    """A size setting such as ``10MB`` in bytes."""
+    setting = spark.conf.get(key).strip().lower()
+    digits = setting.rstrip("bkmgti")
+    unit = setting[len(digits) :].rstrip("ib") or "b"
+    return int(digits) * {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}[unit]
+
+
+def input_bytes(frame: DataFrame) -> int:
+    """Bytes of all inputs of ``frame``, from the optimizer's own statistics."""
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that ``spark.checkpoint.dir`` names.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.rounding import as_double_ratio, half_even
 from tallyworks.operators.joins import lookup
 from tallyworks.schemas import MONEY
+from tallyworks.session import bytes_setting, input_bytes
 
 # How line items map to the ledger's vocabulary.
 NO_CAMPAIGN = "4-NOT SPECIFIED"
@@ -15,8 +16,36 @@ RETURN_FLAG = "R"
 PENDING_FLAG = "A"
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def spread_small_scan(frame: DataFrame, *keys: str) -> DataFrame:
+    """Repartition an input that has less than one full split for every core.
+
+    Such an input may be a single file that one task would read and process
+    alone. Larger inputs keep their own splits and pay no extra shuffle.
+    """
+    spark = frame.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if input_bytes(frame) < cores * bytes_setting(spark, "spark.sql.files.maxPartitionBytes"):
+        return frame.repartition(cores, *keys)
+    return frame
 
 
 def discount_amount(gross: Column, discount_pct: Column) -> Column:
@@ -35,8 +64,9 @@ def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     gross = F.col("l_extendedprice").cast(MONEY)
     percent = F.round(F.abs("l_discount") * 100).cast("int")
     is_returned = F.col("l_returnflag") == RETURN_FLAG
+    lines = read_table(spark, folder, "lineitem")
     return (
-        read_table(spark, folder, "lineitem")
+        spread_small_scan(lines, "l_orderkey", "l_partkey", "l_suppkey")
         .withColumns({"gross": gross, "discount_pct": percent})
         .withColumn("discount_amount", discount_amount(F.col("gross"), F.col("discount_pct")))
         .select(
