@@ -410,6 +410,18 @@ SELECT 'transactions' AS table_name, (SELECT count(*) FROM ledger) AS row_count
 UNION ALL SELECT 'customers', (SELECT count(*) FROM people)
 UNION ALL SELECT 'products', (SELECT count(*) FROM goods)"""
 
+SUMMARY_COUNTS = """
+UNION ALL SELECT 'monthly_summary', count(*) FROM (
+  SELECT DISTINCT year, month FROM kept WHERE date IS NOT NULL)
+UNION ALL SELECT 'category_summary', count(*) FROM (
+  SELECT DISTINCT year, month, category FROM kept WHERE date IS NOT NULL AND category IS NOT NULL)
+UNION ALL SELECT 'region_summary', count(*) FROM (
+  SELECT DISTINCT year, month, region, segment FROM kept
+  WHERE date IS NOT NULL AND region IS NOT NULL AND segment IS NOT NULL)
+UNION ALL SELECT 'channel_summary', count(*) FROM (
+  SELECT DISTINCT year, month, channel, campaign FROM kept
+  WHERE date IS NOT NULL AND campaign IS NOT NULL)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -554,17 +566,14 @@ SELECT series, (SELECT count(*) FROM split s WHERE is_train AND s.series = metri
          AS train_rows, {METRICS_OUT} FROM metrics""",
         # stored results
         "stored_ledger": f"{with_(LEDGER)} {LEDGER_OUT}",
-        "stored_table_counts": f"""{with_(LEDGER)} {TABLE_COUNTS}
-UNION ALL SELECT 'monthly_summary', count(*) FROM (
-  SELECT DISTINCT year, month FROM kept WHERE date IS NOT NULL)
-UNION ALL SELECT 'category_summary', count(*) FROM (
-  SELECT DISTINCT year, month, category FROM kept WHERE date IS NOT NULL AND category IS NOT NULL)
-UNION ALL SELECT 'region_summary', count(*) FROM (
-  SELECT DISTINCT year, month, region, segment FROM kept
-  WHERE date IS NOT NULL AND region IS NOT NULL AND segment IS NOT NULL)
-UNION ALL SELECT 'channel_summary', count(*) FROM (
-  SELECT DISTINCT year, month, channel, campaign FROM kept
-  WHERE date IS NOT NULL AND campaign IS NOT NULL)""",
+        "stored_table_counts": f"{with_(LEDGER)} {TABLE_COUNTS} {SUMMARY_COUNTS}",
+        "etl_audit": f"""{with_(LEDGER)}
+SELECT 'load' AS stage, table_name AS metric, row_count AS value
+FROM ({TABLE_COUNTS} {SUMMARY_COUNTS})
+UNION ALL SELECT 'validate', unnest(['loaded', 'remaining']), count(*) FROM lines
+UNION ALL SELECT 'validate',
+  unnest(['duplicates', 'negative_revenue', 'non_positive_quantity', 'removed']), 0
+UNION ALL SELECT 'nulls', 'campaign', count(*) FROM lines WHERE campaign IS NULL""",
         "exported_monthly_summary": f"{with_(MONTHLY)} {MONTHLY_OUT}",
         "monthly_kpis_view": f"{with_(MONTHLY)} {KPIS_OUT}",
     }

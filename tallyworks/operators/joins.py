@@ -9,24 +9,33 @@ from pyspark.sql import functions as F
 
 from tallyworks.session import bytes_setting, input_bytes
 
-# At most this many keys are salted; each must hold at least HOT_SHARE of the rows.
-MAX_HOT_KEYS = 64
-HOT_SHARE = 1.0 / 256
-SKETCH_ITEMS = 4096
+# Limits of the frequent-items sketch: items tracked at least, and at most.
+MIN_TRACKED = 4_096
+MAX_TRACKED = 1_000_000
+
+
+def shuffle_partitions(frame: DataFrame) -> int:
+    return max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
 
 
 def hot_keys(fact: DataFrame, key: str) -> DataFrame:
-    """Keys that hold at least HOT_SHARE of the rows: at most MAX_HOT_KEYS of them.
+    """(key, salts): keys that alone would overfill an average shuffle partition.
 
-    A mergeable frequent-items sketch finds them in one column scan with no
-    shuffle by key. It only decides where salt goes, never which rows are kept.
+    There can be no more of them than partitions. A mergeable sketch finds them
+    in one column scan without a shuffle by key, and ``salts`` is the number of
+    partitions' worth of rows a key has. It only decides where rows go: a key it
+    misses is joined like any other.
     """
-    sketch = F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {SKETCH_ITEMS})")
+    partitions = shuffle_partitions(fact)
+    tracked = min(max(MIN_TRACKED, 8 * partitions), MAX_TRACKED)
+    sketch = F.expr(f"approx_top_k({key}, {partitions}, {tracked})")
+    load = F.col("entry.count") * partitions / F.col("keyed_rows")
     return (
-        fact.agg(sketch.alias("top"), F.count(key).alias("keyed_rows"))
+        fact.where(F.col(key).isNotNull())
+        .agg(sketch.alias("top"), F.count(F.lit(1)).alias("keyed_rows"))
         .select("keyed_rows", F.explode("top").alias("entry"))
-        .where(F.col("entry.count") >= F.col("keyed_rows") * HOT_SHARE)
-        .select(F.col("entry.item").alias(key), F.lit(True).alias("is_hot"))
+        .where(load >= 1)
+        .select(F.col("entry.item").alias(key), (F.ceil(load) + 1).cast("int").alias("salts"))
     )
 
 
@@ -39,26 +48,23 @@ def salted_lookup(
 ) -> DataFrame:
     """Shuffle join on (key, salt).
 
-    Rows of hot keys spread over all shuffle partitions and the few dimension
-    rows they match are repeated once per salt. Null keys match nothing, so
-    they spread as well.
+    Rows of a hot key spread over as many partitions as they would fill, and the
+    dimension rows they match are repeated once per salt. Null keys match
+    nothing, so they spread over all partitions.
     """
-    salts = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     hot = F.broadcast(hot_keys(fact, key))
-    row_salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    spread = F.xxhash64(*spread_by)
+    row_salt = (
+        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(shuffle_partitions(fact))))
+        .when(F.col("salts").isNotNull(), F.pmod(spread, F.col("salts")))
+        .otherwise(F.lit(0))
+    )
     salted_fact = (
-        fact.join(hot, key, "left")
-        .withColumn(
-            "salt",
-            F.when(F.col("is_hot") | F.col(key).isNull(), row_salt).otherwise(F.lit(0)),
-        )
-        .drop("is_hot")
+        fact.join(hot, key, "left").withColumn("salt", row_salt.cast("int")).drop("salts")
     )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    every_salt = F.sequence(F.lit(0), F.coalesce(F.col("salts") - 1, F.lit(0)))
     salted_dimension = (
-        dimension.join(hot, key, "left")
-        .withColumn("salt", F.explode(F.when(F.col("is_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("is_hot")
+        dimension.join(hot, key, "left").withColumn("salt", F.explode(every_salt)).drop("salts")
     )
     return salted_fact.join(salted_dimension, [key, "salt"], how).drop("salt")
 

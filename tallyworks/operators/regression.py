@@ -72,7 +72,8 @@ def least_squares(rows: pd.Series, targets: pd.Series) -> pd.Series:
         x = np.stack(rows[members].to_list()).reshape(len(members), length, -1)
         y = np.stack(targets[members].to_list())
         level = y.mean(axis=1)
-        inverse = np.linalg.pinv(x, rcond=np.finfo(float).eps)
+        # columns that depend on each other up to rounding count as dependent
+        inverse = np.linalg.pinv(x, rcond=np.finfo(float).eps * max(x.shape[1:]))
         slopes = np.einsum("skn,sn->sk", inverse, y - level[:, None])
         for member, row in zip(members, np.column_stack([level, slopes]), strict=True):
             fitted[member] = row

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyworks.operators import quality, series, summaries
 from tallyworks.operators.enrich import enrich
 from tallyworks.plans import forecast
-from tallyworks.session import settle
+from tallyworks.session import concurrently, settle
 from tallyworks.sinks.tables import write_csv, write_table
 
 SUMMARIES = {
@@ -44,13 +44,13 @@ def store_tables(
     """
     collapsed = settle(quality.collapse_duplicates(transactions), "collapsed")
     ledger = enriched_ledger(quality.accepted(collapsed), customers, products)
-    stored = {
-        "transactions": write_table(ledger, target, "transactions", ["year", "month"]),
-        "customers": write_table(customers, target, "customers"),
-        "products": write_table(products, target, "products"),
-    }
-    for name, build in SUMMARIES.items():
-        stored[name] = write_table(build(stored["transactions"]), target, name)
+    stored = {"transactions": write_table(ledger, target, "transactions", ["year", "month"])}
+    rest = {"customers": customers, "products": products}
+    rest |= {name: build(stored["transactions"]) for name, build in SUMMARIES.items()}
+    stored |= concurrently(
+        ledger.sparkSession,
+        {name: partial(write_table, frame, target, name) for name, frame in rest.items()},
+    )
     stored["etl_audit"] = write_table(audit(collapsed, stored), target, "etl_audit")
     return stored
 
@@ -76,9 +76,12 @@ def audit(collapsed: DataFrame, stored: dict[str, DataFrame]) -> DataFrame:
 
 def export_csv(stored: dict[str, DataFrame], target: str) -> dict[str, str]:
     """The four summaries and the cleaned ledger as CSV folders."""
-    paths = {name: write_csv(stored[name], target, name) for name in SUMMARIES}
-    paths["transactions_clean"] = write_csv(stored["transactions"], target, "transactions_clean")
-    return paths
+    exports = {name: stored[name] for name in SUMMARIES}
+    exports["transactions_clean"] = stored["transactions"]
+    return concurrently(
+        stored["transactions"].sparkSession,
+        {name: partial(write_csv, frame, target, name) for name, frame in exports.items()},
+    )
 
 
 def run_etl(

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -46,6 +52,25 @@ def input_bytes(frame: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
 
 
+def underfills_cores(frame: DataFrame) -> bool:
+    """Whether the inputs of ``frame`` amount to less than one full split per core."""
+    spark = frame.sparkSession
+    split = bytes_setting(spark, "spark.sql.files.maxPartitionBytes")
+    return input_bytes(frame) < spark.sparkContext.defaultParallelism * split
+
+
+def concurrently(
+    spark: SparkSession, actions: dict[str, Callable[[], Result]]
+) -> dict[str, Result]:
+    """Submit independent Spark actions together, so one's last tasks overlap the next."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(action))
+            for name, action in actions.items()
+        }
+        return {name: future.result() for name, future in running.items()}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that ``spark.checkpoint.dir`` names.
 

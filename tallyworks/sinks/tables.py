@@ -6,21 +6,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tallyworks.session import underfills_cores
+
 # A database accepts only so many writers, however many partitions a table has.
 MAX_JDBC_WRITERS = 32
 JDBC_BATCH_ROWS = 10_000
 
 
+def gathered(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Few key values per task, so that a task writes few files.
+
+    Adaptive execution splits a value that is too large for one task. It would
+    also merge a small table into one task, which a fixed count prevents.
+    """
+    if underfills_cores(frame):
+        return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, *keys)
+    return frame.hint("rebalance", *keys)
+
+
 def write_table(
     frame: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Replace the parquet table ``name`` under ``root`` and return a reader of it.
 
-    A partitioned table is rebalanced first, so each task holds few partition
-    values and adaptive execution splits the values that are too large for one.
+    Rows of a partitioned table are brought together by its partition values.
     """
     path = f"{root.rstrip('/')}/{name}"
-    rows = frame.hint("rebalance", *partition_by) if partition_by else frame
+    rows = gathered(frame, partition_by) if partition_by else frame
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.rounding import as_double_ratio, half_even
 from tallyworks.operators.joins import lookup
 from tallyworks.schemas import MONEY
-from tallyworks.session import bytes_setting, input_bytes
+from tallyworks.session import underfills_cores
 
 # How line items map to the ledger's vocabulary.
 NO_CAMPAIGN = "4-NOT SPECIFIED"
@@ -41,10 +41,8 @@ def spread_small_scan(frame: DataFrame, *keys: str) -> DataFrame:
     Such an input may be a single file that one task would read and process
     alone. Larger inputs keep their own splits and pay no extra shuffle.
     """
-    spark = frame.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if input_bytes(frame) < cores * bytes_setting(spark, "spark.sql.files.maxPartitionBytes"):
-        return frame.repartition(cores, *keys)
+    if underfills_cores(frame):
+        return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, *keys)
     return frame
 
 
