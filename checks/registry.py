@@ -28,10 +28,12 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 def transactions_as_text(spark: SparkSession, folder: str) -> DataFrame:
     """All 15 transaction columns, a missing campaign spelled out as 'None'."""
-    rows = enrich.with_cost(
-        enrich.with_product(star.transactions(spark, folder), star.products(spark, folder))
+    sales = enrich.with_product(
+        star.transactions(spark, folder),
+        star.products(spark, folder),
+        keys_from=star.priced_lines(spark, folder),
     )
-    return rows.withColumn("campaign", F.coalesce("campaign", F.lit("None"))).select(
+    return enrich.with_cost(sales).withColumn("campaign", F.coalesce("campaign", F.lit("None"))).select(
         schemas.TRANSACTIONS.fieldNames()
     )
 
@@ -110,14 +112,20 @@ def calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    joined = enrich.with_customer(star.transactions(spark, folder), star.customers(spark, folder))
+    joined = enrich.with_customer(
+        star.transactions(spark, folder),
+        star.customers(spark, folder),
+        keys_from=star.order_facts(spark, folder),
+    )
     return joined.select("transaction_id", "customer_id", "region", "segment", "city")
 
 
 def product_lookup_with_misses(spark: SparkSession, folder: str) -> DataFrame:
     """Every tenth product is unknown, so the left join must keep unmatched rows."""
     known = star.products(spark, folder).where(F.col("product_id") % 10 != 0)
-    joined = enrich.with_product(star.transactions(spark, folder), known)
+    joined = enrich.with_product(
+        star.transactions(spark, folder), known, keys_from=star.priced_lines(spark, folder)
+    )
     return joined.select("transaction_id", "product_id", "category", "cost_price")
 
 
@@ -130,13 +138,14 @@ def product_lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
         "product_id",
         "left",
         ["customer_id", "date", "revenue", "quantity"],
+        keys_from=star.priced_lines(spark, folder),
     )
     return joined.select("transaction_id", "product_id", "category", "cost_price")
 
 
 def enriched_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return enrich.enrich(
-        star.transactions(spark, folder),
+        star.placed_transactions(spark, folder),
         star.customers(spark, folder),
         star.products(spark, folder),
         population=star.priced_lines(spark, folder),
@@ -204,6 +213,7 @@ def region_summary(spark: SparkSession, folder: str) -> DataFrame:
         star.transactions(spark, folder),
         star.customers(spark, folder),
         star.products(spark, folder),
+        star.priced_lines(spark, folder),
     )
 
 
@@ -212,11 +222,19 @@ def channel_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return early.kpi_totals(star.transactions(spark, folder), star.products(spark, folder))
+    return early.kpi_totals(
+        star.transactions(spark, folder),
+        star.products(spark, folder),
+        star.priced_lines(spark, folder),
+    )
 
 
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
-    return early.top_products(star.transactions(spark, folder), star.products(spark, folder))
+    return early.top_products(
+        star.transactions(spark, folder),
+        star.products(spark, folder),
+        star.priced_lines(spark, folder),
+    )
 
 
 def customer_rfm(spark: SparkSession, folder: str) -> DataFrame:

@@ -31,21 +31,30 @@ def with_date_features(transactions: DataFrame) -> DataFrame:
     return transactions.withColumns(date_features(F.col("date")))
 
 
-def with_customer(transactions: DataFrame, customers: DataFrame) -> DataFrame:
+def with_customer(
+    transactions: DataFrame, customers: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Region, segment and city where the source does not carry them."""
+    if "region" in transactions.columns:
+        return transactions
     return lookup(
         transactions,
         customers.select("customer_id", "region", "segment", "city"),
         "customer_id",
         spread_by=["product_id", "date", "revenue", "quantity"],
+        keys_from=keys_from,
     )
 
 
-def with_product(transactions: DataFrame, products: DataFrame) -> DataFrame:
+def with_product(
+    transactions: DataFrame, products: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
     return lookup(
         transactions,
         products.select("product_id", "category", "cost_price"),
         "product_id",
         spread_by=["customer_id", "date", "revenue", "quantity"],
+        keys_from=keys_from,
     )
 
 
@@ -89,11 +98,12 @@ def enrich(
 
     ``population`` supplies the revenues the high-value cutoff is taken from. By
     default the joined rows do; a caller that knows the dimension keys to be
-    unique passes the unjoined transactions instead.
+    unique passes rows from before any join instead.
     """
     ledger = with_date_features(transactions)
-    ledger = with_customer(ledger, customers)
-    ledger = with_product(ledger, products)
+    ledger = with_customer(ledger, customers, keys_from=transactions)
+    unjoined = transactions if population is None else population
+    ledger = with_product(ledger, products, keys_from=unjoined)
     ledger = with_ratios(with_cost(ledger))
     ledger = with_high_value_flag(ledger, ledger if population is None else population)
     return ledger.select(LEDGER_COLUMNS)

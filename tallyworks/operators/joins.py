@@ -45,6 +45,7 @@ def salted_lookup(
     key: str,
     how: str,
     spread_by: Sequence[str],
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join on (key, salt).
 
@@ -52,7 +53,7 @@ def salted_lookup(
     dimension rows they match are repeated once per salt. Null keys match
     nothing, so they spread over all partitions.
     """
-    hot = F.broadcast(hot_keys(fact, key))
+    hot = F.broadcast(hot_keys(fact if keys_from is None else keys_from, key))
     spread = F.xxhash64(*spread_by)
     row_salt = (
         F.when(F.col(key).isNull(), F.pmod(spread, F.lit(shuffle_partitions(fact))))
@@ -73,11 +74,29 @@ def lookup(
     fact: DataFrame,
     dimension: DataFrame,
     key: str,
-    how: str = "left",
-    spread_by: Sequence[str] = (),
+    spread_by: Sequence[str],
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``dimension`` onto ``fact``: broadcast while it is small, else salted."""
-    limit = bytes_setting(fact.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
-    if input_bytes(dimension) <= limit:
-        return fact.join(F.broadcast(dimension), key, how)
-    return salted_lookup(fact, dimension, key, how, spread_by or fact.columns)
+    """Left join: broadcast ``dimension`` while it is small, else shuffle with salt.
+
+    ``keys_from`` is a frame with the same keys that is cheaper to scan than
+    ``fact``, which may itself be the result of joins.
+    """
+    if is_small(dimension):
+        return fact.join(F.broadcast(dimension), key, "left")
+    return salted_lookup(fact, dimension, key, "left", spread_by, keys_from)
+
+
+def lookup_grouped(groups: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Left join onto rows already grouped by ``key`` and at most the month.
+
+    Grouping has bounded the rows per key, so no key can be hot.
+    """
+    if is_small(dimension):
+        return groups.join(F.broadcast(dimension), key, "left")
+    return groups.join(dimension, key, "left")
+
+
+def is_small(dimension: DataFrame) -> bool:
+    limit = bytes_setting(dimension.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
+    return input_bytes(dimension) <= limit

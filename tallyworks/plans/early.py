@@ -20,7 +20,7 @@ from tallyworks.operators.enrich import (
     with_product,
     with_ratios,
 )
-from tallyworks.operators.joins import lookup
+from tallyworks.operators.joins import lookup_grouped
 from tallyworks.operators.series import keyed_series
 
 MONTH = summaries.MONTH
@@ -30,17 +30,21 @@ def with_month(transactions: DataFrame) -> DataFrame:
     return transactions.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
-def costed(transactions: DataFrame, products: DataFrame) -> DataFrame:
+def costed(
+    transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
+) -> DataFrame:
     """Non-returned rows with category, cost and row margin; margins need each row."""
-    return with_ratios(with_cost(with_product(not_returned(transactions), products)))
+    rows = with_product(not_returned(transactions), products, keys_from=unjoined)
+    return with_ratios(with_cost(rows))
 
 
 def monthly_summary(
-    transactions: DataFrame, products: DataFrame, population: DataFrame | None = None
+    transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
 ) -> DataFrame:
+    """``unjoined`` has the same sales from before any join: cheaper to take statistics of."""
     # returned rows leave before the joins, yet count towards the high-value cutoff
-    everything = transactions if population is None else population
-    rows = with_high_value_flag(costed(transactions, products), everything)
+    everything = transactions if unjoined is None else unjoined
+    rows = with_high_value_flag(costed(transactions, products, unjoined), everything)
     return summaries.monthly_summary(with_month(rows))
 
 
@@ -60,10 +64,10 @@ def category_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
             F.sum(F.when(revenue.isNotNull(), quantity)).alias("costed_units"),
         )
     )
-    priced = lookup(
-        per_product, products.select("product_id", "category", "cost_price"), "product_id",
-        spread_by=MONTH,
-    ).withColumn("profit", F.col("costed_revenue") - F.col("cost_price") * F.col("costed_units"))
+    prices = products.select("product_id", "category", "cost_price")
+    priced = lookup_grouped(per_product, prices, "product_id").withColumn(
+        "profit", F.col("costed_revenue") - F.col("cost_price") * F.col("costed_units")
+    )
     keys = [*MONTH, "category"]
     return (
         priced.dropna(subset=["category"])
@@ -79,10 +83,13 @@ def category_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def region_summary(
-    transactions: DataFrame, customers: DataFrame, products: DataFrame
+    transactions: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    unjoined: DataFrame | None = None,
 ) -> DataFrame:
     """Each customer is one row per month before the join, so counting rows counts customers."""
-    rows = with_cost(with_product(not_returned(transactions), products))
+    rows = with_cost(with_product(not_returned(transactions), products, keys_from=unjoined))
     per_customer = (
         with_month(rows)
         .dropna(subset=MONTH)
@@ -94,10 +101,8 @@ def region_summary(
         )
     )
     keys = [*MONTH, "region", "segment"]
-    placed = lookup(
-        per_customer, customers.select("customer_id", "region", "segment"), "customer_id",
-        spread_by=MONTH,
-    )
+    places = customers.select("customer_id", "region", "segment")
+    placed = lookup_grouped(per_customer, places, "customer_id")
     return (
         placed.dropna(subset=["region", "segment"])
         .groupBy(*keys)
@@ -120,12 +125,17 @@ def channel_summary(transactions: DataFrame) -> DataFrame:
     return summaries.channel_summary(with_month(transactions))
 
 
-def kpi_totals(transactions: DataFrame, products: DataFrame) -> DataFrame:
-    return summaries.kpi_totals(with_cost(with_product(transactions, products)))
+def kpi_totals(
+    transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
+) -> DataFrame:
+    rows = with_product(not_returned(transactions), products, keys_from=unjoined)
+    return summaries.kpi_totals(with_cost(rows))
 
 
-def top_products(transactions: DataFrame, products: DataFrame) -> DataFrame:
-    return reports.top_products(costed(transactions, products))
+def top_products(
+    transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
+) -> DataFrame:
+    return reports.top_products(costed(transactions, products, unjoined))
 
 
 def customer_rfm(
@@ -134,11 +144,6 @@ def customer_rfm(
     purchases = (
         not_returned(transactions).groupBy("customer_id").agg(*reports.purchase_totals())
     )
-    return reports.recency_frequency_monetary(with_places(purchases, customers), as_of)
-
-
-def with_places(purchases: DataFrame, customers: DataFrame) -> DataFrame:
-    return lookup(
-        purchases, customers.select("customer_id", "region", "segment"), "customer_id",
-        spread_by=["customer_id"],
-    )
+    places = customers.select("customer_id", "region", "segment")
+    placed = lookup_grouped(purchases, places, "customer_id")
+    return reports.recency_frequency_monetary(placed, as_of)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -71,6 +72,11 @@ def concurrently(
         return {name: future.result() for name, future in running.items()}
 
 
+@cache
+def local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tallyworks-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that ``spark.checkpoint.dir`` names.
 
@@ -81,8 +87,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.conf.get("spark.master").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tallyworks-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = local_scratch()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

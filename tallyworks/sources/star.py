@@ -85,37 +85,59 @@ def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per line item; ``cost`` and ``profit`` follow from the product lookup.
-
-    The lookup keeps every line, so ``priced_lines`` alone has the same revenues.
-    """
-    orders = read_table(spark, folder, "orders").select(
+TRANSACTION_COLUMNS = [
+    "transaction_id",
+    "date",
+    "customer_id",
+    "product_id",
+    "channel",
+    "campaign",
+    "quantity",
+    "unit_price",
+    "discount_pct",
+    "discount_amount",
+    "revenue",
+    "is_returned",
+    "status",
+]
+
+
+def order_facts(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_orderdate").cast("date").alias("date"),
         F.col("o_custkey").alias("customer_id"),
         F.nullif("o_orderpriority", F.lit(NO_CAMPAIGN)).alias("campaign"),
     )
-    lines = lookup(
+
+
+def with_order(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+    return lookup(
         priced_lines(spark, folder),
         orders,
         "l_orderkey",
         spread_by=["product_id", "revenue", "quantity"],
+        keys_from=read_table(spark, folder, "lineitem"),
     )
-    return lines.select(
-        "transaction_id",
-        "date",
-        "customer_id",
-        "product_id",
-        "channel",
-        "campaign",
-        "quantity",
-        "unit_price",
-        "discount_pct",
-        "discount_amount",
-        "revenue",
-        "is_returned",
-        "status",
+
+
+def transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per line item; ``cost`` and ``profit`` follow from the product lookup.
+
+    The lookup keeps every line, so ``priced_lines`` alone has the same revenues.
+    """
+    return with_order(spark, folder, order_facts(spark, folder)).select(TRANSACTION_COLUMNS)
+
+
+def placed_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions with region, segment and city.
+
+    Customers join the orders first, which are fewer and narrower than the lines.
+    """
+    places = customers(spark, folder).select("customer_id", "region", "segment", "city")
+    orders = lookup(order_facts(spark, folder), places, "customer_id", spread_by=["l_orderkey"])
+    return with_order(spark, folder, orders).select(
+        *TRANSACTION_COLUMNS, "region", "segment", "city"
     )
 
 
