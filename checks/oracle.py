@@ -522,6 +522,11 @@ ORDER BY total_revenue DESC, product_id LIMIT 10""",
 SELECT category, year, month, {money("revenue_c")} AS revenue FROM by_category
 UNION ALL
 SELECT category, NULL, NULL, {money("sum(revenue_c)")} FROM by_category GROUP BY category""",
+        "category_within_month": f"""{with_(CATEGORY, MONTHLY.removeprefix(LEDGER).lstrip(','))}
+SELECT period, category, {money("c.revenue_c")} AS revenue,
+       {money("m.revenue_c")} AS total_revenue,
+       {up_ratio("100 * c.revenue_c", "m.revenue_c")} AS revenue_share_pct
+FROM by_category c JOIN monthly m USING (year, month)""",
         "region_segment_matrix": f"""{with_(REGION)}
 SELECT region, """
         + ", ".join(

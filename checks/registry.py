@@ -249,6 +249,12 @@ def best_products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def category_within_month(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.category_within_month(
+        category_summary(spark, folder), monthly_summary(spark, folder)
+    )
+
+
 def total_history(spark: SparkSession, folder: str) -> DataFrame:
     return early.monthly_revenue(star.transactions(spark, folder))
 
@@ -431,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "customer_rfm": customer_rfm,
     "best_products": best_products,
     "category_drill_through": then(category_summary, reports.category_drill_through),
+    "category_within_month": category_within_month,
     "region_segment_matrix": then(region_summary, region_matrix),
     "channel_stack": then(channel_summary, reports.channel_stack),
     # series and forecasts

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.rounding import exact_ratio, half_up
 from tallyworks.operators.enrich import not_returned
+from tallyworks.operators.summaries import with_period
 
 def _percent(part: Column, whole: Column) -> Column:
     return half_up(exact_ratio(part * F.lit(100), whole))
@@ -186,6 +187,23 @@ def category_drill_through(category: DataFrame) -> DataFrame:
     )
 
 
+def category_within_month(category: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Category revenue beside the month's total, related by period."""
+    totals = monthly.select("period", "total_revenue")
+    return (
+        with_period(category)
+        .join(totals, "period")
+        .select(
+            "period",
+            "category",
+            "revenue",
+            "total_revenue",
+            _percent(F.col("revenue"), F.col("total_revenue")).alias("revenue_share_pct"),
+        )
+        .orderBy("period", "category")
+    )
+
+
 def region_segment_matrix(region: DataFrame, segments: list[str]) -> DataFrame:
     """One row per region, one revenue column per segment."""
     return region.groupBy("region").pivot("segment", segments).agg(F.sum("revenue")).orderBy("region")

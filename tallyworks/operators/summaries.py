@@ -31,6 +31,7 @@ def mean(value: Column) -> Column:
 
 
 def with_period(summary: DataFrame) -> DataFrame:
+    """The key that relates a summary to the monthly figures and the forecast."""
     return summary.withColumn("period", period(month_start(F.col("year"), F.col("month"))))
 
 

@@ -1,4 +1,4 @@
-"""The six report views over stored tables."""
+"""Stored tables and the six report views over them, for use from SQL."""
 
 from __future__ import annotations
 
@@ -23,9 +23,12 @@ def report_views(
     }
 
 
+def register_tables(tables: dict[str, DataFrame]) -> list[str]:
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+    return list(tables)
+
+
 def register_views(tables: dict[str, DataFrame], as_of: dt.date | None = None) -> list[str]:
-    """Create or replace the views in the session, for use from SQL."""
-    views = report_views(tables, as_of)
-    for name, query in views.items():
-        query.createOrReplaceTempView(name)
-    return list(views)
+    """Create or replace the tables and the report views in the session."""
+    return register_tables(tables) + register_tables(report_views(tables, as_of))

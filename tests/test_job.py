@@ -105,7 +105,9 @@ def test_exports_equal_tables(spark, run):
 
 
 def test_views_answer_sql(spark, run):
-    assert len(register_views(run[1], dt.date(2025, 1, 1))) == 6
+    names = register_views(run[1], dt.date(2025, 1, 1))
+    assert sum(name.startswith("vw_") for name in names) == 6 and len(names) == 14
+    assert spark.sql("SELECT count(*) c FROM transactions").first().c == 4_000
     months = spark.sql("SELECT * FROM vw_monthly_kpis").collect()
     assert [r.period for r in months] == sorted(r.period for r in months) and len(months) == 36
     assert spark.sql("SELECT count(*) c FROM vw_customer_rfm").first().c == 40
