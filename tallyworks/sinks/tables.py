@@ -40,7 +40,7 @@ def write_table(
 def write_csv(frame: DataFrame, root: str, name: str) -> str:
     """Replace the CSV export ``name``; adaptive execution sizes the part files."""
     path = f"{root.rstrip('/')}/{name}"
-    frame.write.mode("overwrite").option("header", True).csv(path)
+    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 

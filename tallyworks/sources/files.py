@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,15 +17,17 @@ NULL_TOKENS = [
 
 
 def normalise_null_tokens(frame: DataFrame) -> DataFrame:
-    """Turn null tokens in string columns into SQL nulls."""
-    return frame.select(
-        [
-            F.when(~F.col(field.name).isin(NULL_TOKENS), F.col(field.name)).alias(field.name)
-            if isinstance(field.dataType, T.StringType)
-            else F.col(field.name)
-            for field in frame.schema.fields
-        ]
-    )
+    """Turn null tokens in string columns, and NaN in doubles, into SQL nulls."""
+
+    def known(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            column = F.when(~column.isin(NULL_TOKENS), column)
+        elif isinstance(field.dataType, T.DoubleType):
+            column = F.when(~F.isnan(column), column)
+        return column.alias(field.name)
+
+    return frame.select([known(field) for field in frame.schema.fields])
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -35,6 +37,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         spark.read.schema(schema)
         .option("header", True)
         .option("dateFormat", "yyyy-MM-dd")
+        # quotes inside a field are doubled
+        .option("escape", '"')
         # a header that differs from the schema fails instead of shifting columns
         .option("enforceSchema", False)
         .csv(path)

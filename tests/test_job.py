@@ -74,6 +74,21 @@ def test_header_that_differs_is_refused(spark, tmp_path):
         files.read_products(spark, f"{tmp_path}/products.csv").collect()
 
 
+def test_quotes_commas_and_unreadable_numbers(spark, tmp_path):
+    (tmp_path / "products.csv").write_text(
+        ",".join(schemas.PRODUCTS.fieldNames()) + "\n"
+        'PROD0001,"Pen, ""fine""",n/a,NA,7.00,NaN\n'
+        "PROD0002,,Books,12.50,,0.1\n"
+    )
+    first, second = files.read_products(spark, f"{tmp_path}/products.csv").collect()
+    assert (first.product_name, first.category, first.unit_price) == ('Pen, "fine"', None, None)
+    assert first.cost_price == 7 and first.return_rate is None
+    assert second.product_name is None and second.cost_price is None
+    path = sinks.write_csv(files.read_products(spark, f"{tmp_path}/products.csv"), str(tmp_path), "out")
+    assert '"Pen, ""fine"""' in "".join(p.read_text() for p in tmp_path.glob("out/*.csv"))
+    assert files.read_products(spark, path).first().product_name == 'Pen, "fine"'
+
+
 def test_audit(run):
     found = {(r.stage, r.metric): r.value for r in run[1]["etl_audit"].collect()}
     assert found["validate", "loaded"] == 4_027
