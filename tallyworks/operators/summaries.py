@@ -16,7 +16,7 @@ from tallyworks.operators.enrich import not_returned
 MONTH = ["year", "month"]
 
 
-def _known(ledger: DataFrame, keys: list[str]) -> DataFrame:
+def known_rows(ledger: DataFrame, keys: list[str]) -> DataFrame:
     return not_returned(ledger).dropna(subset=keys)
 
 
@@ -35,31 +35,49 @@ def with_period(summary: DataFrame) -> DataFrame:
     return summary.withColumn("period", period(month_start(F.col("year"), F.col("month"))))
 
 
-def monthly_summary(ledger: DataFrame) -> DataFrame:
-    start = month_start(F.col("year"), F.col("month"))
-    # month_name, quarter and period follow from (year, month): two integers shuffle
-    totals = (
-        _known(ledger, MONTH)
-        .groupBy(*MONTH)
-        .agg(
-            F.sum("revenue").alias("total_revenue"),
-            F.sum("profit").alias("total_profit"),
-            F.sum("cost").alias("total_cost"),
-            F.count("transaction_id").alias("total_orders"),
-            F.sum("quantity").alias("total_units"),
-            mean(F.col("revenue")).alias("avg_order_value"),
-            mean_margin(F.col("gross_margin_pct")).alias("avg_margin_pct"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_if("is_high_value").alias("high_value_orders"),
-            F.count_if("is_returned").alias("returns"),
-        )
+def customers_per(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Distinct customers per group; a group of unknown customers counts zero.
+
+    Counting them apart keeps the other totals out of the shuffle by customer:
+    that one moves bare keys, while the totals shrink to one row per group and task.
+    """
+    pairs = rows.select(*keys, "customer_id").distinct()
+    return pairs.groupBy(*keys).agg(F.count("customer_id").alias(name))
+
+
+def monthly_totals(rows: DataFrame, *more: Column) -> DataFrame:
+    return rows.groupBy(*MONTH).agg(
+        F.sum("revenue").alias("total_revenue"),
+        F.sum("profit").alias("total_profit"),
+        F.sum("cost").alias("total_cost"),
+        F.count("transaction_id").alias("total_orders"),
+        F.sum("quantity").alias("total_units"),
+        mean(F.col("revenue")).alias("avg_order_value"),
+        mean_margin(F.col("gross_margin_pct")).alias("avg_margin_pct"),
+        F.count_if("is_high_value").alias("high_value_orders"),
+        F.count_if("is_returned").alias("returns"),
+        *more,
     )
+
+
+def labelled_months(totals: DataFrame) -> DataFrame:
+    # month_name, quarter and period follow from (year, month): two integers shuffle
+    start = month_start(F.col("year"), F.col("month"))
     return totals.select(
         "year",
         "month",
         F.monthname(start).alias("month_name"),
         F.quarter(start).alias("quarter"),
-        *totals.columns[2:],
+        "total_revenue",
+        "total_profit",
+        "total_cost",
+        "total_orders",
+        "total_units",
+        "avg_order_value",
+        "avg_margin_pct",
+        "unique_customers",
+        "high_value_orders",
+        "returns",
         half_even(as_double_ratio(F.col("returns"), F.col("total_orders")) * 100.0).alias(
             "return_rate_pct"
         ),
@@ -67,10 +85,16 @@ def monthly_summary(ledger: DataFrame) -> DataFrame:
     ).orderBy("period")
 
 
+def monthly_summary(ledger: DataFrame) -> DataFrame:
+    rows = known_rows(ledger, MONTH)
+    customers = customers_per(rows, MONTH, "unique_customers")
+    return labelled_months(monthly_totals(rows).join(customers, MONTH))
+
+
 def category_summary(ledger: DataFrame) -> DataFrame:
     keys = [*MONTH, "category"]
     return (
-        _known(ledger, keys)
+        known_rows(ledger, keys)
         .groupBy(*keys)
         .agg(
             F.sum("revenue").alias("revenue"),
@@ -84,23 +108,19 @@ def category_summary(ledger: DataFrame) -> DataFrame:
 
 def region_summary(ledger: DataFrame) -> DataFrame:
     keys = [*MONTH, "region", "segment"]
-    return (
-        _known(ledger, keys)
-        .groupBy(*keys)
-        .agg(
-            F.sum("revenue").alias("revenue"),
-            F.sum("profit").alias("profit"),
-            F.count("transaction_id").alias("orders"),
-            F.count_distinct("customer_id").alias("customers"),
-        )
-        .orderBy(*keys)
+    rows = known_rows(ledger, keys)
+    totals = rows.groupBy(*keys).agg(
+        F.sum("revenue").alias("revenue"),
+        F.sum("profit").alias("profit"),
+        F.count("transaction_id").alias("orders"),
     )
+    return totals.join(customers_per(rows, keys, "customers"), keys).orderBy(*keys)
 
 
 def channel_summary(ledger: DataFrame) -> DataFrame:
     keys = [*MONTH, "channel", "campaign"]
     return (
-        _known(ledger, keys)
+        known_rows(ledger, keys)
         .groupBy(*keys)
         .agg(
             F.sum("revenue").alias("revenue"),

@@ -45,7 +45,10 @@ def monthly_summary(
     # returned rows leave before the joins, yet count towards the high-value cutoff
     everything = transactions if unjoined is None else unjoined
     rows = with_high_value_flag(costed(transactions, products, unjoined), everything)
-    return summaries.monthly_summary(with_month(rows))
+    known = summaries.known_rows(with_month(rows), MONTH)
+    # one pass: counting customers apart would repeat the joins
+    customers = F.count_distinct("customer_id").alias("unique_customers")
+    return summaries.labelled_months(summaries.monthly_totals(known, customers))
 
 
 def category_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
