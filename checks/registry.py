@@ -354,9 +354,9 @@ def stored_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stored_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def stored_tables(spark: SparkSession, folder: str, collapsed: DataFrame) -> dict[str, DataFrame]:
     return etl.store_tables(
-        star.transactions(spark, folder),
+        collapsed,
         star.customers(spark, folder),
         star.products(spark, folder),
         scratch_path(spark, "tables"),
@@ -364,12 +364,13 @@ def stored_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def stored_table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    stored = stored_tables(spark, folder)
-    return quality.table_counts({k: v for k, v in stored.items() if k != "etl_audit"})
+    collapsed = etl.collapse(star.transactions(spark, folder))
+    return quality.table_counts(stored_tables(spark, folder, collapsed))
 
 
 def etl_audit(spark: SparkSession, folder: str) -> DataFrame:
-    return stored_tables(spark, folder)["etl_audit"]
+    collapsed = etl.collapse(star.transactions(spark, folder))
+    return etl.audit(collapsed, stored_tables(spark, folder, collapsed))
 
 
 def exported_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -379,7 +380,8 @@ def exported_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monthly_kpis_view(spark: SparkSession, folder: str) -> DataFrame:
-    register_views(stored_tables(spark, folder), AS_OF_DATE)
+    collapsed = etl.collapse(star.transactions(spark, folder))
+    register_views(stored_tables(spark, folder, collapsed), AS_OF_DATE)
     return spark.sql("SELECT * FROM vw_monthly_kpis")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,25 +35,31 @@ def enriched_ledger(clean: DataFrame, customers: DataFrame, products: DataFrame)
     return enrich(clean, customers, products, population)
 
 
+def collapse(transactions: DataFrame) -> DataFrame:
+    """The duplicate-free rows, settled: audit, cutoff and ledger all start there."""
+    return settle(quality.collapse_duplicates(transactions), "collapsed")
+
+
+def table_writes(frames: dict[str, DataFrame], target: str) -> dict[str, Callable[[], DataFrame]]:
+    return {name: partial(write_table, frame, target, name) for name, frame in frames.items()}
+
+
 def store_tables(
-    transactions: DataFrame, customers: DataFrame, products: DataFrame, target: str
+    collapsed: DataFrame, customers: DataFrame, products: DataFrame, target: str
 ) -> dict[str, DataFrame]:
-    """Write the seven tables and the audit table; return readers of them.
+    """Write the seven tables and return readers of them.
 
-    The duplicate-free rows are settled once: the audit, the high-value cutoff
-    and the ledger all start there. The summaries read the stored ledger.
+    The summaries read the stored ledger.
     """
-    collapsed = settle(quality.collapse_duplicates(transactions), "collapsed")
+    spark = collapsed.sparkSession
     ledger = enriched_ledger(quality.accepted(collapsed), customers, products)
-    stored = {"transactions": write_table(ledger, target, "transactions", ["year", "month"])}
-    rest = {"customers": customers, "products": products}
-    rest |= {name: build(stored["transactions"]) for name, build in SUMMARIES.items()}
-    stored |= concurrently(
-        ledger.sparkSession,
-        {name: partial(write_table, frame, target, name) for name, frame in rest.items()},
+    writes = table_writes({"customers": customers, "products": products}, target)
+    writes["transactions"] = partial(
+        write_table, ledger, target, "transactions", ["year", "month"]
     )
-    stored["etl_audit"] = write_table(audit(collapsed, stored), target, "etl_audit")
-    return stored
+    stored = concurrently(spark, writes)
+    summary = {name: build(stored["transactions"]) for name, build in SUMMARIES.items()}
+    return stored | concurrently(spark, table_writes(summary, target))
 
 
 def audit(collapsed: DataFrame, stored: dict[str, DataFrame]) -> DataFrame:
@@ -74,22 +81,22 @@ def audit(collapsed: DataFrame, stored: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [validated, nulls, tables])
 
 
-def export_csv(stored: dict[str, DataFrame], target: str) -> dict[str, str]:
+def csv_writes(stored: dict[str, DataFrame], target: str) -> dict[str, Callable[[], str]]:
     """The four summaries and the cleaned ledger as CSV folders."""
     exports = {name: stored[name] for name in SUMMARIES}
     exports["transactions_clean"] = stored["transactions"]
-    return concurrently(
-        stored["transactions"].sparkSession,
-        {name: partial(write_csv, frame, target, name) for name, frame in exports.items()},
-    )
+    return {name: partial(write_csv, frame, target, name) for name, frame in exports.items()}
 
 
 def run_etl(
     transactions: DataFrame, customers: DataFrame, products: DataFrame, target: str
 ) -> dict[str, DataFrame]:
-    stored = store_tables(transactions, customers, products, f"{target}/tables")
-    export_csv(stored, f"{target}/csv")
-    return stored
+    """Seven tables and the audit under ``target``/tables, exports under ``target``/csv."""
+    collapsed = collapse(transactions)
+    stored = store_tables(collapsed, customers, products, f"{target}/tables")
+    last = table_writes({"etl_audit": audit(collapsed, stored)}, f"{target}/tables")
+    done = concurrently(transactions.sparkSession, last | csv_writes(stored, f"{target}/csv"))
+    return stored | {"etl_audit": done["etl_audit"]}
 
 
 def run_forecast(
