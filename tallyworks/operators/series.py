@@ -95,13 +95,6 @@ def with_split(features: DataFrame, train_share: float = 0.80) -> DataFrame:
     return complete.withColumn("is_train", place < F.floor(rows * F.lit(train_share)))
 
 
-def latest(series: DataFrame) -> DataFrame:
-    """The last month of each series."""
-    return series.groupBy("series").agg(
-        F.max_by(F.struct("period", "month", "quarter", "revenue"), "period").alias("last")
-    ).select("series", "last.*")
-
-
 def _mean(values: Column) -> Column:
     total = F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
     return total / F.size(values)
