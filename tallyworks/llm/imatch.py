@@ -158,7 +158,7 @@ def likeness(left: Column, right: Column) -> Column:
 
 
 def spare_signature(terms: Column) -> Column:
-    return F.substring(F.md5(F.array_join(F.array_sort(terms), " ")), 1, 8)
+    return F.substring(F.md5(F.array_join(F.sort_array(terms), " ")), 1, 8)
 
 
 def fingerprint_report(documents: DataFrame) -> DataFrame:
@@ -209,9 +209,9 @@ def fingerprint_report(documents: DataFrame) -> DataFrame:
             "over_edge",
             F.explode(F.filter(kinds, lambda kind: kind.isNotNull())).alias("kind"),
         )
+        .withColumn("spare", spare_signature(F.col("kind.terms")))
         .select(
             "*",
-            spare_signature(F.col("kind.terms")).alias("spare"),
             F.explode(F.concat(F.array(F.lit(NO_TERM)), F.col("kind.terms"))).alias("term"),
         )
         .join(terms, "term")
@@ -220,7 +220,7 @@ def fingerprint_report(documents: DataFrame) -> DataFrame:
     def gathered(kind: int) -> list[Column]:
         mine = F.col("kind.kind") == kind
         return [
-            F.array_sort(F.collect_set(F.when(mine, F.col("code")))).alias(f"codes_{kind}"),
+            F.sort_array(F.collect_set(F.when(mine, F.col("code")))).alias(f"codes_{kind}"),
             F.max(F.when(mine, F.col("spare"))).alias(f"spare_{kind}"),
         ]
 
