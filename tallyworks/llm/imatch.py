@@ -199,33 +199,34 @@ def fingerprint_report(documents: DataFrame) -> DataFrame:
             F.struct(F.lit(2).alias("kind"), text_terms(F.col("next_text")).alias("terms")),
         ),
     )
+    identity = ["bucket", "place", "doc_id", "n_chars", "edited_sha256", "over_edge"]
+    # The columns beside the exploded terms stay small: each is repeated for every term.
     words = (
         pairs.select(
-            "bucket",
-            "place",
-            "doc_id",
-            "n_chars",
+            "*",
             F.sha2("edited", 256).alias("edited_sha256"),
-            "over_edge",
-            F.explode(F.filter(kinds, lambda kind: kind.isNotNull())).alias("kind"),
+            F.explode(F.filter(kinds, lambda kind: kind.isNotNull())).alias("version"),
         )
-        .withColumn("spare", spare_signature(F.col("kind.terms")))
+        .select(*identity, "version.kind", "version.terms")
+        .withColumn("spare", spare_signature(F.col("terms")))
         .select(
-            "*",
-            F.explode(F.concat(F.array(F.lit(NO_TERM)), F.col("kind.terms"))).alias("term"),
+            *identity,
+            "kind",
+            "spare",
+            F.explode(F.concat(F.array(F.lit(NO_TERM)), F.col("terms"))).alias("term"),
         )
         .join(terms, "term")
     )
 
     def gathered(kind: int) -> list[Column]:
-        mine = F.col("kind.kind") == kind
+        mine = F.col("kind") == kind
         return [
             F.sort_array(F.collect_set(F.when(mine, F.col("code")))).alias(f"codes_{kind}"),
             F.max(F.when(mine, F.col("spare"))).alias(f"spare_{kind}"),
         ]
 
     marks = (
-        words.groupBy("bucket", "place", "doc_id", "n_chars", "edited_sha256", "over_edge")
+        words.groupBy(*identity)
         .agg(*[column for kind in range(3) for column in gathered(kind)])
         .select(
             "*",
