@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallyworks.llm import imatch, mixing, sharding
+from tallyworks.llm import imatch, mixing, sharding, simhash
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +26,10 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_report(table(spark, folder, "documents"))
 
 
+def op6_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicate_report(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -34,5 +37,6 @@ def queries() -> dict[str, Query]:
             op3_jump_sharding,
             op4_imatch_fingerprints,
             op5_source_mixing,
+            op6_simhash_near_duplicates,
         )
     }
