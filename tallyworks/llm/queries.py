@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import imatch, mixing, sharding, simhash
+from tallyworks.llm import decontaminate, imatch, mixing, sharding, simhash
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def op6_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, folder, "documents"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination_report(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -38,5 +44,6 @@ def queries() -> dict[str, Query]:
             op4_imatch_fingerprints,
             op5_source_mixing,
             op6_simhash_near_duplicates,
+            op10_benchmark_decontamination,
         )
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import imatch, mixing
+from tallyworks.llm import decontaminate, imatch, mixing
 from tallyworks.llm.common import ALNUM_WORD, SPACED_WORD
 
 
@@ -116,8 +116,44 @@ def _likeness(left: str, right: str) -> str:
     )
 
 
+def benchmark_decontamination() -> str:
+    def words(column: str) -> str:
+        lower = f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"regexp_extract_all(coalesce({lower}, ''), '{ALNUM_WORD}')"
+
+    size = decontaminate.WINDOW
+    return f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS row, {words("text")} AS words FROM documents),
+items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, {words("text")} AS words
+  FROM benchmark WHERE text IS NOT NULL),
+phrases AS (
+  SELECT DISTINCT item, words[i:i + {size - 1}] AS phrase
+  FROM (SELECT item, words, unnest(range(1, greatest(2, len(words) - {size} + 2))) AS i
+        FROM items WHERE len(words) > 0)),
+lengths AS (SELECT DISTINCT len(phrase) AS size FROM phrases),
+hits AS (
+  SELECT row, place, size, item
+  FROM (SELECT row, size, unnest(range(1, len(words) - size + 2)) AS place, words
+        FROM docs, lengths WHERE len(words) >= size) windows
+  JOIN phrases ON phrases.phrase = words[place:place + size - 1]),
+covered AS (
+  SELECT row, count(DISTINCT word) AS n_hit
+  FROM (SELECT row, unnest(range(place, place + size)) AS word FROM hits) GROUP BY row),
+named AS (
+  SELECT row, count(DISTINCT item) AS n_items,
+         string_agg(DISTINCT item, ',' ORDER BY item) AS names
+  FROM hits GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (row) LEFT JOIN named USING (row)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_imatch_fingerprints": imatch_fingerprints(),
         "op5_source_mixing": source_mixing(),
+        "op10_benchmark_decontamination": benchmark_decontamination(),
     }
