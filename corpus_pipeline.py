@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import mixing, sharding
+from tallyworks.llm import decontaminate, mixing, quality, sharding, simhash
 from tallyworks.llm.common import table
 from tallyworks.session import settle
 
 SHARDS = 40
 
 
+def reject_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.good_documents(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
@@ -22,7 +34,10 @@ def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("source mixing", mix_sources),
+    ("quality classifier", reject_bad),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate_benchmark),
+    ("mixing sources to target weights", mix_sources),
     ("sharding", deal_shards),
 ]
 
