@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import decontaminate, imatch, mixing, quality, sharding, simhash
+from tallyworks.llm import decontaminate, imatch, langid, mixing, quality, sharding, simhash
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op8_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
 
 
+def op9_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.language_report(table(spark, folder, "documents"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_report(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -49,6 +53,7 @@ def queries() -> dict[str, Query]:
             op5_source_mixing,
             op6_simhash_near_duplicates,
             op8_weak_label_quality,
+            op9_ppm_language,
             op10_benchmark_decontamination,
         )
     }
