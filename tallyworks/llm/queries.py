@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import decontaminate, imatch, langid, mixing, quality, sharding, simhash
+from tallyworks.llm import decontaminate, imatch, langid, mixing, quality, secrets, sharding, simhash
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op6_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, folder, "documents"))
 
 
+def op7_crf_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_report(table(spark, folder, "documents"))
+
+
 def op8_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Query]:
             op4_imatch_fingerprints,
             op5_source_mixing,
             op6_simhash_near_duplicates,
+            op7_crf_secrets,
             op8_weak_label_quality,
             op9_ppm_language,
             op10_benchmark_decontamination,
