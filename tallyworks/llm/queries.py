@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import decontaminate, imatch, langid, mixing, quality, secrets, sharding, simhash
+from tallyworks.llm import chat, decontaminate, imatch, langid, licenses, mixing, quality, secrets, sharding, simhash
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, folder, "documents"))
+
+
+def op2_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
 def op3_jump_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_report(table(spark, folder, "documents"), SHARDS)
 
@@ -52,6 +60,8 @@ def queries() -> dict[str, Query]:
     return {
         query.__name__: query
         for query in (
+            op1_license_scan,
+            op2_chat_snapshots,
             op3_jump_sharding,
             op4_imatch_fingerprints,
             op5_source_mixing,

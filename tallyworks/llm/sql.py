@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import decontaminate, imatch, mixing
+from tallyworks.llm import chat, decontaminate, imatch, mixing
 from tallyworks.llm.common import ALNUM_WORD, SPACED_WORD
 
 
@@ -10,6 +10,31 @@ def hash_fraction(text: str) -> str:
     return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT / {float(2**52)!r}::DOUBLE)"
 
 
+def chat_snapshots() -> str:
+    opening, middle, closing = (
+        " || ".join(f"'{part}'" if part else "chr(10)" for part in parts)
+        for parts in (["<|im_start|>"], [""], ["<|im_end|>", ""])
+    )
+    return f"""
+WITH turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations)),
+whole AS (
+  SELECT conv_id, list(struct_pack(role, text) ORDER BY place) AS said FROM turns GROUP BY conv_id),
+smallest AS (SELECT said, min(conv_id) AS conv_id FROM whole GROUP BY said),
+kept AS (
+  SELECT conv_id, len(said) AS n_turns FROM smallest a
+  WHERE NOT EXISTS (
+    SELECT 1 FROM smallest b
+    WHERE b.said[1] = a.said[1] AND len(b.said) > len(a.said)
+      AND b.said[1:len(a.said)] = a.said))
+SELECT t.conv_id, ((place - 1) // {chat.BLOCK})::BIGINT AS part, any_value(n_turns)::BIGINT AS n_turns,
+       string_agg({opening} || role || {middle} || text || {closing}, '' ORDER BY place) AS rendered
+FROM turns t JOIN kept ON t.conv_id IS NOT DISTINCT FROM kept.conv_id
+GROUP BY t.conv_id, part"""
+
+
 def source_mixing(seed: str = "mix") -> str:
     weights = f"[{', '.join(map(str, mixing.WEIGHTS))}]"
     return f"""
@@ -153,6 +178,7 @@ FROM docs LEFT JOIN covered USING (row) LEFT JOIN named USING (row)"""
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_chat_snapshots": chat_snapshots(),
         "op4_imatch_fingerprints": imatch_fingerprints(),
         "op5_source_mixing": source_mixing(),
         "op10_benchmark_decontamination": benchmark_decontamination(),
