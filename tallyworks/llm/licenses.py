@@ -18,6 +18,7 @@ from tallyworks.llm.decontaminate import words_of
 # passage of GRAM + WINNOW - 1 words, the shortest template's, gives a common fingerprint.
 GRAM = 3
 WINNOW = 3
+# Widest band; a quarter of the template's words if that is less.
 BAND = 8
 # Matched share of a template's words from which it is reported.
 COVERAGE = 0.8
@@ -179,14 +180,15 @@ class TemplateIndex:
             return []
         found = []
         for number, diagonals in candidates.items():
-            template, reach = self.words[number], -1
+            template, reach = self.words[number], -len(self.words[number])
+            band = max(1, min(BAND, len(template) // 4))
             best: list[tuple[int, int, int]] = []
             for diagonal in sorted(diagonals):
                 if diagonal <= reach:
                     continue
                 # Diagonals inside the band of this one are the same passage.
-                reach = diagonal + BAND // 2
-                matched, start, end = align(template, words, diagonal, BAND)
+                reach = diagonal + band // 2
+                matched, start, end = align(template, words, diagonal, band)
                 if matched < coverage * len(template):
                     continue
                 if best and start < best[-1][2]:

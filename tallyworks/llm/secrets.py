@@ -214,6 +214,12 @@ def true_tags(tokens: list[re.Match], spans: Iterable[Span]) -> np.ndarray:
     return tags
 
 
+def looks_random(token: str) -> bool:
+    """Letters and digits that alternate often: perhaps a secret that no base pattern knows."""
+    changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
+    return len(token) >= 12 and changes >= 4 and any(map(str.isalpha, token))
+
+
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -247,7 +253,8 @@ def training_windows(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
     """Windows around base spans, and around tokens that look most like them but are none.
 
     Each window around a base span comes with its secret in other disguises, and with
-    and without what neighbours say, so that neither alone decides.
+    and without what neighbours say, so that neither alone decides. Tokens that look
+    random but match no base pattern are of unknown kind: their windows are left out.
     """
     matches = list(TOKEN.finditer(text))
     tokens = [match.group() for match in matches]
@@ -274,7 +281,13 @@ def training_windows(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
         for place, token in enumerate(tokens)
         if tags[place] == OUTSIDE and (len(token) >= 12 or any(map(str.isdigit, token)))
     ]
-    for place, centre in enumerate([*hard[:WINDOWS], len(tokens) // 2]):
+    unknown = {place for place in hard if looks_random(tokens[place])}
+    clear = [
+        place
+        for place in [*hard, len(tokens) // 2]
+        if unknown.isdisjoint(range(place - REACH, place + REACH + 1))
+    ]
+    for place, centre in enumerate([*clear[:WINDOWS], *clear[WINDOWS:][-1:]]):
         start = centre - REACH
         yield window_features(tokens, shared, start, size, bool(place % 2)), labels(start)
 
