@@ -44,10 +44,21 @@ Span = tuple[str, int, int]
 PARTS = ("kind", "start", "end")
 
 
+# Every match of a kind needs one of these in the lower-case text; a hex match, so long a run.
+NEEDED = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",)}
+DIGIT = re.compile(r"[0-9]")
+LONG_RUN = re.compile(r"[0-9a-f]{32}")
+
+
 def base_spans(text: str) -> list[Span]:
     """All base matches, code points, end exclusive, by start and then kind."""
     found = []
+    lower = text.lower()
     for place, (kind, pattern, shortest) in enumerate(BASE):
+        if kind in NEEDED and not any(part in lower for part in NEEDED[kind]):
+            continue
+        if kind == "hex" and not LONG_RUN.search(text):
+            continue
         for match in pattern.finditer(text):
             low, high = match.span(pattern.groups)
             if high - low >= shortest:
@@ -59,6 +70,17 @@ def feature(name: str) -> int:
     return zlib.crc32(name.encode()) % FEATURES
 
 
+ROLES = ("own word", "before", "two before", "after")
+# The checksum runs on from a role's name over the word.
+ROLE_SEEDS = [zlib.crc32(f"{role} ".encode()) for role in ROLES]
+
+
+def word_ids(word: str) -> list[int]:
+    """Features of a word for itself, the next token, the one after, and the one before."""
+    name = word.encode()
+    return [zlib.crc32(name, seed) % FEATURES for seed in ROLE_SEEDS]
+
+
 def token_shape(token: str) -> list[str]:
     """What a token looks like, apart from which word it is."""
     size = len(token)
@@ -87,14 +109,16 @@ def token_shape(token: str) -> list[str]:
 
 def token_word(token: str) -> str:
     """The token itself if it could be a word; others are alike for their neighbours."""
-    return token.lower() if len(token) <= 16 and not any(map(str.isdigit, token)) else "#"
+    if len(token) <= 16 and DIGIT.search(token) is None:
+        return token.lower()
+    return "#"
 
 
 def token_features(token: str) -> list[list[int]]:
-    """Features that a token gives itself, the next token, the one after, and the one before."""
-    word = token_word(token)
-    own = [feature(f"own {name}") for name in [*token_shape(token), f"word {word}"]]
-    return [own, *[[feature(f"{role} {word}")] for role in ("before", "two before", "after")]]
+    """All features that a token gives itself, the next token, the one after, and the one before."""
+    own, *others = word_ids(token_word(token))
+    shape = [feature(f"own {name}") for name in token_shape(token)]
+    return [[*shape, own], *[[other] for other in others]]
 
 
 def file_features(text: str, tokens: list[str]) -> list[int]:
@@ -338,18 +362,38 @@ class Scanner:
     def __init__(self, field: Field):
         self.field = field
         self.number: dict[str, int] = {}
-        self.scores = np.zeros((1024, 4, 3))
+        self.scores = np.zeros((1024, len(ROLES), 3))
+        self.shapes: dict[object, tuple[float, ...]] = {}
+
+    def shape_score(self, token: str) -> tuple[float, ...]:
+        """Score of the token's shape; without digits, kinds of characters and length are all of it."""
+        size = len(token)
+        plain = size > 1 and DIGIT.search(token) is None
+        key: object = token
+        if plain:
+            key = (token.lower() != token, token.upper() != token, token.isalpha(), size)
+        score = self.shapes.get(key)
+        if score is None:
+            found = [feature(f"own {name}") for name in token_shape(token)]
+            score = tuple(self.field.emit[found].sum(axis=0).tolist())
+            if plain or size == 1:
+                self.shapes[key] = score
+        return score
 
     def lookup(self, tokens: list[str]) -> np.ndarray:
         if len(self.number) > KNOWN_TOKENS:
             self.number = {}
         number = self.number
-        for token in set(tokens).difference(number):
-            place = number[token] = len(number)
-            if place >= len(self.scores):
+        new = [token for token in set(tokens) if token not in number]
+        if new:
+            first = len(number)
+            number.update(zip(new, range(first, first + len(new)), strict=True))
+            while len(number) > len(self.scores):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            for role, found in enumerate(token_features(token)):
-                self.scores[place, role] = self.field.emit[found].sum(axis=0)
+            ids = np.array([word_ids(token_word(token)) for token in new])
+            scores = self.field.emit[ids]
+            scores[:, 0] += [self.shape_score(token) for token in new]
+            self.scores[first : len(number)] = scores
         return np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
 
     def learned_spans(self, text: str, base: list[Span]) -> list[Span]:
