@@ -63,6 +63,11 @@ goods AS (
   FROM part
 )"""
 
+UNFORESEEN = LINES.replace(
+    "c_mktsegment AS segment",
+    "CASE WHEN c_custkey % 10 = 0 THEN 'UNFORESEEN' ELSE c_mktsegment END AS segment",
+)
+
 LEDGER = (
     LINES
     + f""",
@@ -140,6 +145,11 @@ by_channel AS (
 )"""
 )
 
+KEPT = "kept AS (SELECT * FROM ledger WHERE NOT is_returned)"
+# Every seventh product's sales have no status: the views drop them, the summaries keep them.
+KNOWN_STATUS = "kept AS (SELECT * FROM ledger WHERE NOT is_returned AND product_id % 7 <> 0)"
+UNKNOWN_STATUS = "kept AS (SELECT * FROM ledger WHERE NOT is_returned OR product_id % 7 = 0)"
+
 PRODUCT_TOTALS = (
     LEDGER
     + f""",
@@ -159,16 +169,17 @@ by_product AS (
 # quantity, missing revenue and campaign. The moduli only place the faults.
 DIRTY = (
     LINES
-    + """,
+    + f""",
 dirty AS (
-  SELECT transaction_id, date, customer_id, product_id, channel,
+  SELECT transaction_id, date, customer_id, product_id, channel, gross_c, discount_c, is_returned, unit_price,
          CASE WHEN l_orderkey % 17 <> 0 THEN campaign END AS campaign,
          CASE WHEN l_partkey % 13 = 0 THEN 0 ELSE quantity END AS quantity,
          discount_pct,
          CASE WHEN l_partkey % 17 = 0 THEN NULL
               WHEN l_partkey % 11 = 0 THEN -revenue_c ELSE revenue_c END AS revenue_c,
          status
-  FROM (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_orderkey % 7 = 0)
+  FROM (SELECT *, {even(f"{money('gross_c')} / quantity")} AS unit_price
+        FROM (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_orderkey % 7 = 0))
 ),
 spotless AS (SELECT DISTINCT * FROM dirty),
 judged AS (
@@ -179,7 +190,8 @@ judged AS (
 )
 DIRTY_COLUMNS = (
     "transaction_id, date, customer_id, product_id, channel, campaign, quantity, discount_pct, "
-    f"{money('revenue_c')} AS revenue, status"
+    f"{money('revenue_c')} AS revenue, status, is_returned, "
+    f"{money('discount_c')} AS discount_amount, unit_price"
 )
 
 
@@ -423,12 +435,42 @@ UNION ALL SELECT 'channel_summary', count(*) FROM (
   WHERE date IS NOT NULL AND campaign IS NOT NULL)"""
 
 
+# Queries that store a result and read it back, by the query whose rows they must return.
+STORED = {
+    "exported_monthly_summary": "monthly_summary",
+    "exported_category_summary": "category_summary",
+    "exported_region_summary": "region_summary",
+    "exported_channel_summary": "channel_summary",
+    "exported_ledger": "enriched_ledger",
+    "exported_forecast_detail": "forecast_detail",
+    "exported_actuals_and_forecast": "actuals_and_forecast",
+    "monthly_kpis_view": "monthly_kpis",
+    "category_performance_view": "category_performance",
+    "regional_heatmap_view": "regional_heatmap",
+    "channel_campaign_view": "channel_campaign",
+    "top_products_view": "top_products",
+    "customer_rfm_view": "customer_rfm",
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    computed = computed_sql()
+    return computed | {name: computed[origin] for name, origin in STORED.items()}
+
+
+def computed_sql() -> dict[str, str]:
     return {
         # sources and projections
         "transactions": f"""{with_(LINES)}
 SELECT transaction_id, date, customer_id, product_id, channel, campaign, quantity, {RAW_MONEY},
        is_returned, status FROM lines""",
+        "quarantined_transactions": f"""{with_(LINES)}
+SELECT transaction_id,
+       concat_ws(',', CASE WHEN product_id % 19 = 0 THEN 'quantity' END,
+                 CASE WHEN product_id % 11 = 0 OR product_id % 13 = 0 THEN 'revenue' END)
+         AS fault_columns,
+       CASE WHEN fault_columns = '' THEN date END AS date
+FROM lines""",
         "transactions_from_csv": f"""{with_(LEDGER)}
 SELECT transaction_id, date, customer_id::VARCHAR AS customer_id,
        product_id::VARCHAR AS product_id, channel, campaign, quantity, {RAW_MONEY},
@@ -468,6 +510,12 @@ FROM lines LEFT JOIN (SELECT * FROM goods WHERE product_id % 10 <> 0) USING (pro
         "product_lookup_salted": f"""{with_(LINES)}
 SELECT transaction_id, product_id, category, {money("price_c")} AS cost_price
 FROM lines LEFT JOIN goods USING (product_id)""",
+        "customer_lookup_salted": f"""{with_(LINES)}
+SELECT transaction_id, customer_id, region, segment, city
+FROM lines LEFT JOIN people USING (customer_id)""",
+        "order_lookup_salted": f"""{with_(LINES)}
+SELECT transaction_id, date, customer_id, product_id, channel, campaign, quantity, {RAW_MONEY},
+       is_returned, status FROM lines""",
         "enriched_ledger": f"{with_(LEDGER)} {LEDGER_OUT}",
         "high_value_threshold": f"""{with_(LINES)}
 SELECT {even(money("quantile_cont(revenue_c::DOUBLE, 0.9)"), 6)} AS threshold FROM lines""",
@@ -514,6 +562,11 @@ SELECT year, month, channel, campaign, {money("revenue_c")} AS revenue, orders,
        avg_discount AS avg_discount_pct, {money("discount_c")} AS total_discount_given,
        {up_ratio("revenue_c", "100 * orders")} AS revenue_per_order FROM by_channel""",
         "top_products": f"{with_(PRODUCT_TOTALS)} SELECT * FROM by_product",
+        "top_products_unknown_status": f"""{with_(PRODUCT_TOTALS.replace(KEPT, KNOWN_STATUS))}
+SELECT * FROM by_product""",
+        "customer_rfm_unknown_status": f"{with_(LEDGER.replace(KEPT, KNOWN_STATUS))} {RFM_OUT}",
+        "category_summary_unknown_status": f"""{with_(CATEGORY.replace(KEPT, UNKNOWN_STATUS))}
+{CATEGORY_OUT}""",
         "customer_rfm": f"{with_(LEDGER)} {RFM_OUT}",
         "best_products": f"""{with_(PRODUCT_TOTALS)}
 SELECT product_id, category, total_revenue, avg_margin_pct FROM by_product
@@ -527,11 +580,11 @@ SELECT period, category, {money("c.revenue_c")} AS revenue,
        {money("m.revenue_c")} AS total_revenue,
        {up_ratio("100 * c.revenue_c", "m.revenue_c")} AS revenue_share_pct
 FROM by_category c JOIN monthly m USING (year, month)""",
-        "region_segment_matrix": f"""{with_(REGION)}
+        "region_segment_matrix": f"""{with_(REGION.replace(LINES, UNFORESEEN))}
 SELECT region, """
         + ", ".join(
             f"""{money(f"sum(revenue_c) FILTER (segment = '{s}')")} AS "{s}" """
-            for s in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+            for s in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "UNFORESEEN"]
         )
         + " FROM by_region GROUP BY region",
         "channel_stack": f"""{with_(CHANNEL)}
@@ -579,6 +632,4 @@ UNION ALL SELECT 'validate', unnest(['loaded', 'remaining']), count(*) FROM line
 UNION ALL SELECT 'validate',
   unnest(['duplicates', 'negative_revenue', 'non_positive_quantity', 'removed']), 0
 UNION ALL SELECT 'nulls', 'campaign', count(*) FROM lines WHERE campaign IS NULL""",
-        "exported_monthly_summary": f"{with_(MONTHLY)} {MONTHLY_OUT}",
-        "monthly_kpis_view": f"{with_(MONTHLY)} {KPIS_OUT}",
     }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks.oracle import AS_OF
 from tallyworks import schemas
 from tallyworks.functions.calendar import date_features, period
+from tallyworks.functions.keys import business_key
 from tallyworks.functions.rounding import decimals_as_doubles, half_even
 from tallyworks.operators import enrich, quality, quantile, regression, reports, series
 from tallyworks.operators.joins import salted_lookup
@@ -23,7 +24,6 @@ from tallyworks.sources import files, star
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF_DATE = dt.date.fromisoformat(AS_OF)
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def transactions_as_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +69,8 @@ def products_from_csv(spark: SparkSession, folder: str) -> DataFrame:
 def source_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return quality.table_counts(
         {
-            "transactions": star.transactions(spark, folder),
+            # an order lookup keeps every line, so its rows need no counting
+            "transactions": star.priced_lines(spark, folder),
             "customers": star.customers(spark, folder),
             "products": star.products(spark, folder),
         }
@@ -88,17 +89,17 @@ def campaign_null_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def business_keys(spark: SparkSession, folder: str) -> DataFrame:
-    def keys(table: str, column: str, kind: str, pattern: str) -> DataFrame:
+    def keys(table: str, column: str, kind: str) -> DataFrame:
         return star.read_table(spark, folder, table).select(
             F.lit(kind).alias("kind"),
             F.col(column).alias("number"),
-            F.format_string(pattern, column).alias("business_key"),
+            business_key(kind, column).alias("business_key"),
         )
 
     return (
-        keys("customer", "c_custkey", "customer", "CUST%05d")
-        .unionByName(keys("part", "p_partkey", "product", "PROD%04d"))
-        .unionByName(keys("orders", "o_orderkey", "transaction", "TXN%07d"))
+        keys("customer", "c_custkey", "customer")
+        .unionByName(keys("part", "p_partkey", "product"))
+        .unionByName(keys("orders", "o_orderkey", "transaction"))
     )
 
 
@@ -123,24 +124,41 @@ def customer_lookup(spark: SparkSession, folder: str) -> DataFrame:
 def product_lookup_with_misses(spark: SparkSession, folder: str) -> DataFrame:
     """Every tenth product is unknown, so the left join must keep unmatched rows."""
     known = star.products(spark, folder).where(F.col("product_id") % 10 != 0)
-    joined = enrich.with_product(
-        star.transactions(spark, folder), known, keys_from=star.priced_lines(spark, folder)
-    )
+    joined = enrich.with_product(star.priced_lines(spark, folder), known)
     return joined.select("transaction_id", "product_id", "category", "cost_price")
 
 
 def product_lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
     """The shuffle route of the product lookup, whatever the product table's size."""
     products = star.products(spark, folder).select("product_id", "category", "cost_price")
+    joined = salted_lookup(
+        star.priced_lines(spark, folder), products, "product_id", "left", ["transaction_id"]
+    )
+    return joined.select("transaction_id", "product_id", "category", "cost_price")
+
+
+def customer_lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
+    places = star.customers(spark, folder).select("customer_id", "region", "segment", "city")
     joined = salted_lookup(
         star.transactions(spark, folder),
-        products,
-        "product_id",
+        places,
+        "customer_id",
         "left",
-        ["customer_id", "date", "revenue", "quantity"],
-        keys_from=star.priced_lines(spark, folder),
+        ["transaction_id"],
+        keys_from=star.order_facts(spark, folder),
     )
-    return joined.select("transaction_id", "product_id", "category", "cost_price")
+    return joined.select("transaction_id", "customer_id", "region", "segment", "city")
+
+
+def order_lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
+    joined = salted_lookup(
+        star.priced_lines(spark, folder),
+        star.order_facts(spark, folder),
+        "l_orderkey",
+        "left",
+        ["transaction_id"],
+    )
+    return joined.select(star.TRANSACTION_COLUMNS)
 
 
 def enriched_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,20 +184,14 @@ def faulty_transactions(spark: SparkSession, folder: str) -> DataFrame:
     order, product = keys[0].cast("long"), F.col("product_id")
     repeated = rows.unionByName(rows.where(order % 7 == 0))
     revenue = F.col("revenue")
-    return repeated.select(
-        "transaction_id",
-        "date",
-        "customer_id",
-        "product_id",
-        "channel",
-        F.when(order % 17 != 0, F.col("campaign")).alias("campaign"),
-        F.when(product % 13 == 0, F.lit(0)).otherwise(F.col("quantity")).alias("quantity"),
-        "discount_pct",
-        F.when(product % 17 == 0, None)
-        .when(product % 11 == 0, -revenue)
-        .otherwise(revenue)
-        .alias("revenue"),
-        "status",
+    return repeated.withColumns(
+        {
+            "campaign": F.when(order % 17 != 0, F.col("campaign")),
+            "quantity": F.when(product % 13 == 0, F.lit(0)).otherwise(F.col("quantity")),
+            "revenue": F.when(product % 17 == 0, None)
+            .when(product % 11 == 0, -revenue)
+            .otherwise(revenue),
+        }
     )
 
 
@@ -222,19 +234,31 @@ def channel_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return early.kpi_totals(
-        star.transactions(spark, folder),
-        star.products(spark, folder),
-        star.priced_lines(spark, folder),
-    )
+    return early.kpi_totals(star.priced_lines(spark, folder), star.products(spark, folder))
 
 
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
-    return early.top_products(
-        star.transactions(spark, folder),
-        star.products(spark, folder),
-        star.priced_lines(spark, folder),
-    )
+    return early.top_products(star.priced_lines(spark, folder), star.products(spark, folder))
+
+
+def with_unknown_status(rows: DataFrame) -> DataFrame:
+    """Every seventh product's sales without a status."""
+    return rows.withColumn("status", F.when(F.col("product_id") % 7 != 0, F.col("status")))
+
+
+def top_products_unknown_status(spark: SparkSession, folder: str) -> DataFrame:
+    lines = with_unknown_status(star.priced_lines(spark, folder))
+    return early.top_products(lines, star.products(spark, folder))
+
+
+def customer_rfm_unknown_status(spark: SparkSession, folder: str) -> DataFrame:
+    rows = with_unknown_status(star.transactions(spark, folder))
+    return early.customer_rfm(rows, star.customers(spark, folder), AS_OF_DATE)
+
+
+def category_summary_unknown_status(spark: SparkSession, folder: str) -> DataFrame:
+    rows = with_unknown_status(star.transactions(spark, folder))
+    return early.category_summary(rows, star.products(spark, folder))
 
 
 def customer_rfm(spark: SparkSession, folder: str) -> DataFrame:
@@ -373,16 +397,52 @@ def etl_audit(spark: SparkSession, folder: str) -> DataFrame:
     return etl.audit(collapsed, stored_tables(spark, folder, collapsed))
 
 
-def exported_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
-    summary = decimals_as_doubles(monthly_summary(spark, folder))
-    path = write_csv(summary, scratch_path(spark, "csv"), "monthly_summary")
-    return spark.read.schema(summary.schema).option("header", True).csv(path)
+def exported(query: Query) -> Query:
+    """The query's rows written as a CSV export and read back with their types."""
 
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = decimals_as_doubles(query(spark, folder))
+        path = write_csv(rows, scratch_path(spark, "csv"), "export")
+        return spark.read.schema(rows.schema).option("header", True).csv(path)
 
-def monthly_kpis_view(spark: SparkSession, folder: str) -> DataFrame:
-    collapsed = etl.collapse(star.transactions(spark, folder))
-    register_views(stored_tables(spark, folder, collapsed), AS_OF_DATE)
-    return spark.sql("SELECT * FROM vw_monthly_kpis")
+    return run
+
+
+def from_view(name: str) -> Query:
+    """All rows of a report view over the tables that the job stores."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        collapsed = etl.collapse(star.transactions(spark, folder))
+        register_views(stored_tables(spark, folder, collapsed), AS_OF_DATE)
+        return spark.sql(f"SELECT * FROM {name}")
+
+    return run
+
+
+def quarantined_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults planted in a CSV: what the reader takes, and what it sets apart and why."""
+    rows = transactions_as_text(spark, folder)
+    text = rows.select([F.col(c).cast("string").alias(c) for c in rows.columns])
+    product = F.col("product_id").cast("long")
+    planted = text.withColumns(
+        {
+            "date": F.when(product % 5 == 0, F.concat("date", F.lit(" 00:00:00"))).otherwise(F.col("date")),
+            "revenue": F.when(product % 11 == 0, F.lit("abc"))
+            .when(product % 13 == 0, F.lit("12345678901234.00"))
+            .when(product % 17 == 0, F.lit("NA"))
+            .otherwise(F.col("revenue")),
+            "quantity": F.when(product % 19 == 0, F.lit("2.5")).otherwise(F.col("quantity")),
+        }
+    )
+    path = write_csv(planted, scratch_path(spark, "csv"), "transactions.csv")
+    checked = files.read_checked(spark, path, schemas.TRANSACTIONS)
+    return files.quarantined(checked).select(
+        F.col("source.transaction_id").alias("transaction_id"),
+        F.array_join("faults", ",").alias("fault_columns"),
+        F.lit(None).cast("date").alias("date"),
+    ).unionByName(
+        files.accepted(checked).select("transaction_id", F.lit("").alias("fault_columns"), "date")
+    )
 
 
 def then(query: Query, *operators: Callable[..., DataFrame]) -> Query:
@@ -395,14 +455,25 @@ def then(query: Query, *operators: Callable[..., DataFrame]) -> Query:
     return run
 
 
-def region_matrix(region: DataFrame) -> DataFrame:
-    return reports.region_segment_matrix(region, SEGMENTS)
+def region_segment_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers of every tenth key form a segment that no list would foresee."""
+    places = star.customers(spark, folder).withColumn(
+        "segment", F.when(F.col("customer_id") % 10 == 0, "UNFORESEEN").otherwise(F.col("segment"))
+    )
+    region = early.region_summary(
+        star.transactions(spark, folder),
+        places,
+        star.products(spark, folder),
+        star.priced_lines(spark, folder),
+    )
+    return reports.region_segment_matrix(settle(region, "region"))
 
 
 QUERIES: dict[str, Query] = {
     # sources and projections
     "transactions": star.transactions,
     "transactions_from_csv": transactions_from_csv,
+    "quarantined_transactions": quarantined_transactions,
     "customers": star.customers,
     "customers_from_csv": customers_from_csv,
     "products": star.products,
@@ -414,6 +485,8 @@ QUERIES: dict[str, Query] = {
     "customer_lookup": customer_lookup,
     "product_lookup_with_misses": product_lookup_with_misses,
     "product_lookup_salted": product_lookup_salted,
+    "customer_lookup_salted": customer_lookup_salted,
+    "order_lookup_salted": order_lookup_salted,
     "enriched_ledger": enriched_ledger,
     "high_value_threshold": high_value_threshold,
     # validation
@@ -437,10 +510,13 @@ QUERIES: dict[str, Query] = {
     "channel_campaign": then(channel_summary, reports.channel_campaign),
     "top_products": top_products,
     "customer_rfm": customer_rfm,
+    "top_products_unknown_status": top_products_unknown_status,
+    "customer_rfm_unknown_status": customer_rfm_unknown_status,
+    "category_summary_unknown_status": category_summary_unknown_status,
     "best_products": best_products,
     "category_drill_through": then(category_summary, reports.category_drill_through),
     "category_within_month": category_within_month,
-    "region_segment_matrix": then(region_summary, region_matrix),
+    "region_segment_matrix": region_segment_matrix,
     "channel_stack": then(channel_summary, reports.channel_stack),
     # series and forecasts
     "stored_monthly_series": stored_monthly_series,
@@ -462,8 +538,19 @@ QUERIES: dict[str, Query] = {
     "stored_ledger": stored_ledger,
     "stored_table_counts": stored_table_counts,
     "etl_audit": etl_audit,
-    "exported_monthly_summary": exported_monthly_summary,
-    "monthly_kpis_view": monthly_kpis_view,
+    "exported_monthly_summary": exported(monthly_summary),
+    "exported_category_summary": exported(category_summary),
+    "exported_region_summary": exported(region_summary),
+    "exported_channel_summary": exported(channel_summary),
+    "exported_ledger": exported(enriched_ledger),
+    "exported_forecast_detail": exported(forecast_detail),
+    "exported_actuals_and_forecast": exported(actuals_and_forecast),
+    "monthly_kpis_view": from_view("vw_monthly_kpis"),
+    "category_performance_view": from_view("vw_category_performance"),
+    "regional_heatmap_view": from_view("vw_regional_heatmap"),
+    "channel_campaign_view": from_view("vw_channel_campaign"),
+    "top_products_view": from_view("vw_top_products"),
+    "customer_rfm_view": from_view("vw_customer_rfm"),
 }
 
 

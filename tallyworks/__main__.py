@@ -22,11 +22,13 @@ def main() -> None:
     options = parser.parse_args()
     spark = get_session(cores=options.local_cores)
     if not options.forecast_only:
+        paths = [f"{options.source}/{name}.csv" for name in ("transactions", "customers", "products")]
         etl.run_etl(
-            files.read_transactions(spark, f"{options.source}/transactions.csv"),
-            files.read_customers(spark, f"{options.source}/customers.csv"),
-            files.read_products(spark, f"{options.source}/products.csv"),
+            files.read_transactions(spark, paths[0]),
+            files.read_customers(spark, paths[1]),
+            files.read_products(spark, paths[2]),
             options.target,
+            files.quarantines(spark, *paths),
         )
     etl.run_forecast(spark, options.target, horizon=options.horizon)
     spark.stop()

@@ -41,7 +41,7 @@ def with_customer(
         transactions,
         customers.select("customer_id", "region", "segment", "city"),
         "customer_id",
-        spread_by=["product_id", "date", "revenue", "quantity"],
+        spread_by=["transaction_id", "product_id", "revenue"],
         keys_from=keys_from,
     )
 
@@ -53,7 +53,7 @@ def with_product(
         transactions,
         products.select("product_id", "category", "cost_price"),
         "product_id",
-        spread_by=["customer_id", "date", "revenue", "quantity"],
+        spread_by=["transaction_id", "revenue", "quantity"],
         keys_from=keys_from,
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from tallyworks.session import bytes_setting, input_bytes
 
 # Limits of the frequent-items sketch: items tracked at least, and at most.
 MIN_TRACKED = 4_096
-MAX_TRACKED = 1_000_000
+MAX_TRACKED = 65_536
 
 
 def shuffle_partitions(frame: DataFrame) -> int:
@@ -27,13 +28,25 @@ def hot_keys(fact: DataFrame, key: str) -> DataFrame:
     misses is joined like any other.
     """
     partitions = shuffle_partitions(fact)
-    tracked = min(max(MIN_TRACKED, 8 * partitions), MAX_TRACKED)
-    sketch = F.expr(f"approx_top_k({key}, {partitions}, {tracked})")
+    tracked = min(max(MIN_TRACKED, 4 * partitions), MAX_TRACKED)
+    # Splits' sketches merge in groups first, so that no task receives all of them.
+    groups = max(2, math.isqrt(partitions))
+    merged = (
+        fact.where(F.col(key).isNotNull())
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("sketch_group"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("sketch"),
+            F.count(F.lit(1)).alias("keyed_rows"),
+        )
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
+            F.sum("keyed_rows").alias("keyed_rows"),
+        )
+    )
     load = F.col("entry.count") * partitions / F.col("keyed_rows")
     return (
-        fact.where(F.col(key).isNotNull())
-        .agg(sketch.alias("top"), F.count(F.lit(1)).alias("keyed_rows"))
-        .select("keyed_rows", F.explode("top").alias("entry"))
+        merged.where(F.col("keyed_rows") > 0)
+        .select("keyed_rows", F.expr(f"explode(approx_top_k_estimate(sketch, {partitions}))").alias("entry"))
         .where(load >= 1)
         .select(F.col("entry.item").alias(key), (F.ceil(load) + 1).cast("int").alias("salts"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.functions.rounding import exact_ratio, half_up
-from tallyworks.operators.enrich import not_returned
+from tallyworks.operators.enrich import RETURNED
 from tallyworks.operators.summaries import with_period
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -52,6 +52,11 @@ def monthly_kpis(monthly: DataFrame) -> DataFrame:
     )
 
 
+def sold(ledger: DataFrame) -> DataFrame:
+    """The views' own filter: a row of unknown status does not count as sold."""
+    return ledger.where(F.col("status") != RETURNED)
+
+
 def _by_month_and_revenue(frame: DataFrame) -> DataFrame:
     return frame.orderBy("year", "month", F.desc_nulls_first("revenue"))
 
@@ -109,7 +114,7 @@ def top_products(ledger: DataFrame) -> DataFrame:
     """Totals per product and category; rows without a category stay."""
     hundredths = F.rint(F.col("gross_margin_pct") * 100.0).cast("long")
     return (
-        not_returned(ledger)
+        sold(ledger)
         .groupBy("product_id", "category")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
@@ -165,7 +170,7 @@ def purchase_totals() -> list[Column]:
 
 def customer_rfm(ledger: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     purchases = (
-        not_returned(ledger).groupBy("customer_id", "region", "segment").agg(*purchase_totals())
+        sold(ledger).groupBy("customer_id", "region", "segment").agg(*purchase_totals())
     )
     return recency_frequency_monetary(purchases, as_of)
 
@@ -204,9 +209,13 @@ def category_within_month(category: DataFrame, monthly: DataFrame) -> DataFrame:
     )
 
 
-def region_segment_matrix(region: DataFrame, segments: list[str]) -> DataFrame:
-    """One row per region, one revenue column per segment."""
-    return region.groupBy("region").pivot("segment", segments).agg(F.sum("revenue")).orderBy("region")
+def region_segment_matrix(region: DataFrame) -> DataFrame:
+    """One row per region, one revenue column for every segment that occurs.
+
+    Spark lists the segments of the summary first, and refuses more than
+    ``spark.sql.pivotMaxValues``; a summary that is not stored is computed for that too.
+    """
+    return region.groupBy("region").pivot("segment").agg(F.sum("revenue")).orderBy("region")
 
 
 def channel_stack(channel: DataFrame) -> DataFrame:

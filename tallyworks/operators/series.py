@@ -45,12 +45,16 @@ def total_series(monthly: DataFrame) -> DataFrame:
 def keyed_series(sales: DataFrame, *keys: str) -> DataFrame:
     """One series per combination of ``keys``, named by joining them with '/'.
 
+    A '/' or backslash inside a key is preceded by a backslash, so that different
+    keys have different names.
+
     Without keys there is one series, ``total``.
     ``sales`` has year, month, the keys and revenue: a summary, or ledger rows
     without the returned ones.
     """
     start = month_start(F.col("year"), F.col("month"))
-    name = F.concat_ws("/", *keys) if keys else F.lit("total")
+    parts = [F.regexp_replace(F.col(key).cast("string"), r"([/\\])", r"\\$1") for key in keys]
+    name = F.concat_ws("/", *parts) if keys else F.lit("total")
     return (
         sales.dropna(subset=["year", "month", *keys])
         .groupBy(*keys, "year", "month")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.calendar import month_start, period
-from tallyworks.functions.rounding import as_double_ratio, half_even
+from tallyworks.functions.rounding import as_double_ratio, as_totals, half_even
 from tallyworks.operators.enrich import not_returned
 
 MONTH = ["year", "month"]
@@ -63,7 +63,7 @@ def monthly_totals(rows: DataFrame, *more: Column) -> DataFrame:
 def labelled_months(totals: DataFrame) -> DataFrame:
     # month_name, quarter and period follow from (year, month): two integers shuffle
     start = month_start(F.col("year"), F.col("month"))
-    return totals.select(
+    return as_totals(totals).select(
         "year",
         "month",
         F.monthname(start).alias("month_name"),
@@ -93,7 +93,7 @@ def monthly_summary(ledger: DataFrame) -> DataFrame:
 
 def category_summary(ledger: DataFrame) -> DataFrame:
     keys = [*MONTH, "category"]
-    return (
+    totals = (
         known_rows(ledger, keys)
         .groupBy(*keys)
         .agg(
@@ -102,8 +102,8 @@ def category_summary(ledger: DataFrame) -> DataFrame:
             F.count("transaction_id").alias("orders"),
             F.sum("quantity").alias("units"),
         )
-        .orderBy(*keys)
     )
+    return as_totals(totals).orderBy(*keys)
 
 
 def region_summary(ledger: DataFrame) -> DataFrame:
@@ -114,12 +114,12 @@ def region_summary(ledger: DataFrame) -> DataFrame:
         F.sum("profit").alias("profit"),
         F.count("transaction_id").alias("orders"),
     )
-    return totals.join(customers_per(rows, keys, "customers"), keys).orderBy(*keys)
+    return as_totals(totals).join(customers_per(rows, keys, "customers"), keys).orderBy(*keys)
 
 
 def channel_summary(ledger: DataFrame) -> DataFrame:
     keys = [*MONTH, "channel", "campaign"]
-    return (
+    totals = (
         known_rows(ledger, keys)
         .groupBy(*keys)
         .agg(
@@ -128,21 +128,22 @@ def channel_summary(ledger: DataFrame) -> DataFrame:
             mean(F.col("discount_pct")).alias("avg_discount"),
             F.sum("discount_amount").alias("total_discount"),
         )
-        .orderBy(*keys)
+    )
+    return as_totals(totals).orderBy(*keys)
+
+
+def with_margin(totals: DataFrame) -> DataFrame:
+    return totals.withColumn(
+        "gross_margin_pct",
+        half_even(as_double_ratio(F.col("total_profit"), F.col("total_revenue")) * 100.0),
     )
 
 
 def kpi_totals(ledger: DataFrame) -> DataFrame:
     """One row: total revenue and profit, average order value, gross margin %."""
-    return (
-        not_returned(ledger)
-        .agg(
-            F.sum("revenue").alias("total_revenue"),
-            F.sum("profit").alias("total_profit"),
-            mean(F.col("revenue")).alias("avg_order_value"),
-        )
-        .withColumn(
-            "gross_margin_pct",
-            half_even(as_double_ratio(F.col("total_profit"), F.col("total_revenue")) * 100.0),
-        )
+    totals = not_returned(ledger).agg(
+        F.sum("revenue").alias("total_revenue"),
+        F.sum("profit").alias("total_profit"),
+        mean(F.col("revenue")).alias("avg_order_value"),
     )
+    return with_margin(as_totals(totals))

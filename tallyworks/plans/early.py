@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.functions.rounding import as_double_ratio, as_totals, half_even
 from tallyworks.operators import reports, summaries
 from tallyworks.operators.enrich import (
     not_returned,
@@ -72,7 +73,7 @@ def category_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
         "profit", F.col("costed_revenue") - F.col("cost_price") * F.col("costed_units")
     )
     keys = [*MONTH, "category"]
-    return (
+    totals = (
         priced.dropna(subset=["category"])
         .groupBy(*keys)
         .agg(
@@ -81,8 +82,8 @@ def category_summary(transactions: DataFrame, products: DataFrame) -> DataFrame:
             F.sum("orders").alias("orders"),
             F.sum("units").alias("units"),
         )
-        .orderBy(*keys)
     )
+    return as_totals(totals).orderBy(*keys)
 
 
 def region_summary(
@@ -106,7 +107,7 @@ def region_summary(
     keys = [*MONTH, "region", "segment"]
     places = customers.select("customer_id", "region", "segment")
     placed = lookup_grouped(per_customer, places, "customer_id")
-    return (
+    totals = (
         placed.dropna(subset=["region", "segment"])
         .groupBy(*keys)
         .agg(
@@ -115,8 +116,8 @@ def region_summary(
             F.sum("orders").alias("orders"),
             F.count("customer_id").alias("customers"),
         )
-        .orderBy(*keys)
     )
+    return as_totals(totals).orderBy(*keys)
 
 
 def monthly_revenue(transactions: DataFrame, *keys: str) -> DataFrame:
@@ -128,24 +129,55 @@ def channel_summary(transactions: DataFrame) -> DataFrame:
     return summaries.channel_summary(with_month(transactions))
 
 
-def kpi_totals(
-    transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
-) -> DataFrame:
-    rows = with_product(not_returned(transactions), products, keys_from=unjoined)
-    return summaries.kpi_totals(with_cost(rows))
+def kpi_totals(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """One row; the sales shrink to one row a product before they meet the prices.
+
+    Needs no order or customer columns: pass the sales from before any join.
+    """
+    revenue, quantity = F.col("revenue"), F.col("quantity")
+    per_product = (
+        not_returned(sales)
+        .groupBy("product_id")
+        .agg(
+            F.sum("revenue").alias("revenue"),
+            F.count("revenue").alias("priced_rows"),
+            # a row lacking either value has no profit
+            F.sum(F.when(quantity.isNotNull(), revenue)).alias("costed_revenue"),
+            F.sum(F.when(revenue.isNotNull(), quantity)).alias("costed_units"),
+        )
+    )
+    prices = products.select("product_id", "cost_price")
+    profit = F.col("costed_revenue") - F.col("cost_price") * F.col("costed_units")
+    totals = (
+        lookup_grouped(per_product, prices, "product_id")
+        .withColumn("profit", profit)
+        .agg(
+            F.sum("revenue").alias("total_revenue"),
+            F.sum("profit").alias("total_profit"),
+            F.sum("priced_rows").alias("priced_rows"),
+        )
+    )
+    return summaries.with_margin(
+        as_totals(totals).select(
+            "total_revenue",
+            "total_profit",
+            half_even(as_double_ratio(F.col("total_revenue"), F.col("priced_rows"))).alias(
+                "avg_order_value"
+            ),
+        )
+    )
 
 
-def top_products(
-    transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
-) -> DataFrame:
-    return reports.top_products(costed(transactions, products, unjoined))
+def top_products(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Needs no order or customer columns: pass the sales from before any join."""
+    return reports.top_products(costed(sales, products))
 
 
 def customer_rfm(
     transactions: DataFrame, customers: DataFrame, as_of: dt.date | None = None
 ) -> DataFrame:
     purchases = (
-        not_returned(transactions).groupBy("customer_id").agg(*reports.purchase_totals())
+        reports.sold(transactions).groupBy("customer_id").agg(*reports.purchase_totals())
     )
     places = customers.select("customer_id", "region", "segment")
     placed = lookup_grouped(purchases, places, "customer_id")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyworks.operators import quality, series, summaries
 from tallyworks.operators.enrich import enrich
 from tallyworks.plans import forecast
-from tallyworks.session import concurrently, settle
+from tallyworks.session import concurrently, scratch_below, settle
 from tallyworks.sinks.tables import write_csv, write_table
 
 SUMMARIES = {
@@ -88,14 +88,41 @@ def csv_writes(stored: dict[str, DataFrame], target: str) -> dict[str, Callable[
     return {name: partial(write_csv, frame, target, name) for name, frame in exports.items()}
 
 
+def quarantine_tables(quarantine: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {f"quarantine_{name}": rows for name, rows in quarantine.items()}
+
+
+def quarantine_counts(stored: dict[str, DataFrame]) -> DataFrame:
+    return quality.table_counts(stored).select(
+        F.lit("quarantine").alias("stage"),
+        F.regexp_replace("table_name", "^quarantine_", "").alias("metric"),
+        F.col("row_count").alias("value"),
+    )
+
+
 def run_etl(
-    transactions: DataFrame, customers: DataFrame, products: DataFrame, target: str
+    transactions: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    target: str,
+    quarantine: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Seven tables and the audit under ``target``/tables, exports under ``target``/csv."""
-    collapsed = collapse(transactions)
-    stored = store_tables(collapsed, customers, products, f"{target}/tables")
-    last = table_writes({"etl_audit": audit(collapsed, stored)}, f"{target}/tables")
-    done = concurrently(transactions.sparkSession, last | csv_writes(stored, f"{target}/csv"))
+    """Seven tables and the audit under ``target``/tables, exports under ``target``/csv.
+
+    ``quarantine`` has the rows that the readers refused (``files.quarantines``):
+    they are stored beside the tables and counted in the audit.
+    """
+    spark = transactions.sparkSession
+    with scratch_below(spark, target):
+        collapsed = collapse(transactions)
+        stored = store_tables(collapsed, customers, products, f"{target}/tables")
+        checked = audit(collapsed, stored)
+        if quarantine:
+            kept = concurrently(spark, table_writes(quarantine_tables(quarantine), f"{target}/tables"))
+            checked = checked.unionByName(quarantine_counts(kept))
+            stored |= kept
+        last = table_writes({"etl_audit": checked}, f"{target}/tables")
+        done = concurrently(spark, last | csv_writes(stored, f"{target}/csv"))
     return stored | {"etl_audit": done["etl_audit"]}
 
 
@@ -105,19 +132,20 @@ def run_forecast(
     """Forecast from the stored monthly summary; write both exports and the metrics."""
     monthly = spark.read.parquet(f"{target}/tables/monthly_summary")
     history = series.total_series(monthly)
-    models = settle(forecast.fit(history), "models")
-    detail = write_table(
-        forecast.forecast_detail(history, window, horizon, models),
-        f"{target}/tables",
-        "forecast_detail",
-    )
-    combined = forecast.actuals_and_forecast(history, detail).drop("series")
-    write_csv(detail.drop("series").orderBy("period"), f"{target}/csv", "forecast_detail")
-    write_csv(combined, f"{target}/csv", "revenue_actuals_vs_forecast")
-    return {
-        "forecast_detail": detail,
-        "actuals_and_forecast": combined,
-        "forecast_metrics": write_table(
-            forecast.run_summary(models), f"{target}/tables", "forecast_metrics"
-        ),
-    }
+    with scratch_below(spark, target):
+        models = settle(forecast.fit(history), "models")
+        detail = write_table(
+            forecast.forecast_detail(history, window, horizon, models),
+            f"{target}/tables",
+            "forecast_detail",
+        )
+        combined = forecast.actuals_and_forecast(history, detail).drop("series")
+        write_csv(detail.drop("series").orderBy("period"), f"{target}/csv", "forecast_detail")
+        write_csv(combined, f"{target}/csv", "revenue_actuals_vs_forecast")
+        return {
+            "forecast_detail": detail,
+            "actuals_and_forecast": combined,
+            "forecast_metrics": write_table(
+                forecast.run_summary(models), f"{target}/tables", "forecast_metrics"
+            ),
+        }

@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
 WIDE_MONEY = T.DecimalType(14, 2)
+# Sums of money in summaries and reports, however they were added up.
+TOTAL_MONEY = T.DecimalType(22, 2)
 
 TRANSACTIONS = T.StructType(
     [

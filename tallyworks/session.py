@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -72,22 +72,32 @@ def concurrently(
         return {name: future.result() for name, future in running.items()}
 
 
-@cache
-def local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tallyworks-")
+#: The folder of the run in progress, if one set it up.
+RUN_SCRATCH: ContextVar[str | None] = ContextVar("RUN_SCRATCH", default=None)
+
+
+@contextmanager
+def scratch_below(spark: SparkSession, target: str) -> Iterator[str]:
+    """Keep settled copies below ``target`` and remove them at the end, also after a failure."""
+    root = f"{target.rstrip('/')}/_scratch-{uuid.uuid4().hex}"
+    token = RUN_SCRATCH.set(root)
+    try:
+        yield root
+    finally:
+        RUN_SCRATCH.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the folder that ``spark.checkpoint.dir`` names.
+    """A fresh path below the run's own scratch folder, else in ``spark.checkpoint.dir``.
 
-    Every executor must reach it, so a machine-local folder is used only when
-    the session itself runs inside one machine.
+    Every executor must reach it. Where neither is set, the warehouse is the one
+    folder that the session shares with its executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = RUN_SCRATCH.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = local_scratch()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 
 from tallyworks.session import underfills_cores
 
-# A database accepts only so many writers, however many partitions a table has.
-MAX_JDBC_WRITERS = 32
+# Writers that a database is asked to take at once, unless the caller says otherwise.
+JDBC_WRITERS = 32
 JDBC_BATCH_ROWS = 10_000
 
 
@@ -44,11 +44,11 @@ def write_csv(frame: DataFrame, root: str, name: str) -> str:
     return path
 
 
-def jdbc_options(url: str, table: str, **properties: str) -> dict[str, str]:
+def jdbc_options(url: str, table: str, writers: int = JDBC_WRITERS, **properties: str) -> dict[str, str]:
     return {
         "url": url,
         "dbtable": table,
-        "numPartitions": str(MAX_JDBC_WRITERS),
+        "numPartitions": str(writers),
         "batchsize": str(JDBC_BATCH_ROWS),
         # keep the table and its grants, replace the rows
         "truncate": "true",
@@ -56,7 +56,9 @@ def jdbc_options(url: str, table: str, **properties: str) -> dict[str, str]:
     }
 
 
-def write_jdbc(frame: DataFrame, url: str, table: str, **properties: str) -> None:
+def write_jdbc(
+    frame: DataFrame, url: str, table: str, writers: int = JDBC_WRITERS, **properties: str
+) -> None:
     """Replace a database table, e.g. ``jdbc:postgresql://host/sales``."""
-    options = jdbc_options(url, table, **properties)
+    options = jdbc_options(url, table, writers, **properties)
     frame.write.format("jdbc").mode("overwrite").options(**options).save()

@@ -30,20 +30,100 @@ def normalise_null_tokens(frame: DataFrame) -> DataFrame:
     return frame.select([known(field) for field in frame.schema.fields])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if path.rstrip("/").endswith(".parquet"):
-        return spark.read.schema(schema).parquet(path)
-    rows = (
-        spark.read.schema(schema)
+CORRUPT = "_corrupt_record"
+
+
+def _text_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All fields as text, null tokens as nulls; lines of another shape in CORRUPT."""
+    fields = [T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), CORRUPT]]
+    return (
+        spark.read.schema(T.StructType(fields))
         .option("header", True)
-        .option("dateFormat", "yyyy-MM-dd")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         # quotes inside a field are doubled
         .option("escape", '"')
         # a header that differs from the schema fails instead of shifting columns
         .option("enforceSchema", False)
         .csv(path)
     )
-    return normalise_null_tokens(rows)
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """The text's value, or null if it has none of this type."""
+    if isinstance(kind, T.DateType):  # with or without a time part
+        return text.try_cast("timestamp").cast("date")
+    if isinstance(kind, T.IntegerType):  # also 3.0, but not 3.5
+        number = text.try_cast("decimal(20,4)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    if isinstance(kind, T.DoubleType):
+        return text.try_cast("double")
+    return text.try_cast(kind)
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Typed rows of a CSV with the text of each, and what is wrong with it.
+
+    ``faults`` names the columns whose text is neither a null token nor a value
+    of the declared type, and CORRUPT for a line of another shape; ``source``
+    holds the fields as read.
+    """
+    raw = _text_rows(spark, path, schema)
+    known = normalise_null_tokens(raw)
+    names = schema.fieldNames()
+    faults = [
+        F.when(
+            F.col(field.name).isNotNull() & _typed(F.col(field.name), field.dataType).isNull(),
+            F.lit(field.name),
+        )
+        for field in schema.fields
+        if not isinstance(field.dataType, T.StringType)
+    ]
+    faults.append(F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT)))
+    return known.select(
+        *[
+            (
+                F.col(field.name)
+                if isinstance(field.dataType, T.StringType)
+                else _typed(F.col(field.name), field.dataType)
+            ).alias(field.name)
+            for field in schema.fields
+        ],
+        F.array_compact(F.array(*faults)).alias("faults"),
+        F.struct(*names, CORRUPT).alias("source"),
+    )
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    return checked.where(F.size("faults") == 0).drop("faults", "source")
+
+
+def quarantined(checked: DataFrame) -> DataFrame:
+    """(faults, source) of the rows that ``accepted`` leaves out; nothing is lost in silence."""
+    return checked.where(F.size("faults") > 0).select("faults", "source")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if path.rstrip("/").endswith(".parquet"):
+        return spark.read.schema(schema).parquet(path)
+    return accepted(read_checked(spark, path, schema))
+
+
+def _quarantine(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    if path.rstrip("/").endswith(".parquet"):
+        return None
+    return quarantined(read_checked(spark, path, schema))
+
+
+def quarantines(
+    spark: SparkSession, transactions: str, customers: str, products: str
+) -> dict[str, DataFrame]:
+    """Rows that the three readers refuse, by source; parquet files have declared types."""
+    found = {
+        "transactions": _quarantine(spark, transactions, schemas.TRANSACTIONS),
+        "customers": _quarantine(spark, customers, schemas.CUSTOMERS),
+        "products": _quarantine(spark, products, schemas.PRODUCTS),
+    }
+    return {name: rows for name, rows in found.items() if rows is not None}
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:

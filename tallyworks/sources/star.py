@@ -116,7 +116,7 @@ def with_order(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame
         priced_lines(spark, folder),
         orders,
         "l_orderkey",
-        spread_by=["product_id", "revenue", "quantity"],
+        spread_by=["transaction_id", "product_id", "revenue"],
         keys_from=read_table(spark, folder, "lineitem"),
     )
 
