@@ -38,6 +38,8 @@ def hot_keys(fact: DataFrame, key: str) -> DataFrame:
             F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("sketch"),
             F.count(F.lit(1)).alias("keyed_rows"),
         )
+        # grouped, because merging cannot begin in a task that has no sketch at all
+        .groupBy(F.lit(0).alias("all"))
         .agg(
             F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
             F.sum("keyed_rows").alias("keyed_rows"),
