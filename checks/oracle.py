@@ -453,9 +453,39 @@ STORED = {
 }
 
 
+# Summaries whose dimensions hold every tenth key twice: the joins repeat rows.
+REPEATED = [
+    "monthly_summary",
+    "category_summary",
+    "region_summary",
+    "channel_summary",
+    "top_products",
+    "customer_rfm",
+]
+
+
+def with_repeated_keys(sql: str) -> str:
+    return (
+        sql.replace("LEFT JOIN people USING", "LEFT JOIN twice_people USING")
+        .replace("LEFT JOIN goods USING", "LEFT JOIN twice_goods USING")
+        # the cutoff is taken from the joined rows
+        .replace("AS threshold_c FROM lines", "AS threshold_c FROM priced")
+        .replace(
+            "\npriced AS (",
+            """
+twice_people AS (FROM people UNION ALL FROM people WHERE customer_id % 10 = 0),
+twice_goods AS (FROM goods UNION ALL FROM goods WHERE product_id % 10 = 0),
+priced AS (""",
+            1,
+        )
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     computed = computed_sql()
-    return computed | {name: computed[origin] for name, origin in STORED.items()}
+    stored = {name: computed[origin] for name, origin in STORED.items()}
+    repeated = {f"{name}_repeated_keys": with_repeated_keys(computed[name]) for name in REPEATED}
+    return computed | stored | repeated
 
 
 def computed_sql() -> dict[str, str]:

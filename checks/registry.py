@@ -208,6 +208,37 @@ def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
     return quality.duplicate_keys(star.read_table(spark, folder, "customer"), "c_nationkey")
 
 
+def repeated(dimension: DataFrame, key: str) -> DataFrame:
+    """Every tenth key twice."""
+    return dimension.unionByName(dimension.where(F.col(key) % 10 == 0))
+
+
+def on_repeated_keys(
+    summary: Callable[[DataFrame, DataFrame, DataFrame], DataFrame], *unjoined: str
+) -> Query:
+    """A summary whose dimensions repeat keys; ``unjoined`` names those that it does not join."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        people = repeated(star.customers(spark, folder), "customer_id")
+        goods = repeated(star.products(spark, folder), "product_id")
+        rows = star.transactions(spark, folder)
+        if "customer_id" in unjoined:
+            rows = early.with_repeats(rows, people, "customer_id")
+        if "product_id" in unjoined:
+            rows = early.with_repeats(rows, goods, "product_id")
+        return summary(rows, people, goods)
+
+    return run
+
+
+def monthly_repeated_keys(rows: DataFrame, people: DataFrame, goods: DataFrame) -> DataFrame:
+    """The cutoff counts the rows that both dimensions repeat; the summary joins the products."""
+    placed = early.with_repeats(rows, people, "customer_id")
+    return early.monthly_summary(
+        placed, goods, population=early.with_repeats(placed, goods, "product_id")
+    )
+
+
 def monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
     return early.monthly_summary(
         star.transactions(spark, folder),
@@ -503,6 +534,20 @@ QUERIES: dict[str, Query] = {
     "region_summary": region_summary,
     "channel_summary": channel_summary,
     "kpi_totals": kpi_totals,
+    "monthly_summary_repeated_keys": on_repeated_keys(monthly_repeated_keys),
+    "category_summary_repeated_keys": on_repeated_keys(
+        lambda rows, people, goods: early.category_summary(rows, goods), "customer_id"
+    ),
+    "region_summary_repeated_keys": on_repeated_keys(early.region_summary),
+    "channel_summary_repeated_keys": on_repeated_keys(
+        lambda rows, people, goods: early.channel_summary(rows), "customer_id", "product_id"
+    ),
+    "top_products_repeated_keys": on_repeated_keys(
+        lambda rows, people, goods: early.top_products(rows, goods), "customer_id"
+    ),
+    "customer_rfm_repeated_keys": on_repeated_keys(
+        lambda rows, people, goods: early.customer_rfm(rows, people, AS_OF_DATE), "product_id"
+    ),
     # views and dashboard queries
     "monthly_kpis": then(monthly_summary, reports.monthly_kpis),
     "category_performance": then(category_summary, reports.category_performance),

@@ -2,7 +2,8 @@
 
 For use on transactions that have not been enriched. Grouping by the lookup key
 first leaves one row per key and month to join, whatever share of the rows a key
-holds. Dimension keys must be unique (``quality.duplicate_keys`` reports others).
+holds. Where a key repeats in a dimension that a summary does not join, the left
+joins of the whole ledger would repeat rows: pass them through ``with_repeats`` first.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.rounding import as_double_ratio, as_totals, half_even
-from tallyworks.operators import reports, summaries
+from tallyworks.operators import quality, reports, summaries
 from tallyworks.operators.enrich import (
     not_returned,
     with_cost,
@@ -21,8 +22,9 @@ from tallyworks.operators.enrich import (
     with_product,
     with_ratios,
 )
-from tallyworks.operators.joins import lookup_grouped
+from tallyworks.operators.joins import lookup, lookup_grouped
 from tallyworks.operators.series import keyed_series
+from tallyworks.session import settle
 
 MONTH = summaries.MONTH
 
@@ -31,6 +33,22 @@ def with_month(transactions: DataFrame) -> DataFrame:
     return transactions.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
+def with_repeats(transactions: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Each row as often as a left join with ``dimension`` would return it.
+
+    Only the keys that repeat are joined; if there is none, the rows pass as they are.
+    """
+    repeated = quality.duplicate_keys(dimension.where(F.col(key).isNotNull()), key)
+    if repeated.isEmpty():
+        return transactions
+    times = F.array_repeat(F.lit(1), F.coalesce(F.col("copies"), F.lit(1)).cast("int"))
+    return (
+        lookup(transactions, settle(repeated, "repeated"), key, ["transaction_id"])
+        .withColumn("copies", F.explode(times))
+        .drop("copies")
+    )
+
+
 def costed(
     transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
 ) -> DataFrame:
@@ -40,11 +58,18 @@ def costed(
 
 
 def monthly_summary(
-    transactions: DataFrame, products: DataFrame, unjoined: DataFrame | None = None
+    transactions: DataFrame,
+    products: DataFrame,
+    unjoined: DataFrame | None = None,
+    population: DataFrame | None = None,
 ) -> DataFrame:
-    """``unjoined`` has the same sales from before any join: cheaper to take statistics of."""
+    """``unjoined`` has the same sales from before any join: cheaper to take statistics of.
+
+    ``population`` supplies the revenues of the cutoff where they are not simply those.
+    """
     # returned rows leave before the joins, yet count towards the high-value cutoff
     everything = transactions if unjoined is None else unjoined
+    everything = everything if population is None else population
     rows = with_high_value_flag(costed(transactions, products, unjoined), everything)
     known = summaries.known_rows(with_month(rows), MONTH)
     # one pass: counting customers apart would repeat the joins
@@ -92,7 +117,7 @@ def region_summary(
     products: DataFrame,
     unjoined: DataFrame | None = None,
 ) -> DataFrame:
-    """Each customer is one row per month before the join, so counting rows counts customers."""
+    """Each customer is one row per month before the join."""
     rows = with_cost(with_product(not_returned(transactions), products, keys_from=unjoined))
     per_customer = (
         with_month(rows)
@@ -114,7 +139,8 @@ def region_summary(
             F.sum("revenue").alias("revenue"),
             F.sum("profit").alias("profit"),
             F.sum("orders").alias("orders"),
-            F.count("customer_id").alias("customers"),
+            # a repeated customer may have several places, or the same one again
+            F.count_distinct("customer_id").alias("customers"),
         )
     )
     return as_totals(totals).orderBy(*keys)
@@ -181,4 +207,11 @@ def customer_rfm(
     )
     places = customers.select("customer_id", "region", "segment")
     placed = lookup_grouped(purchases, places, "customer_id")
-    return reports.recency_frequency_monetary(placed, as_of)
+    # several rows of one customer at one place are one group of the ledger
+    merged = placed.groupBy("customer_id", "region", "segment").agg(
+        F.sum("frequency").alias("frequency"),
+        F.sum("spent").alias("spent"),
+        F.sum("priced").alias("priced"),
+        F.max("last_purchase_date").alias("last_purchase_date"),
+    )
+    return reports.recency_frequency_monetary(merged, as_of)
