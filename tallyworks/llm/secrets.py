@@ -7,12 +7,16 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.session import settle
+
 # The base patterns, in the order in which kinds are listed, and their shortest
 # lengths (of group 2 where there is one, else of the match).
 BASE = (
@@ -44,10 +48,9 @@ Span = tuple[str, int, int]
 PARTS = ("kind", "start", "end")
 
 
-# Every match of a kind needs one of these in the lower-case text; a hex match, so long a run.
+# Every match of a kind needs one of these in the lower-case text.
 NEEDED = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",)}
 DIGIT = re.compile(r"[0-9]")
-LONG_RUN = re.compile(r"[0-9a-f]{32}")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -57,7 +60,7 @@ def base_spans(text: str) -> list[Span]:
     for place, (kind, pattern, shortest) in enumerate(BASE):
         if kind in NEEDED and not any(part in lower for part in NEEDED[kind]):
             continue
-        if kind == "hex" and not LONG_RUN.search(text):
+        if kind == "hex" and max(map(len, text.split()), default=0) < shortest:
             continue
         for match in pattern.finditer(text):
             low, high = match.span(pattern.groups)
@@ -114,6 +117,7 @@ def token_word(token: str) -> str:
     return "#"
 
 
+@lru_cache(maxsize=50_000)
 def token_features(token: str) -> list[list[int]]:
     """All features that a token gives itself, the next token, the one after, and the one before."""
     own, *others = word_ids(token_word(token))
@@ -121,9 +125,9 @@ def token_features(token: str) -> list[list[int]]:
     return [[*shape, own], *[[other] for other in others]]
 
 
-def file_features(text: str, tokens: list[str]) -> list[int]:
+def file_features(text: str, tokens: int) -> list[int]:
     """Of the whole document, shared by all of its tokens."""
-    some = max(1, len(tokens))
+    some = max(1, tokens)
     return [
         feature(f"file assignments {min(3, text.count('=') + text.count(':'))}"),
         feature(f"file lines {min(4, text.count('\n') * 50 // some)}"),
@@ -285,7 +289,7 @@ def training_windows(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
     if not tokens:
         return
     tags = true_tags(matches, base_spans(text))
-    shared = file_features(text, tokens)
+    shared = file_features(text, len(tokens))
     size = 2 * REACH + 1
 
     def labels(start: int) -> list[int]:
@@ -335,9 +339,10 @@ def fit_field(documents: DataFrame, sample: int = SAMPLE) -> Field:
                 ["rows", "tags", "secret"],
             )
 
-    windows = (
+    windows = settle(
         documents.where(picked & F.col("text").isNotNull()).select("text").distinct()
-        .mapInArrow(cut, "rows array<array<int>>, tags array<int>, secret boolean")
+        .mapInArrow(cut, "rows array<array<int>>, tags array<int>, secret boolean"),
+        "windows",
     )
     # At most some thousand windows: all that hold a secret, and the first others by hash.
     order = F.xxhash64("rows", "tags")
@@ -356,12 +361,29 @@ def fit_field(documents: DataFrame, sample: int = SAMPLE) -> Field:
     return Field().fit(features, tags)
 
 
+class Words(dict):
+    """Token numbers of each word between spaces, found when the word is first looked up."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        numbers, tokens = self.numbers, TOKEN.findall(word)
+        for token in tokens:
+            if token not in numbers:
+                numbers[token] = len(numbers)
+                self.new.append(token)
+        found = self[word] = tuple(map(numbers.__getitem__, tokens))
+        return found
+
+
 class Scanner:
     """Scans texts with a fitted field; scores of tokens are computed once and looked up."""
 
     def __init__(self, field: Field):
         self.field = field
-        self.number: dict[str, int] = {}
+        self.words = Words()
         self.scores = np.zeros((1024, len(ROLES), 3))
         self.shapes: dict[object, tuple[float, ...]] = {}
 
@@ -380,29 +402,30 @@ class Scanner:
                 self.shapes[key] = score
         return score
 
-    def lookup(self, tokens: list[str]) -> np.ndarray:
-        if len(self.number) > KNOWN_TOKENS:
-            self.number = {}
-        number = self.number
-        new = [token for token in set(tokens) if token not in number]
+    def lookup(self, words: list[str]) -> np.ndarray:
+        """The numbers of the words' tokens in order; new tokens get scores."""
+        if len(self.words) > KNOWN_TOKENS:
+            self.words = Words()
+        known = self.words
+        numbers = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int64)
+        new, known.new = known.new, []
         if new:
-            first = len(number)
-            number.update(zip(new, range(first, first + len(new)), strict=True))
-            while len(number) > len(self.scores):
+            first = len(known.numbers) - len(new)
+            while len(known.numbers) > len(self.scores):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
             ids = np.array([word_ids(token_word(token)) for token in new])
             scores = self.field.emit[ids]
             scores[:, 0] += [self.shape_score(token) for token in new]
-            self.scores[first : len(number)] = scores
-        return np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+            self.scores[first : first + len(new)] = scores
+        return numbers
 
     def learned_spans(self, text: str, base: list[Span]) -> list[Span]:
         """Spans that the field tags and no base span touches."""
-        tokens = TOKEN.findall(text)
-        if not tokens:
+        numbers = self.lookup(text.split())
+        if not len(numbers):
             return []
-        numbers = self.lookup(tokens)
-        scores = self.scores[numbers, 0] + self.field.emit[file_features(text, tokens)].sum(axis=0)
+        shared = file_features(text, len(numbers))
+        scores = self.scores[numbers, 0] + self.field.emit[shared].sum(axis=0)
         scores[1:] += self.scores[numbers[:-1], 1]
         scores[2:] += self.scores[numbers[:-2], 2]
         scores[:-1] += self.scores[numbers[1:], 3]
