@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_REPEATS  timed runs per query after one warm-up; the best counts (default 2)
+BENCH_REPEATS  timed runs per query after one warm-up; the median counts (default 5)
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import json
 import os
 import time
 from collections.abc import Callable
+from statistics import median
 
 from pyspark.sql import SparkSession
 
@@ -51,27 +52,27 @@ def run_job(spark: SparkSession, folder: str) -> None:
     )
 
 
-def best(action: Callable[[], None], repeats: int) -> float:
+def typical(action: Callable[[], None], repeats: int) -> float:
     spent = []
     for _ in range(1 + repeats):
         started = time.perf_counter()
         action()
         spent.append(time.perf_counter() - started)
-    return round(min(spent[1:]), 3)
+    return round(median(spent[1:]), 3)
 
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     spark = get_session("bench", cores=int(os.environ.get("BENCH_CPUS", "8")), **{
         "spark.driver.memory": "16g",
     })
     spark.sparkContext.setLogLevel("ERROR")
     timings = {
-        name: best(lambda name=name: run_query(spark, folder, name), repeats)
+        name: typical(lambda name=name: run_query(spark, folder, name), repeats)
         for name in HEADLINES
     }
-    timings["etl_end_to_end"] = best(lambda: run_job(spark, folder), repeats)
+    timings["etl_end_to_end"] = typical(lambda: run_job(spark, folder), repeats)
     rows = star.read_table(spark, folder, "lineitem").count()
     print(
         json.dumps(
