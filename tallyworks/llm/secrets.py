@@ -42,7 +42,9 @@ WINDOWS = 4
 REACH = 8
 STEPS = 80
 SHORTEST = 8
-KNOWN_TOKENS = 400_000
+KNOWN_TOKENS = 100_000
+# Rows that a task turns into Python objects at a time.
+SLICE = 256
 
 Span = tuple[str, int, int]
 PARTS = ("kind", "start", "end")
@@ -117,7 +119,7 @@ def token_word(token: str) -> str:
     return "#"
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=10_000)
 def token_features(token: str) -> list[list[int]]:
     """All features that a token gives itself, the next token, the one after, and the one before."""
     own, *others = word_ids(token_word(token))
@@ -320,13 +322,19 @@ def training_windows(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
         yield window_features(tokens, shared, start, size, bool(place % 2)), labels(start)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+
+
 def fit_field(documents: DataFrame, sample: int = SAMPLE) -> Field:
     """Trains on windows of about ``sample`` documents, labelled by the base patterns."""
     share = min(1.0, sample / max(1, documents.count()))
     picked = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [
                 window for text in batch.column("text").to_pylist() for window in training_windows(text)
             ]
@@ -488,7 +496,7 @@ def find_secrets(
                 kind,
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             found = [scanner.scan(value.as_py()) for value in batch.column("text")]
             columns = [batch.column(name) for name in wanted]
             columns += [records([pair[side] for pair in found]) for side in range(2)]
