@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +26,6 @@ def fresh(frame: DataFrame, *names: str) -> list[str]:
     return chosen
 
 
-def without(frame: DataFrame, names: Iterable[str]) -> DataFrame:
-    """``frame`` less the columns of these names, which an operator is about to write anew."""
-    return frame.drop(*names)
-
-
 def hash_fraction(text: Column) -> Column:
     """A number in [0, 1) that the MD5 of ``text`` fixes: its first 52 bits."""
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
