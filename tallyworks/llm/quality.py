@@ -12,10 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import fresh
+from tallyworks.llm.common import fresh, sampled
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
-# Documents that train the scorer, about; all documents train the label model.
+# Distinct texts that train the scorer; all documents train the label model.
 SAMPLE = 4_000
 BUCKETS = 1 << 15
 ROUNDS = 60
@@ -209,10 +209,11 @@ def fit_labels(documents: DataFrame) -> LabelModel:
 
 
 def fit_scorer(documents: DataFrame, labels: LabelModel, sample: int = SAMPLE) -> Scorer:
-    """Trains on about ``sample`` documents, picked by the hash of their text."""
-    total = documents.count()
-    share = min(1.0, sample / max(1, total))
-    picked = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)
+    """Trains on the ``sample`` distinct texts of smallest hash; on all if there are no more.
+
+    Without any document there is nothing to train on, and nothing to score.
+    """
+    picked = sampled(documents, "text", sample)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

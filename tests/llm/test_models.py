@@ -9,9 +9,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tallyworks.llm import langid, licenses, quality, secrets
+from tallyworks.llm.common import sampled
 
 TABLES = ["odd", "empty", "clashing"]
+PROSE = "the quick brown fox jumps over one lazy dog and runs through a green field toward home again"
 
 
 # --- quality -----------------------------------------------------------------------------
@@ -40,6 +43,22 @@ def test_scorer_agrees_with_the_given_labels(spark, documents, folder):
     assert np.mean([kept for kept, label in judged if label]) > 0.97
 
 
+def test_scorer_trains_on_texts_that_many_rows_repeat(spark):
+    good = [" ".join(f"{word}{n}" for word in PROSE.split()) for n in range(20)]
+    bad = [f"%%% {n} ### !!! | | | $$$ ### %%%" for n in range(20)]
+    texts = spark.createDataFrame([(text,) for text in good + bad], "text string")
+    frame = texts.crossJoin(spark.range(10_000)).select("text").cache()
+    labels = quality.fit_labels(frame)
+    scorer = quality.fit_scorer(frame, labels, sample=25)
+    scores = list(scorer.scores(text.encode() for text in good + bad))
+    assert max(scores[:20]) < quality.REJECT_FROM <= min(scores[20:])
+    # Exactly so many distinct texts, those of smallest hash.
+    hashes = sorted(r[0] for r in texts.select(F.xxhash64("text")).collect())
+    for count in (1, 25, 39, 40, 41):
+        picked = frame.where(sampled(frame, "text", count)).select(F.xxhash64("text")).distinct()
+        assert sorted(r[0] for r in picked.collect()) == hashes[:count]
+
+
 @pytest.mark.parametrize("table", TABLES)
 def test_quality_of_odd_documents(request, table):
     frame = request.getfixturevalue(table)
