@@ -1,10 +1,11 @@
-"""License scan: winnowed template fingerprints pick candidates, banded alignment measures them."""
+"""License scan: an inverted index of template words picks candidates, banded alignment measures them."""
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,10 +15,6 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.decontaminate import words_of
 
-# Words in a hashed gram, and grams of which the smallest hash is kept: every shared
-# passage of GRAM + WINNOW - 1 words, the shortest template's, gives a common fingerprint.
-GRAM = 3
-WINNOW = 3
 # Widest band; a quarter of the template's words if that is less.
 BAND = 8
 # Matched share of a template's words from which it is reported.
@@ -77,27 +74,6 @@ TEMPLATES = {
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
-def gram_hashes(words: np.ndarray) -> np.ndarray:
-    """Hash of each run of GRAM word hashes; of all words together if there are fewer."""
-    size = min(GRAM, len(words))
-    count = len(words) - size + 1 if size else 0
-    hashes = np.zeros(count, dtype=np.uint64)
-    for shift in range(size):
-        hashes = (hashes * np.uint64(0x100000001B3)) ^ words[shift : shift + count]
-        hashes ^= hashes >> np.uint64(29)
-        hashes *= np.uint64(0x9E3779B97F4A7C15)
-    return hashes
-
-
-def winnow(hashes: np.ndarray) -> np.ndarray:
-    """Positions of the smallest hash of each WINNOW neighbours, the last one on ties."""
-    if len(hashes) <= WINNOW:
-        return np.array([len(hashes) - 1 - int(hashes[::-1].argmin())] if len(hashes) else [], int)
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, WINNOW)
-    last = WINNOW - 1 - windows[:, ::-1].argmin(axis=1)
-    return np.unique(np.arange(len(windows)) + last)
-
-
 def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
     """(matched words, start, end) of the best local alignment near a diagonal.
 
@@ -134,19 +110,30 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
 
 
 class TemplateIndex:
-    """Winnowed fingerprints of all templates, inverted: hash to (template, position)."""
+    """Template words, inverted, and what a passage needs of them to reach ``coverage``.
 
-    def __init__(self, templates: Sequence[tuple[str, str]]):
+    A passage that matches ``need`` of a template's words matches one of any
+    len - need + 1 of them: those in the fewest templates, then the longest, are probes.
+    """
+
+    def __init__(self, templates: Sequence[tuple[str, str]], coverage: float = COVERAGE):
         self.names = [name for name, _ in templates]
         self.known: dict[bytes, int] = {}
-        self.words = [self.hashed(words_of(text.encode())) for _, text in templates]
-        postings: defaultdict[int, list[tuple[int, int]]] = defaultdict(list)
-        for number, words in enumerate(self.words):
-            hashes = gram_hashes(words)
-            for place in winnow(hashes):
-                postings[int(hashes[place])].append((number, int(place)))
-        self.postings = dict(postings)
-        self.keys = np.array(sorted(postings), dtype=np.uint64)
+        texts = [words_of(text.encode()) for _, text in templates]
+        self.words = [self.hashed(text) for text in texts]
+        self.need = [max(1, math.ceil(coverage * len(text))) for text in texts]
+        self.keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
+        self.order = [np.argsort(words, kind="stable") for words in self.words]
+        self.terms = [np.searchsorted(self.keys, words) for words in self.words]
+        spread = Counter(word for text in texts for word in set(text))
+        probes: defaultdict[int, set[int]] = defaultdict(set)
+        for number, (text, terms) in enumerate(zip(texts, self.terms, strict=True)):
+            rarest = sorted(range(len(text)), key=lambda at: (spread[text[at]], -len(text[at]), at))
+            for at in rarest[: max(0, len(text) - self.need[number] + 1)]:
+                probes[int(terms[at])].add(number)
+        self.probes = dict(probes)
+        self.probed = np.zeros(len(self.keys), dtype=bool)
+        self.probed[list(probes)] = True
 
     def hashed(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > KNOWN_WORDS:
@@ -156,46 +143,81 @@ class TemplateIndex:
             known[word] = zlib.crc32(word) | zlib.adler32(word) << 32
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
-    def candidates(self, words: np.ndarray) -> dict[int, set[int]]:
-        """Diagonals (text position minus template position) by template, from common fingerprints."""
-        hashes = gram_hashes(words)
-        chosen = winnow(hashes)
-        if not len(chosen) or not len(self.keys):
-            return {}
-        place = np.minimum(np.searchsorted(self.keys, hashes[chosen]), len(self.keys) - 1)
-        found: defaultdict[int, set[int]] = defaultdict(set)
-        for at in chosen[self.keys[place] == hashes[chosen]].tolist():
-            for number, position in self.postings[int(hashes[at])]:
-                found[number].add(at - position)
-        return found
+    def candidates(self, words: np.ndarray) -> list[int]:
+        """The templates of which the text has enough words, wherever they are."""
+        if not len(words) or not len(self.keys):
+            return []
+        place = np.minimum(np.searchsorted(self.keys, words), len(self.keys) - 1)
+        present = np.zeros(len(self.keys), dtype=bool)
+        present[place[self.keys[place] == words]] = True
+        probed = np.flatnonzero(present & self.probed).tolist()
+        numbers = set().union(*map(self.probes.__getitem__, probed))
+        return sorted(n for n in numbers if present[self.terms[n]].sum() >= self.need[n])
+
+    def hits(self, number: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(template position, text position) of all equal words, by template position."""
+        order = self.order[number]
+        values = self.words[number][order]
+        first = np.searchsorted(values, words, "left")
+        many = np.searchsorted(values, words, "right") - first
+        at = np.repeat(np.arange(len(words)), many)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        position = order[np.repeat(first, many) + nth]
+        by_position = np.argsort(position, kind="stable")
+        return position[by_position], at[by_position]
 
-    def matches(self, text: str, coverage: float) -> list[tuple[str, int, int, int, float]]:
+    def passages(self, number: int, words: np.ndarray) -> list[tuple[int, int, int]]:
+        """(matched words, start, end) of the template's alignments with enough matched words.
+
+        Every diagonal whose band has enough of the template's words is aligned, most words
+        first, unless the alignments found already hold too many of them for another passage,
+        or match as much as it can.
+        """
+        template, need = self.words[number], self.need[number]
+        band = max(1, min(BAND, len(template) // 4))
+        position, at = self.hits(number, words)
+        diagonal = at - position
+        # A hit counts for the diagonals at most a band away that its word did not count for yet.
+        again = np.append(False, position[1:] == position[:-1])
+        low = diagonal - band
+        low[1:] = np.where(again[1:], np.maximum(low[1:], diagonal[:-1] + band + 1), low[1:])
+        base = len(template) + band
+        size = base + len(words) + band + 1
+        counts = np.cumsum(
+            np.bincount(low + base, minlength=size) - np.bincount(diagonal + band + 1 + base, minlength=size)
+        )
+        own = np.bincount(diagonal + base, minlength=size)
+        enough = np.flatnonzero(counts >= need)
+        enough = enough[np.lexsort((enough, -own[enough], -counts[enough]))]
+        best: list[tuple[int, int, int]] = []
+        for place in enough.tolist():
+            centre = place - base
+            near = [x for x in best if x[1] < centre + len(template) + band and centre - band < x[2]]
+            if near and counts[place] <= min(x[0] for x in near):
+                inside = np.abs(diagonal - centre) <= band
+                for _, start, end in near:
+                    inside &= (at < start) | (at >= end)
+                if len(np.unique(position[inside])) < need:
+                    continue
+            matched, start, end = align(template, words, centre, band)
+            if matched < need:
+                continue
+            rivals = [x for x in best if x[1] < end and start < x[2]]
+            if all((matched, -start) > (x[0], -x[1]) for x in rivals):
+                best = [*(x for x in best if x not in rivals), (matched, start, end)]
+        return best
+
+    def matches(self, text: str) -> list[tuple[str, int, int, int, float]]:
         """(license, start, end, matched words, coverage) of all templates found, by position.
 
         Alignments of one template that overlap count once, the best of them.
         """
         words = self.hashed(words_of(text.encode()))
-        candidates = self.candidates(words)
-        if not candidates:
-            return []
-        found = []
-        for number, diagonals in candidates.items():
-            template, reach = self.words[number], -len(self.words[number])
-            band = max(1, min(BAND, len(template) // 4))
-            best: list[tuple[int, int, int]] = []
-            for diagonal in sorted(diagonals):
-                if diagonal <= reach:
-                    continue
-                # Diagonals inside the band of this one are the same passage.
-                reach = diagonal + band // 2
-                matched, start, end = align(template, words, diagonal, band)
-                if matched < coverage * len(template):
-                    continue
-                if best and start < best[-1][2]:
-                    best[-1] = max(best[-1], (matched, start, end), key=lambda x: (x[0], -x[1]))
-                else:
-                    best.append((matched, start, end))
-            found += [(number, *each) for each in best]
+        found = [
+            (number, *each)
+            for number in self.candidates(words)
+            for each in self.passages(number, words)
+        ]
         if not found:
             return []
         offsets = [match.span() for match in WORD.finditer(text)]
@@ -230,7 +252,7 @@ def find_licenses(
     chosen = [(name, text) for name, text in chosen if words_of(text.encode())]
     if sum(len(words_of(text.encode())) for _, text in chosen) > TEMPLATE_WORDS:
         raise ValueError("too many templates to broadcast: scan in several calls")
-    context = documents.sparkSession.sparkContext.broadcast(TemplateIndex(chosen))
+    context = documents.sparkSession.sparkContext.broadcast(TemplateIndex(chosen, coverage))
     names = ["license", "start", "end", "matched_words", "coverage"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
 
@@ -240,7 +262,7 @@ def find_licenses(
             rows, places = [], []
             for place, value in enumerate(batch.column("text")):
                 if value.is_valid:
-                    found = index.matches(value.as_py(), coverage)
+                    found = index.matches(value.as_py())
                     rows += found
                     places += [place] * len(found)
             ids = batch.column("doc_id").take(pa.array(places, pa.int64()))

@@ -278,6 +278,45 @@ def test_license_spans_and_coverage(spark):
     ]
 
 
+def edited_once(words: list[str]) -> list[list[str]]:
+    """``words`` with one word replaced, left out or put in, at every place."""
+    edits = [[*words[:at], "an", *words[at + 1 :]] for at in range(len(words))]
+    edits += [[*words[:at], *words[at + 1 :]] for at in range(len(words))]
+    return edits + [[*words[:at], "new", *words[at:]] for at in range(len(words) + 1)]
+
+
+def most_matched(index: licenses.TemplateIndex, number: int, text: str) -> int:
+    """Most words that an alignment near any diagonal matches."""
+    template, words = index.words[number], index.hashed(licenses.words_of(text.encode()))
+    band = max(1, min(licenses.BAND, len(template) // 4))
+    diagonals = range(-len(template) - band, len(words) + band + 1)
+    return max(licenses.align(template, words, diagonal, band)[0] for diagonal in diagonals)
+
+
+def test_license_candidates_lose_no_alignment():
+    chance = random.Random(3)
+    index = licenses.TemplateIndex(list(licenses.TEMPLATES.items()))
+    texts = []
+    for name, text in licenses.TEMPLATES.items():
+        words = text.split()
+        number = index.names.index(name)
+        if len(index.words[number]) <= 14:
+            texts += [(number, " ".join(edit)) for edit in edited_once(words)]
+        for share in (0.05, 0.1, 0.2, 0.3):
+            edit = [chance.choice(["an", f"{w} new", ""]) if chance.random() < share else w for w in words]
+            texts.append((number, " ".join(edit)))
+    for number, text in texts:
+        text = f"The license of this work is as follows: {text} See the software for more."
+        best = most_matched(index, number, text)
+        found = [m[3] for m in index.matches(text) if m[0] == index.names[number]]
+        assert max(found, default=0) == (best if best >= licenses.COVERAGE * len(index.words[number]) else 0), text
+    assert [m[3] for m in index.matches("Released under an MIT License.")] == [4]
+    apache = index.matches("Licensed under the Apache Software License, Version 2.0")
+    assert [m[:1] + m[3:4] for m in apache] == [("Apache-2.0 line", 8)]
+    twice = index.matches("Released under an MIT License. " * 3)
+    assert [m[3] for m in twice] == [4, 4, 4]
+
+
 def test_every_license_line_is_found(documents):
     lines = {name: text for name, text in licenses.TEMPLATES.items() if name.endswith(" line")}
     texts = {r.doc_id: r.text for r in documents.select("doc_id", "text").collect()}
