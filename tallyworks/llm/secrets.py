@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
@@ -15,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.llm.common import sampled
 from tallyworks.session import settle
 
 # The base patterns, in the order in which kinds are listed, and their shortest
@@ -36,7 +38,7 @@ KINDS = [*(kind for kind, _, _ in BASE), LEARNED]
 OUTSIDE, BEGIN, INSIDE = range(3)
 TOKEN = re.compile(r"[A-Za-z0-9+/_.-]+|[^\sA-Za-z0-9+/_.-]")
 FEATURES = 1 << 14
-# Documents in the training sample, about; windows a document gives, and tokens on each side.
+# Distinct texts in the training sample; windows a document gives, and tokens on each side.
 SAMPLE = 20_000
 WINDOWS = 4
 REACH = 8
@@ -329,9 +331,12 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_field(documents: DataFrame, sample: int = SAMPLE) -> Field:
-    """Trains on windows of about ``sample`` documents, labelled by the base patterns."""
-    share = min(1.0, sample / max(1, documents.count()))
-    picked = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)
+    """Trains on windows of the ``sample`` distinct texts of smallest hash, labelled by the base patterns.
+
+    Without a secret in them the field learns nothing and adds no span; a warning says so.
+    """
+    texts = documents.where(F.col("text").isNotNull())
+    picked = sampled(texts, "text", sample)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -348,17 +353,19 @@ def fit_field(documents: DataFrame, sample: int = SAMPLE) -> Field:
             )
 
     windows = settle(
-        documents.where(picked & F.col("text").isNotNull()).select("text").distinct()
+        texts.where(picked).select("text").distinct()
         .mapInArrow(cut, "rows array<array<int>>, tags array<int>, secret boolean"),
         "windows",
     )
-    # At most some thousand windows: all that hold a secret, and the first others by hash.
+    # At most 3,000 windows: the first 1,500 by hash that hold a secret, and so many others.
     order = F.xxhash64("rows", "tags")
     chosen = [
         row
         for secret in (True, False)
         for row in windows.where(F.col("secret") == secret).orderBy(order).limit(1_500).collect()
     ]
+    if not any(window.secret for window in chosen):
+        warnings.warn("no base secret in the training sample: the field adds no span", stacklevel=2)
     slots = max((len(row) for window in chosen for row in window.rows), default=1)
     features = np.full((len(chosen), 2 * REACH + 1, slots), FEATURES, dtype=np.int64)
     tags = np.zeros((len(chosen), 2 * REACH + 1), dtype=np.int64)

@@ -217,6 +217,19 @@ def test_field_adds_spans_and_keeps_the_base_ones(spark):
         assert found[n].spans == secrets.joined(secrets.base_spans(rows[n][1]))
 
 
+def test_field_trains_on_texts_that_many_rows_repeat(spark):
+    texts = spark.createDataFrame(
+        [(f'{PROSE} {n} token = "{n:08d}deadbeef" {PROSE}',) for n in range(40)], "text string"
+    )
+    frame = texts.crossJoin(spark.range(10_000)).select("text")
+    field = secrets.fit_field(frame, sample=30)
+    assert field.emit.any() and field.step.any()
+    windows = [w for r in texts.where(sampled(texts, "text", 30)).collect() for w in secrets.training_windows(r.text)]
+    assert any(secrets.BEGIN in tags for _, tags in windows)
+    with pytest.warns(UserWarning, match="no base secret"):
+        secrets.fit_field(spark.createDataFrame([(PROSE,)], "text string"))
+
+
 @pytest.mark.parametrize("table", [*TABLES, "documents"])
 def test_secrets_of_odd_documents(request, table):
     import hashlib
