@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import chat, decontaminate, imatch, langid, licenses, mixing, quality, secrets, sharding, simhash
+from tallyworks.llm import (
+    chat,
+    collocations,
+    decontaminate,
+    divergence,
+    imatch,
+    langid,
+    licenses,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+)
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +69,14 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     )
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence_report(table(spark, folder, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocation_report(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -70,5 +91,7 @@ def queries() -> dict[str, Query]:
             op8_weak_label_quality,
             op9_ppm_language,
             op10_benchmark_decontamination,
+            op11_source_divergence,
+            op12_phrase_collocations,
         )
     }

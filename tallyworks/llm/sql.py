@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import chat, decontaminate, imatch, mixing
+from tallyworks.llm import chat, collocations, decontaminate, divergence, imatch, mixing
 from tallyworks.llm.common import ALNUM_WORD, SPACED_WORD
 
 
@@ -176,10 +176,109 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN covered USING (row) LEFT JOIN named USING (row)"""
 
 
+def lowered(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def source_divergence() -> str:
+    def probability(count: str, total: str, terms: str) -> str:
+        above = f"({divergence.UNIT}::HUGEINT * ({count} + {divergence.PRIOR}))"
+        return f"(1 + {above} // ({total} + {divergence.PRIOR} * {terms})::HUGEINT)"
+
+    return f"""
+WITH read AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({lowered("coalesce(text, '')")},
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT row, lang, source, unnest(terms) AS term FROM read),
+vocabulary AS (
+  SELECT lang, term FROM words GROUP BY lang, term
+  HAVING count(DISTINCT row) >= {divergence.MIN_DOCUMENTS}),
+sizes AS (SELECT lang, count(*) AS terms FROM vocabulary GROUP BY lang),
+kept AS (SELECT words.* FROM words JOIN vocabulary USING (lang, term)),
+groups AS (
+  SELECT lang, source, coalesce(any_value(sizes.terms), 0) AS terms
+  FROM read LEFT JOIN sizes USING (lang) GROUP BY lang, source),
+totals AS (SELECT lang, source, count(*) AS total FROM kept GROUP BY lang, source),
+lang_totals AS (SELECT lang, count(*) AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM kept GROUP BY lang, source, term),
+lang_counts AS (SELECT lang, term, count(*) AS n FROM kept GROUP BY lang, term),
+dense AS (
+  SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n,
+         {probability("coalesce(c.n, 0)", "coalesce(t.total, 0)", "g.terms")} AS p,
+         {probability("lc.n", "lt.total", "g.terms")} AS q
+  FROM groups g JOIN vocabulary v USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  JOIN lang_counts lc ON lc.lang = g.lang AND lc.term = v.term
+  JOIN lang_totals lt ON lt.lang = g.lang),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM dense WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+def phrase_collocations() -> str:
+    counted = " UNION ALL ".join(
+        f"""
+  SELECT lang, {size} AS size,
+         unnest(list_transform(range(1, len(words) - {size - 2}), lambda i: {
+            " || ' ' || ".join(f"words[i + {more}]" for more in range(size))})) AS phrase
+  FROM pieces WHERE len(words) >= {size}"""
+        for size in range(1, collocations.LONGEST + 1)
+    )
+    return f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array({lowered("coalesce(text, '')")},
+                                         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+counts AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM ({counted}) GROUP BY lang, size, phrase),
+candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts
+  WHERE size > 1 AND f >= {collocations.SUPPORT}),
+cuts AS MATERIALIZED (
+  SELECT lang, size, phrase, a, cut, array_to_string(words[1:cut], ' ') AS opening,
+         array_to_string(words[cut + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM candidates)),
+scores AS (
+  SELECT c.lang, c.size, c.phrase, c.a, l.f AS l, r.f AS r,
+         (1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f))::BIGINT AS score, cut
+  FROM cuts c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = c.opening
+  JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest),
+best AS (
+  SELECT * FROM scores
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+around AS (
+  SELECT lang, phrase, max(a) AS a
+  FROM (SELECT lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase
+        FROM candidates WHERE size = 3)
+  GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, b.a DESC, phrase) AS rank,
+       phrase, b.a, l, r, n, score
+FROM best b JOIN totals USING (lang) LEFT JOIN around USING (lang, phrase)
+WHERE coalesce(100 * around.a < {collocations.COVERING} * b.a, true) OR size > 2
+QUALIFY rank <= {collocations.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_snapshots": chat_snapshots(),
         "op4_imatch_fingerprints": imatch_fingerprints(),
         "op5_source_mixing": source_mixing(),
         "op10_benchmark_decontamination": benchmark_decontamination(),
+        "op11_source_divergence": source_divergence(),
+        "op12_phrase_collocations": phrase_collocations(),
     }
