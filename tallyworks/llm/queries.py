@@ -16,6 +16,7 @@ from tallyworks.llm import (
     licenses,
     mixing,
     quality,
+    repeats,
     secrets,
     sharding,
     simhash,
@@ -77,6 +78,10 @@ def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocation_report(table(spark, folder, "documents"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -93,5 +98,6 @@ def queries() -> dict[str, Query]:
             op10_benchmark_decontamination,
             op11_source_divergence,
             op12_phrase_collocations,
+            op13_suffix_array_dedup,
         )
     }

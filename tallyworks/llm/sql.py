@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import chat, collocations, decontaminate, divergence, imatch, mixing
+from tallyworks.llm import chat, collocations, decontaminate, divergence, imatch, mixing, repeats
 from tallyworks.llm.common import ALNUM_WORD, SPACED_WORD
 
 
@@ -180,7 +180,7 @@ def lowered(text: str) -> str:
     return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def source_divergence() -> str:
+def source_divergence(min_documents: int = divergence.MIN_DOCUMENTS) -> str:
     def probability(count: str, total: str, terms: str) -> str:
         above = f"({divergence.UNIT}::HUGEINT * ({count} + {divergence.PRIOR}))"
         return f"(1 + {above} // ({total} + {divergence.PRIOR} * {terms})::HUGEINT)"
@@ -194,7 +194,7 @@ WITH read AS (
 words AS (SELECT row, lang, source, unnest(terms) AS term FROM read),
 vocabulary AS (
   SELECT lang, term FROM words GROUP BY lang, term
-  HAVING count(DISTINCT row) >= {divergence.MIN_DOCUMENTS}),
+  HAVING count(DISTINCT row) >= {min_documents}),
 sizes AS (SELECT lang, count(*) AS terms FROM vocabulary GROUP BY lang),
 kept AS (SELECT words.* FROM words JOIN vocabulary USING (lang, term)),
 groups AS (
@@ -228,7 +228,7 @@ SELECT lang, source, part, item, value,
 FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
 
 
-def phrase_collocations() -> str:
+def phrase_collocations(support: int = collocations.SUPPORT) -> str:
     counted = " UNION ALL ".join(
         f"""
   SELECT lang, {size} AS size,
@@ -247,7 +247,7 @@ totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
 counts AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM ({counted}) GROUP BY lang, size, phrase),
 candidates AS (
   SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts
-  WHERE size > 1 AND f >= {collocations.SUPPORT}),
+  WHERE size > 1 AND f >= {support}),
 cuts AS MATERIALIZED (
   SELECT lang, size, phrase, a, cut, array_to_string(words[1:cut], ' ') AS opening,
          array_to_string(words[cut + 1:], ' ') AS rest
@@ -273,6 +273,37 @@ WHERE coalesce(100 * around.a < {collocations.COVERING} * b.a, true) OR size > 2
 QUALIFY rank <= {collocations.TOP}"""
 
 
+def suffix_array_dedup(size: int = repeats.LENGTH) -> str:
+    return f"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS digits,
+         (strlen(coalesce(text, '')))::BIGINT AS n_bytes
+  FROM documents),
+strings AS MATERIALIZED (
+  SELECT row, start, md5_number(substr(digits, 2 * start + 1, {2 * size})) AS string
+  FROM (SELECT row, digits, unnest(range(n_bytes - {size - 1})) AS start
+        FROM texts WHERE n_bytes >= {size})),
+twice AS (SELECT string FROM strings GROUP BY string HAVING count(*) > 1),
+marked AS (SELECT row, start FROM strings SEMI JOIN twice USING (string)),
+runs AS (
+  SELECT row, start, sum(opens) OVER (PARTITION BY row ORDER BY start) AS run
+  FROM (SELECT row, start,
+               (start > coalesce(lag(start) OVER (PARTITION BY row ORDER BY start), -{size + 1})
+                + {size})::INT AS opens FROM marked)),
+spans AS (
+  SELECT row, min(start) AS first, max(start) + {size} AS last,
+         lag(max(start) + {size}, 1, 0) OVER (PARTITION BY row ORDER BY run) AS previous
+  FROM runs GROUP BY row, run),
+cut AS (
+  SELECT row, sum(last - first)::BIGINT AS n_removed, count(*) AS n_spans,
+         string_agg(substr(digits, 2 * previous + 1, 2 * (first - previous)), '' ORDER BY first) AS kept,
+         max(last) AS done
+  FROM spans JOIN texts USING (row) GROUP BY row)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(digits, 2 * coalesce(done, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (row)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_snapshots": chat_snapshots(),
@@ -281,4 +312,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_benchmark_decontamination": benchmark_decontamination(),
         "op11_source_divergence": source_divergence(),
         "op12_phrase_collocations": phrase_collocations(),
+        "op13_suffix_array_dedup": suffix_array_dedup(),
     }

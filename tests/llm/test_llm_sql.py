@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, folder, name):
 
 def test_entry_registers_one_query_an_operator_and_the_pipeline():
     names = [name for name in __spark_entry__.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 13))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
     assert set(sql.oracle_sql()) <= set(__spark_entry__.oracle_sql())
 
