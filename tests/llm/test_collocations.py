@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from tallyworks.llm import collocations, sql
 
-from tests.llm.test_divergence import lowered
-from tests.llm.test_llm_sql import assert_same, connection_with
+from test_divergence import lowered
+from test_llm_sql import assert_same, connection_with
 
 
 def counts_by_hand(rows, longest=3):

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from tallyworks.llm import divergence, sql
 
-from tests.llm.test_llm_sql import assert_same, connection_with
+from test_llm_sql import assert_same, connection_with
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 

@@ -9,7 +9,7 @@ import pytest
 from tallyworks.llm import repeats, sql
 from tallyworks.llm import suffixes as s
 
-from tests.llm.test_llm_sql import assert_same, connection_with
+from test_llm_sql import assert_same, connection_with
 
 
 def by_hand(texts, length):
