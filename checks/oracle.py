@@ -312,9 +312,79 @@ stacked AS (
     return ",\n".join(ctes)
 
 
+def _shortest_least_squares(dependent: str = "1e-16::DOUBLE") -> str:
+    """CTEs ending in ``solved``: the shortest least squares solution, also of dependent columns.
+
+    Every series gets one extra row a column, with a one there: the steps that orthogonalise the
+    columns leave in these rows what each is made of, and the solution. Columns that leave
+    nothing of themselves name the directions in which the solution may move freely;
+    it is freed of all of them.
+    """
+    columns = MODEL_COLUMNS
+    size = len(columns)
+    real = ", ".join(f"{c}::DOUBLE AS {c}" for c in columns)
+    unit = ", ".join(f"CASE WHEN unit = {i} THEN 1::DOUBLE ELSE 0::DOUBLE END AS {c}" for i, c in enumerate(columns))
+
+    def over(rows: str, expression: str, how: str = "sum") -> str:
+        return f"{how}(CASE WHEN {rows} THEN {expression} END) OVER (PARTITION BY series)"
+
+    scales = {c: (over("is_train", c, "avg"), over("is_train", c, "stddev_pop")) for c in columns}
+    scaled = ", ".join(
+        f"({c} - {mean}) / coalesce(nullif({deviation}, 0), 1) AS {c}" for c, (mean, deviation) in scales.items()
+    )
+    ctes = [
+        f"""stacked AS (
+  SELECT series, period, 0 AS step, is_train, {real}, {money("revenue_c")} AS y FROM split
+  UNION ALL
+  SELECT series, period, step, false, {real}, NULL FROM future
+)""",
+        f"""scaled AS (
+  SELECT series, period, step, is_train, y, {scaled}, {over("is_train", "y", "avg")} AS level FROM stacked)""",
+        f"""fit_0 AS (
+  SELECT series, period, step, -1 AS unit, is_train, y - level AS rest, 0::DOUBLE AS w,
+         {", ".join(columns)} FROM scaled WHERE is_train
+  UNION ALL
+  SELECT series, NULL, NULL, unit, false, NULL, 0::DOUBLE, {unit}
+  FROM (SELECT DISTINCT series FROM scaled WHERE is_train), range({size}) AS units(unit))""",
+    ]
+    for i, c in enumerate(columns):
+        norm = over("is_train", f"{c} * {c}")
+        left = f"{norm} / {over('is_train', '1', 'count')} <= {dependent}"
+        names = ["series", "period", "step", "unit", "is_train"]
+        ctes.append(
+            f"share_{i} AS (SELECT *, CASE WHEN {left} THEN NULL ELSE {norm} END AS norm FROM fit_{i})"
+        )
+        kept = [*names, *(f"{columns[j]}" for j in range(i)), *(f"loose_{j}" for j in range(i))]
+        kept += [c, f"norm IS NULL AS loose_{i}"]
+        kept += [
+            f"{d} - coalesce({over('is_train', f'{d} * {c}')} / norm, 0) * {c} AS {d}" for d in columns[i + 1 :]
+        ]
+        slope = f"coalesce({over('is_train', f'rest * {c}')} / norm, 0)"
+        kept += [f"rest - {slope} * {c} AS rest", f"w + {slope} * {c} AS w"]
+        ctes.append(f"fit_{i + 1} AS (SELECT {', '.join(kept)} FROM share_{i})")
+    loose = ", ".join(f"CASE WHEN loose_{i} THEN {c} ELSE 0::DOUBLE END AS {c}" for i, c in enumerate(columns))
+    ctes.append(f"free_0 AS (SELECT series, unit, w, {loose} FROM fit_{size} WHERE unit >= 0)")
+    for i, c in enumerate(columns):
+        norm = f"nullif(sum({c} * {c}) OVER (PARTITION BY series), 0)"
+        later = [
+            f"{d} - coalesce(sum({d} * {c}) OVER (PARTITION BY series) / {norm}, 0) * {c} AS {d}"
+            for d in columns[i + 1 :]
+        ]
+        moved = f"w - coalesce(sum(w * {c}) OVER (PARTITION BY series) / {norm}, 0) * {c} AS w"
+        ctes.append(f"free_{i + 1} AS (SELECT {', '.join(['series', 'unit', moved, *later])} FROM free_{i})")
+    slopes = ", ".join(f"sum(w) FILTER (unit = {i}) AS w_{i}" for i in range(size))
+    guess = " + ".join(f"{c} * w_{i}" for i, c in enumerate(columns))
+    ctes.append(f"slopes AS (SELECT series, {slopes} FROM free_{size} GROUP BY series)")
+    ctes.append(
+        f"solved AS (SELECT series, period, step, is_train, y, level + {guess} AS guess FROM scaled JOIN slopes USING (series))"
+    )
+    return ",\n".join(ctes)
+
+
+FITTED = f"{_least_squares()},\nsolved AS (SELECT * FROM fit_{len(MODEL_COLUMNS)}),\n"
+
 REGRESSION = (
-    f"{FUTURE},\n{_least_squares()},\n"
-    f"solved AS (SELECT * FROM fit_{len(MODEL_COLUMNS)}),\n"
+    f"{FUTURE},\n{FITTED}"
     + """
 held AS (SELECT series, period, y AS actual, guess AS predicted FROM solved
          WHERE step = 0 AND NOT is_train),
@@ -332,6 +402,13 @@ regressed AS (SELECT series, step, period, {even("greatest(guess, 0)")} AS lr_fo
               FROM solved WHERE step > 0)"""
 )
 
+SHORTEST = REGRESSION.replace(FITTED, _shortest_least_squares() + ",\n").replace(
+    "1 - sum((actual - predicted) * (actual - predicted)) / (var_pop(actual) * count(*)) END",
+    """CASE WHEN var_pop(actual) > 0
+           THEN 1 - sum((actual - predicted) * (actual - predicted)) / (var_pop(actual) * count(*))
+           WHEN sum((actual - predicted) * (actual - predicted)) = 0 THEN 1 ELSE 0 END END""",
+)
+
 DETAIL = (
     f"{MOVING_AVERAGE},\n{REGRESSION},\n"
     + f"""
@@ -347,6 +424,8 @@ detail AS (
 )"""
 )
 
+SHORTEST_DETAIL = DETAIL.replace(REGRESSION, SHORTEST)
+
 METRICS_OUT = (
     "test_rows, "
     f"{even('mae', 4)} AS mae, {even('rmse', 4)} AS rmse, {even('r2', 8)} AS r2, "
@@ -644,6 +723,13 @@ SELECT series, period, actual, {even("predicted")} AS predicted FROM held""",
         "hold_out_metrics": f"""{with_(LINES, BY_CHANNEL, FEATURES, REGRESSION)}
 SELECT series, {METRICS_OUT} FROM metrics""",
         "forecast_detail": f"""{with_(LINES, TOTAL, FEATURES, DETAIL)} SELECT * FROM detail""",
+        "forecast_detail_by_product": f"""{with_(LINES, BY_PRODUCT, FEATURES, SHORTEST_DETAIL)}
+SELECT series, period, type, {even("ma_3_forecast", 0)} AS ma_3_forecast,
+       {even("lr_forecast", 0)} AS lr_forecast, {even("ensemble_forecast", 0)} AS ensemble_forecast
+FROM detail""",
+        "hold_out_metrics_by_product": f"""{with_(LINES, BY_PRODUCT, FEATURES, SHORTEST)}
+SELECT series, test_rows, {even("mae", 1)} AS mae, {even("rmse", 1)} AS rmse, {even("r2", 3)} AS r2,
+       {even("mape", 2)} AS mape, {even("100 - mape", 2)} AS accuracy FROM metrics""",
         "forecast_detail_by_category": f"""{with_(LEDGER, BY_CATEGORY, FEATURES, DETAIL)}
 SELECT * FROM detail""",
         "actuals_and_forecast": f"""{with_(LINES, TOTAL, FEATURES, DETAIL)}

@@ -391,6 +391,26 @@ def forecast_detail_by_category(spark: SparkSession, folder: str) -> DataFrame:
     return forecast.forecast_detail(history, models=models)
 
 
+def product_fits(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """History, models and metrics of every product, however few or alike its months are."""
+    history = settle(product_history(spark, folder), "history")
+    return history, *forecast.fit_many(history)
+
+
+def forecast_detail_by_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole units: the digits that do not depend on how ill-conditioned a series is."""
+    history, models, metrics = product_fits(spark, folder)
+    detail = forecast.forecast_detail(history, models=models, held_out=metrics)
+    forecasts = ("ma_3_forecast", "lr_forecast", "ensemble_forecast")
+    return detail.withColumns({name: half_even(F.col(name), 0) for name in forecasts})
+
+
+def hold_out_metrics_by_product(spark: SparkSession, folder: str) -> DataFrame:
+    places = {"mae": 1, "rmse": 1, "r2": 3, "mape": 2, "accuracy": 2}
+    metrics = product_fits(spark, folder)[2]
+    return metrics.withColumns({name: half_even(F.col(name), n) for name, n in places.items()})
+
+
 def actuals_and_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return forecast.actuals_and_forecast(*total_detail(spark, folder))
 
@@ -577,6 +597,8 @@ QUERIES: dict[str, Query] = {
     "hold_out_metrics": hold_out_metrics,
     "forecast_detail": forecast_detail,
     "forecast_detail_by_category": forecast_detail_by_category,
+    "forecast_detail_by_product": forecast_detail_by_product,
+    "hold_out_metrics_by_product": hold_out_metrics_by_product,
     "actuals_and_forecast": actuals_and_forecast,
     "forecast_run_summary": forecast_run_summary,
     # stored results

@@ -12,6 +12,9 @@ from tallyworks.functions.calendar import season_cosine, season_sine
 from tallyworks.functions.rounding import half_even
 from tallyworks.operators.series import future_months, whole_series
 
+# Columns that depend on each other up to rounding count as dependent: below this share of the
+# largest singular value. Centred columns of a few rows leave some 1e-15 of it.
+DEPENDENT = 1e-8
 FEATURES = ["t", "sin_month", "cos_month", "quarter_enc", "ma_3", "lag_1"]
 
 
@@ -72,8 +75,7 @@ def least_squares(rows: pd.Series, targets: pd.Series) -> pd.Series:
         x = np.stack(rows[members].to_list()).reshape(len(members), length, -1)
         y = np.stack(targets[members].to_list())
         level = y.mean(axis=1)
-        # columns that depend on each other up to rounding count as dependent
-        inverse = np.linalg.pinv(x, rcond=np.finfo(float).eps * max(x.shape[1:]))
+        inverse = np.linalg.pinv(x, rcond=DEPENDENT)
         slopes = np.einsum("skn,sn->sk", inverse, y - level[:, None])
         for member, row in zip(members, np.column_stack([level, slopes]), strict=True):
             fitted[member] = row

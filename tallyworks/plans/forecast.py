@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.rounding import half_even
-from tallyworks.operators import regression, series as monthly_series
+from tallyworks.operators import regression, sums
+from tallyworks.operators import series as monthly_series
+from tallyworks.session import settle
 
 # The regression's share of the blend, by hold-out R2.
 STRONG_FIT = 0.8
@@ -18,6 +20,17 @@ def fit(series: DataFrame) -> DataFrame:
     return regression.fit(monthly_series.with_split(monthly_series.with_features(series)))
 
 
+def fit_many(series: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Models and hold-out metrics of any number of series, fitted from sums that merge.
+
+    Both are settled: one row a series, which the forecast needs several times.
+    """
+    split = monthly_series.with_split(monthly_series.with_features(series))
+    models = settle(sums.fit(split), "models")
+    predicted = sums.hold_out_predictions(split, models)
+    return models, settle(regression.hold_out_metrics(predicted), "metrics")
+
+
 def metrics(models: DataFrame) -> DataFrame:
     return regression.hold_out_metrics(regression.hold_out_predictions(models))
 
@@ -30,14 +43,22 @@ def blend(ma: Column, lr: Column, r2: Column) -> Column:
 
 
 def forecast_detail(
-    series: DataFrame, window: int = 3, horizon: int = 6, models: DataFrame | None = None
+    series: DataFrame,
+    window: int = 3,
+    horizon: int = 6,
+    models: DataFrame | None = None,
+    held_out: DataFrame | None = None,
 ) -> DataFrame:
-    """(series, period, type, ma_3_forecast, lr_forecast, ensemble_forecast)."""
+    """(series, period, type, ma_3_forecast, lr_forecast, ensemble_forecast).
+
+    ``held_out`` has the metrics of models that do not carry their hold-out rows.
+    """
     models = fit(series) if models is None else models
+    held_out = metrics(models) if held_out is None else held_out
     ma = monthly_series.moving_average_forecast(series, window, horizon)
     lr = regression.regression_forecast(models, horizon).drop("period")
     paired = ma.join(lr, ["series", "step"], "left").join(
-        metrics(models).select("series", "r2"), "series", "left"
+        held_out.select("series", "r2"), "series", "left"
     )
     return paired.select(
         "series",

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from tallyworks.functions.calendar import period
 from tallyworks.operators import regression, series
 from tallyworks.plans import forecast
+from tests_helpers import months, separate_fit
 
 # 36 months of revenue from 2022-01 and the forecasts they give.
 REVENUE = """
@@ -31,20 +28,6 @@ FORECASTS = [
 ]
 
 
-def months(spark, named):
-    """A series frame from {name: [revenue, ...]}, each from 2022-01 on."""
-    rows = [
-        (name, i, Decimal(str(value)))
-        for name, values in named.items()
-        for i, value in enumerate(values)
-    ]
-    start = F.add_months(F.lit("2022-01-01").cast("date"), F.col("i"))
-    return spark.createDataFrame(rows, "series string, i int, revenue decimal(18,2)").select(
-        "series", period(start).alias("period"), F.year(start).alias("year"),
-        F.month(start).alias("month"), F.quarter(start).alias("quarter"), "revenue",
-    )
-
-
 @pytest.fixture(scope="module")
 def published(spark):
     return months(spark, {"total": REVENUE})
@@ -139,27 +122,3 @@ def test_many_series_equal_a_separate_fit_each(spark):
         assert [found[name][s] for s in range(1, 7)] == pytest.approx(
             separate_fit(np.array(values)), abs=0.02
         )
-
-
-def separate_fit(y):
-    """Six forecasts of one series by minimum-norm least squares on scaled columns."""
-    n = len(y)
-    i = np.arange(n)
-    month = i % 12 + 1
-
-    def columns(t, m, trailing, lag):
-        angle = 2 * np.pi * m / 12
-        return np.column_stack(
-            [t, np.sin(angle), np.cos(angle), (m - 1) // 3 + 1, trailing, lag]
-        ).astype(float)
-
-    trailing = np.array([y[max(0, k - 2) : k + 1].mean() for k in i])
-    lag = np.concatenate([[np.nan], y[:-1]])
-    x = columns(i, month, trailing, lag)[3:]
-    kept = int((n - 3) * 0.8)
-    mean, scale = x[:kept].mean(0), x[:kept].std(0)
-    scale[scale == 0] = 1
-    slopes = np.linalg.lstsq((x[:kept] - mean) / scale, y[3:][:kept] - y[3:][:kept].mean(), rcond=None)[0]
-    step = np.arange(1, 7)
-    coming = columns(n - 1 + step, (month[-1] - 1 + step) % 12 + 1, np.full(6, trailing[-1]), np.full(6, y[-1]))
-    return np.maximum((coming - mean) / scale @ slopes + y[3:][:kept].mean(), 0)
