@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -20,31 +21,47 @@ LONGEST = 3
 COVERING = 50
 TOP = 2_000
 SHARDS = 4
-# Words whose phrases a task adds up before it hands the counts on.
-HELD = 1 << 20
+# Words whose phrases a task adds up before it hands the counts on, and rows of a batch.
+HELD = 1 << 21
+BATCH = 1 << 16
 # Bits of the filter of frequent phrases: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 # A-Z count as a-z; these bytes end a piece; a tab is a space.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
+PIECE_END = b"."
 PIECE_BYTES = bytes(
-    byte + 32 if 65 <= byte <= 90 else 10 if byte in PIECE_ENDS else 32 if byte == 9 else byte
+    byte + 32 if 65 <= byte <= 90 else PIECE_END[0] if byte in PIECE_ENDS else 32 if byte == 9 else byte
     for byte in range(256)
 )
 
 
-def pieces_of(text: bytes | None) -> Iterator[list[bytes]]:
-    """The words of every piece of a UTF-8 text that has any."""
-    for piece in (text or b"").translate(PIECE_BYTES).split(b"\n"):
-        if words := piece.split():
-            yield words
+def tokens_of(text: bytes | None) -> list[bytes]:
+    """The words of a UTF-8 text, with PIECE_END between pieces."""
+    return (text or b"").translate(PIECE_BYTES).replace(PIECE_END, b" " + PIECE_END + b" ").split()
 
 
-def filter_place(lang: str, phrase: bytes) -> int:
-    return xxhash.xxh64_intdigest(phrase, len(lang) + 31 * xxhash.xxh32_intdigest(lang)) % FILTER_BITS
+class Numbers(dict):
+    """Numbers of words in the order in which they come; PIECE_END is 0."""
+
+    def __init__(self):
+        self[PIECE_END] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def phrase_places(words: list[np.ndarray], lang: str) -> np.ndarray:
+    """Filter places of phrases, from the hashes of their first words, second words, ..."""
+    place = np.full(len(words[0]), xxhash.xxh64_intdigest(lang), dtype=np.uint64)
+    for hashes in words:
+        place = (place ^ hashes) * np.uint64(0x9E3779B97F4A7C15)
+        place ^= place >> np.uint64(32)
+    return (place % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
 class PhraseFilter:
-    """Whether a phrase may be frequent: never wrong about one that is, whatever the size."""
+    """Which phrases may be frequent: never wrong about one that is, and of one size for any corpus."""
 
     def __init__(self, slices: list[tuple[int, bytes]]):
         self.bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
@@ -52,73 +69,108 @@ class PhraseFilter:
             start = number * len(content)
             self.bits[start : start + len(content)] = np.frombuffer(content, np.uint8)
 
-    def __contains__(self, place: int) -> bool:
-        return bool(self.bits[place >> 3] >> (place & 7) & 1)
+    def has(self, places: np.ndarray) -> np.ndarray:
+        return (self.bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+class Tally:
+    """Words of one language as numbers, and the phrases in them."""
+
+    def __init__(self, lang: str):
+        self.lang, self.numbers, self.ids = lang, Numbers(), array("q")
+
+    def add(self, text: bytes | None) -> int:
+        """Takes the words of a text and returns their number."""
+        before = len(self.ids)
+        self.ids.extend(map(self.numbers.__getitem__, tokens_of(text)))
+        self.ids.append(0)
+        return len(self.ids) - before
+
+    def phrases(self, sizes: tuple[int, ...], frequent: PhraseFilter | None) -> Iterator[tuple]:
+        """(size, first words, second words, ..., counts) of every size, words as their numbers."""
+        ids = np.frombuffer(self.ids, dtype=np.int64)
+        count = np.bincount(ids, minlength=len(self.numbers))
+        if 0 in sizes:
+            yield 0, [], np.array([count[1:].sum()])
+        if 1 in sizes:
+            yield 1, [np.arange(1, len(count))], count[1:]
+        if frequent is not None:
+            hashed = np.fromiter(map(xxhash.xxh64_intdigest, self.numbers), np.uint64, len(self.numbers))
+        # the phrase of each place, as its rank; below zero where there is none
+        ranks, words = np.where(ids > 0, ids, -1), [np.arange(len(count))]
+        for size in range(2, max(sizes) + 1):
+            live = (ranks[:-1] >= 0) & (ids[size - 1 :] > 0)
+            if size in sizes and frequent is not None:
+                maybe = frequent.has(phrase_places([hashed[column] for column in words], self.lang))
+                kept = np.append(maybe, False)[ranks]  # rank -1: no phrase
+                live &= kept[:-1] & kept[1:]
+            codes = ranks[:-1][live] * len(count) + ids[size - 1 :][live]
+            if size == max(sizes):
+                unique, n = np.unique(codes, return_counts=True)
+            else:
+                unique, inverse, n = np.unique(codes, return_inverse=True, return_counts=True)
+                ranks = np.full(len(live), -1)
+                ranks[live] = inverse
+            before, last = np.divmod(unique, len(count))
+            words = [*(column[before] for column in words), last]
+            if size in sizes:
+                yield size, words, n
 
 
 def count_phrases(
     documents: DataFrame, sizes: tuple[int, ...], frequent: Broadcast | None = None
 ) -> DataFrame:
-    """(lang, size, phrase, in_0, in_1, ...): occurrences in each shard, added up over all tasks.
+    """(lang, size, phrase, in_0, in_1, ...): occurrences in each shard.
 
     A shard is every SHARDS-th split of the input. Size 0 counts all words under the
     empty phrase. With ``frequent``, a phrase is counted only if both phrases
-    one word shorter that it holds may be frequent.
+    one word shorter that it holds may be frequent. Tasks add up the phrases of HELD words before
+    they are dealt out, so a phrase has few rows however common it is.
     """
 
-    def count(texts: Iterator[tuple[str, bytes | None]]) -> Iterator[tuple[int, dict[str, Counter]]]:
-        held: dict[int, dict[str, Counter]] = {size: defaultdict(Counter) for size in sizes}
-        maybe: dict[tuple[str, bytes], bool] = {}
-        seen = 0
-        for lang, text in texts:
-            for words in pieces_of(text):
-                for size in sizes:
-                    counter = held[size][lang]
-                    if size == 0:
-                        counter[b""] += len(words)
-                    elif size == 1:
-                        counter.update(words)
-                    else:
-                        phrases = [b" ".join(x) for x in zip(*(words[i:] for i in range(size)))]
-                        if frequent is not None and phrases:
-                            parts = [b" ".join(x) for x in zip(*(words[i:] for i in range(size - 1)))]
-                            for part in parts:
-                                if (lang, part) not in maybe:
-                                    maybe[lang, part] = filter_place(lang, part) in frequent.value
-                            kept = [maybe[lang, part] for part in parts]
-                            phrases = [p for p, a, b in zip(phrases, kept, kept[1:]) if a and b]
-                        counter.update(phrases)
-                seen += len(words)
-                if seen >= HELD:
-                    yield from held.items()
-                    held = {size: defaultdict(Counter) for size in sizes}
-                    maybe, seen = {}, 0
-        yield from held.items()
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def texts():
-            for batch in batches:
-                yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
-
-        for size, by_lang in count(texts()):
-            for lang, counter in by_lang.items():
-                n = len(counter)
+    def rows(tally: Tally, known: PhraseFilter | None) -> Iterator[pa.RecordBatch]:
+        vocabulary = pa.array(list(tally.numbers), pa.binary())
+        for size, words, counts in tally.phrases(sizes, known):
+            for start in range(0, len(counts), BATCH):
+                n = counts[start : start + BATCH]
+                parts = [vocabulary.take(pa.array(column[start : start + BATCH])) for column in words]
+                if len(parts) > 1:
+                    phrases = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
+                else:
+                    phrases = parts[0] if parts else pa.array([b""] * len(n), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * n, pa.string()),
-                        pa.array(np.full(n, size, np.int32)),
-                        pa.array(list(counter), pa.binary()).view(pa.string()),
-                        pa.array(counter.values(), pa.int64()),
+                        pa.array([tally.lang] * len(n), pa.string()),
+                        pa.array(np.full(len(n), size, np.int32)),
+                        phrases.view(pa.string()),
+                        pa.array(n.astype(np.int64)),
                     ],
                     ["lang", "size", "phrase", "n"],
                 )
 
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = frequent.value if frequent is not None else None
+        held: dict[str, Tally] = {}
+        size = 0
+        for batch in batches:
+            for lang, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if lang not in held:
+                    held[lang] = Tally(lang)
+                size += held[lang].add(text)
+                if size >= HELD:
+                    for tally in held.values():
+                        yield from rows(tally, known)
+                    held, size = {}, 0
+        for tally in held.values():
+            yield from rows(tally, known)
+
     counted = documents.select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text")
     ).mapInArrow(compute, "lang string, size int, phrase string, n long")
-    shard = F.pmod(F.spark_partition_id(), F.lit(SHARDS))
+    dealt = counted.withColumn("shard", F.pmod(F.spark_partition_id(), F.lit(SHARDS)).cast("int"))
+    # the tasks have added up what they could, so the phrases are dealt first and added up once
     return (
-        counted.withColumn("shard", shard)
+        dealt.repartition("lang", "size", "phrase")
         .groupBy("lang", "size", "phrase")
         .agg(
             *[
@@ -151,9 +203,12 @@ def filter_of(phrases: DataFrame) -> list[tuple[int, bytes]]:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(column.to_pylist() for column in batch.columns), strict=True)
-            places = [filter_place(lang, phrase) for lang, phrase in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64())], ["place"])
+            rows: dict[str, list[list[int]]] = {}
+            for lang, phrase in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                rows.setdefault(lang, []).append([xxhash.xxh64_intdigest(w) for w in phrase.split(b" ")])
+            for lang, hashes in rows.items():
+                places = phrase_places(list(np.array(hashes, dtype=np.uint64).T), lang)
+                yield pa.RecordBatch.from_arrays([pa.array(places)], ["place"])
 
     places = phrases.select("lang", F.col("phrase").cast("binary")).mapInArrow(place, "place long")
     slices = places.groupBy((F.col("place") / F.lit(32_768)).cast("long").alias("number")).agg(
