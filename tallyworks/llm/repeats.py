@@ -310,14 +310,10 @@ def repeated_runs(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame
         kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > CROWD), "crowded"
     )
     texts = rows.groupBy("key").agg(F.first("text").alias("text"))
-    wanted = kinds.select("gram", "stretch", "place.*")
-    found = search_shards(
-        bodies_of(texts, wanted.join(crowded, "gram", "left_anti"), length), length
+    bodies = settle(bodies_of(texts, kinds.select("gram", "stretch", "place.*"), length), "bodies")
+    found = search_shards(bodies.join(crowded, "gram", "left_anti"), length).unionByName(
+        search_crowds(bodies.join(crowded, "gram", "left_semi"), length)
     )
-    if not crowded.isEmpty():
-        found = found.unionByName(
-            search_crowds(bodies_of(texts, wanted.join(crowded, "gram", "left_semi"), length), length)
-        )
     copied = kinds.where("n > 1").select(
         "gram", "stretch", F.lit(0).alias("first"), F.col("place.count").alias("last")
     )

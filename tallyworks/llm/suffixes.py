@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-# Alphabets up to this size are induced a bucket at a time, larger ones a suffix at a time.
+from tallyworks.llm.fmindex import suffix_order
+
+# Texts with at most so many different symbols are sorted by inducing, a bucket at a time.
 BUCKETED = 1_024
 
 
@@ -80,36 +82,6 @@ def induce_buckets(
     return order
 
 
-def induce_suffixes(
-    text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, sizes: np.ndarray
-) -> np.ndarray:
-    """The same, one suffix at a time: for texts with almost as many symbols as places."""
-    symbols, kinds, size = text.tolist(), smaller.tolist(), len(text)
-    ends = np.cumsum(sizes)
-    heads, tails = (ends - sizes).tolist(), ends.tolist()
-    order = [-1] * size
-    for suffix in reversed(leftmost.tolist()):
-        symbol = symbols[suffix]
-        tails[symbol] -= 1
-        order[tails[symbol]] = suffix
-    for place in range(size):
-        previous = order[place] - 1
-        if previous >= 0 and not kinds[previous]:
-            symbol = symbols[previous]
-            order[heads[symbol]] = previous
-            heads[symbol] += 1
-    tails = ends.tolist()
-    tails[symbols[-1]] -= 1
-    order[tails[symbols[-1]]] = size - 1
-    for place in range(size - 1, -1, -1):
-        previous = order[place] - 1
-        if previous >= 0 and kinds[previous]:
-            symbol = symbols[previous]
-            tails[symbol] -= 1
-            order[tails[symbol]] = previous
-    return np.array(order, dtype=np.int64)
-
-
 def named(text: np.ndarray, leftmost: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, int]:
     """The leftmost smaller substrings in text order, as ranks; equal ones have equal ranks."""
     size = np.empty(len(text), dtype=np.int64)
@@ -134,20 +106,26 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     ``text`` holds numbers below ``symbols`` and ends with its only zero. Suffixes are
     either smaller or larger than the one that follows. The leftmost of each run of
     smaller ones cut the text into substrings; inducing sorts these, their ranks form a
-    shorter text that is sorted likewise, and its order induces that of all suffixes.
+    shorter text that is sorted in turn, and its order induces that of all suffixes. A
+    shorter text of few names is sorted by inducing again, one of many names by pairs of its
+    substrings, pairs of pairs and so on: inducing goes by bucket, and there would be too many.
     """
     if len(text) == 1:
         return np.zeros(1, dtype=np.int64)
     smaller = smaller_types(text)
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     sizes = np.bincount(text, minlength=symbols)
-    induce = induce_buckets if symbols <= BUCKETED else induce_suffixes
-    rough = induce(text, smaller, leftmost, sizes)
+    rough = induce_buckets(text, smaller, leftmost, sizes)
     starts = np.zeros(len(text), dtype=bool)
     starts[leftmost] = True
     shorter, names = named(text, leftmost, rough[starts[rough]])
-    by_name = np.argsort(shorter) if names == len(leftmost) else suffix_array(shorter, names)
-    return induce(text, smaller, leftmost[by_name], sizes)
+    if names == len(leftmost):
+        by_name = np.argsort(shorter)
+    elif names <= BUCKETED:
+        by_name = suffix_array(shorter, names)
+    else:
+        by_name = suffix_order(shorter)
+    return induce_buckets(text, smaller, leftmost[by_name], sizes)
 
 
 def predecessors(order: np.ndarray) -> np.ndarray:

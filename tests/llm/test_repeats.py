@@ -89,7 +89,7 @@ def test_texts_without_repeats_keep_their_columns(odd, clashing):
         assert kept.where("text IS NULL").count() == documents.where("text IS NULL").count()
 
 
-@pytest.mark.parametrize("bucketed", [0, 3, 1_024])
+@pytest.mark.parametrize("bucketed", [0, 4, 1_024])
 def test_suffix_order_and_prefixes_equal_sorting(monkeypatch, bucketed):
     monkeypatch.setattr(s, "BUCKETED", bucketed)
     chance = np.random.default_rng(bucketed)
