@@ -147,6 +147,8 @@ by_channel AS (
 
 KEPT = "kept AS (SELECT * FROM ledger WHERE NOT is_returned)"
 # Every seventh product's sales have no status: the views drop them, the summaries keep them.
+KEPT_LINES = "sold AS (SELECT * FROM lines WHERE NOT is_returned)"
+
 KNOWN_STATUS = "kept AS (SELECT * FROM ledger WHERE NOT is_returned AND product_id % 7 <> 0)"
 UNKNOWN_STATUS = "kept AS (SELECT * FROM ledger WHERE NOT is_returned OR product_id % 7 = 0)"
 
@@ -521,6 +523,8 @@ STORED = {
     "exported_region_summary": "region_summary",
     "exported_channel_summary": "channel_summary",
     "exported_ledger": "enriched_ledger",
+    "refreshed_ledger": "enriched_ledger",
+    "ledger_by_calendar": "ledger_of_a_quarter",
     "exported_forecast_detail": "forecast_detail",
     "exported_actuals_and_forecast": "actuals_and_forecast",
     "monthly_kpis_view": "monthly_kpis",
@@ -593,6 +597,12 @@ SELECT customer_id::VARCHAR AS customer_id, name, city, region, segment,
         "products": f"""{with_(LINES)}
 SELECT product_id, product_name, category, {money("price_c")} AS unit_price,
        {money("price_c")} AS cost_price FROM goods""",
+        "products_from_permuted_csv": f"""{with_(LINES)}
+SELECT product_id::VARCHAR AS product_id,
+       CASE WHEN product_id % 3 = 0 THEN replace(product_name, ' ', chr(10)) ELSE product_name END
+         AS product_name,
+       category, {money("price_c")} AS unit_price, {money("price_c")} AS cost_price,
+       NULL::DOUBLE AS return_rate FROM goods""",
         "products_from_csv": f"""{with_(LINES)}
 SELECT product_id::VARCHAR AS product_id, product_name, category,
        {money("price_c")} AS unit_price, {money("price_c")} AS cost_price,
@@ -613,6 +623,15 @@ SELECT transaction_id, date, {DATE_FEATURES}, period FROM lines""",
         "customer_lookup": f"""{with_(LINES)}
 SELECT transaction_id, customer_id, region, segment, city
 FROM lines LEFT JOIN people USING (customer_id)""",
+        "customer_lookup_bucketed": f"""{with_(LINES)}
+SELECT transaction_id, customer_id, region, segment, city
+FROM lines LEFT JOIN people USING (customer_id)""",
+        "unmatched_keys": f"""{with_(LINES)}
+SELECT 'customers' AS dimension, customer_id::VARCHAR AS key, count(*) AS rows FROM lines
+WHERE customer_id NOT IN (SELECT customer_id FROM people WHERE customer_id % 10 <> 0) GROUP BY customer_id
+UNION ALL
+SELECT 'products', product_id::VARCHAR, count(*) FROM lines
+WHERE product_id NOT IN (SELECT product_id FROM goods WHERE product_id % 7 <> 0) GROUP BY product_id""",
         "product_lookup_with_misses": f"""{with_(LINES)}
 SELECT transaction_id, product_id, category, {money("price_c")} AS cost_price
 FROM lines LEFT JOIN (SELECT * FROM goods WHERE product_id % 10 <> 0) USING (product_id)""",
@@ -644,6 +663,17 @@ SELECT loaded, loaded - count(*) AS duplicates,
        count(*) FILTER (fault = 'non_positive_quantity') AS non_positive_quantity,
        count(*) FILTER (fault IS NULL) AS remaining, loaded - remaining AS removed
 FROM judged, (SELECT count(*) AS loaded FROM dirty) GROUP BY loaded""",
+        "observed_validation": f"""{with_(DIRTY)},
+counted AS (
+  SELECT loaded, loaded - count(*) AS duplicates,
+         count(*) FILTER (fault = 'negative_revenue') AS negative_revenue,
+         count(*) FILTER (fault = 'non_positive_quantity') AS non_positive_quantity,
+         count(*) FILTER (fault IS NULL) AS remaining, loaded - remaining AS removed
+  FROM judged, (SELECT count(*) AS loaded FROM dirty) GROUP BY loaded)
+SELECT 'validate' AS stage, metric, value
+FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME metric VALUE value)
+UNION ALL SELECT 'nulls', 'campaign', count(*) FILTER (campaign IS NULL) FROM dirty
+UNION ALL SELECT 'nulls', 'revenue', count(*) FILTER (revenue_c IS NULL) FROM dirty""",
         "duplicate_keys": """
 SELECT c_nationkey, count(*) AS copies FROM customer
 GROUP BY c_nationkey HAVING count(*) > 1""",
@@ -740,6 +770,18 @@ SELECT series, (SELECT count(*) FROM split s WHERE is_train AND s.series = metri
          AS train_rows, {METRICS_OUT} FROM metrics""",
         # stored results
         "stored_ledger": f"{with_(LEDGER)} {LEDGER_OUT}",
+        "ledger_of_a_quarter": f"{with_(LEDGER)} {LEDGER_OUT} WHERE year = 1996 AND quarter(date) = 2",
+        "approximate_customers": f"""{with_(LINES)},
+{KEPT_LINES}
+SELECT 'month' AS level, year, month AS part, count(DISTINCT customer_id) AS customers, true AS is_near
+FROM sold GROUP BY year, month
+UNION ALL
+SELECT 'quarter', year, quarter(date)::INTEGER AS quarter, count(DISTINCT customer_id), true
+FROM sold GROUP BY year, quarter(date)::INTEGER
+UNION ALL
+SELECT 'year', year, 0, count(DISTINCT customer_id), true FROM sold GROUP BY year""",
+        "approximate_thresholds": f"""{with_(LINES)}
+SELECT year, count(revenue_c) AS rows, true AS is_near FROM lines GROUP BY year""",
         "stored_table_counts": f"{with_(LEDGER)} {TABLE_COUNTS} {SUMMARY_COUNTS}",
         "etl_audit": f"""{with_(LEDGER)}
 SELECT 'load' AS stage, table_name AS metric, row_count AS value
@@ -747,5 +789,6 @@ FROM ({TABLE_COUNTS} {SUMMARY_COUNTS})
 UNION ALL SELECT 'validate', unnest(['loaded', 'remaining']), count(*) FROM lines
 UNION ALL SELECT 'validate',
   unnest(['duplicates', 'negative_revenue', 'non_positive_quantity', 'removed']), 0
-UNION ALL SELECT 'nulls', 'campaign', count(*) FROM lines WHERE campaign IS NULL""",
+UNION ALL SELECT 'nulls', 'campaign', count(*) FROM lines WHERE campaign IS NULL
+UNION ALL SELECT 'unmatched', unnest(['customers', 'products']), 0""",
     }

@@ -13,16 +13,18 @@ from tallyworks import schemas
 from tallyworks.functions.calendar import date_features, period
 from tallyworks.functions.keys import business_key
 from tallyworks.functions.rounding import decimals_as_doubles, half_even
-from tallyworks.operators import enrich, quality, quantile, regression, reports, series
+from tallyworks.operators import enrich, quality, quantile, regression, reports, series, sketches
 from tallyworks.operators.joins import salted_lookup
-from tallyworks.plans import early, etl, forecast
+from tallyworks.operators.summaries import MONTH
+from tallyworks.plans import early, etl, forecast, refresh
 from tallyworks.session import scratch_path, settle
-from tallyworks.sinks.tables import write_csv, write_table
+from tallyworks.sinks.tables import write_bucketed, write_csv, write_table
 from tallyworks.sinks.views import register_views
-from tallyworks.sources import files, star
+from tallyworks.sources import files, star, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BUCKETS = 8
 AS_OF_DATE = dt.date.fromisoformat(AS_OF)
 
 
@@ -66,6 +68,17 @@ def products_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_products(spark, write_csv(rows, scratch_path(spark, "csv"), "products.csv"))
 
 
+def products_from_permuted_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns in another order, one that nobody asked for, and line breaks inside quoted names."""
+    rows = with_missing_columns(star.products(spark, folder), schemas.PRODUCTS)
+    broken = F.when(F.col("product_id") % 3 == 0, F.regexp_replace("product_name", " ", "\n"))
+    permuted = rows.withColumns(
+        {"product_name": F.coalesce(broken, "product_name"), "remark": F.lit("not declared")}
+    ).select("remark", *reversed(schemas.PRODUCTS.fieldNames()))
+    path = write_csv(permuted, scratch_path(spark, "csv"), "products.csv")
+    return files.read_products(spark, path, multiline=True)
+
+
 def source_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return quality.table_counts(
         {
@@ -150,6 +163,27 @@ def customer_lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("transaction_id", "customer_id", "region", "segment", "city")
 
 
+def customer_lookup_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides stored in buckets of the lookup key: the join itself moves no row."""
+    root = scratch_path(spark, "buckets")
+    rows = star.transactions(spark, folder).select("transaction_id", "customer_id")
+    places = star.customers(spark, folder).select("customer_id", "region", "segment", "city")
+    left = write_bucketed(rows, root, "transactions_by_customer", "customer_id", BUCKETS)
+    right = write_bucketed(places, root, "customers_by_customer", "customer_id", BUCKETS)
+    return left.join(right.hint("merge"), "customer_id", "left").select(
+        "transaction_id", "customer_id", "region", "segment", "city"
+    )
+
+
+def unmatched_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth customer and every seventh product is unknown."""
+    return etl.lookup_misses(
+        star.transactions(spark, folder),
+        star.customers(spark, folder).where(F.col("customer_id") % 10 != 0),
+        star.products(spark, folder).where(F.col("product_id") % 7 != 0),
+    )
+
+
 def order_lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
     joined = salted_lookup(
         star.priced_lines(spark, folder),
@@ -429,6 +463,80 @@ def stored_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: The months that queries refresh, and the quarter that they read.
+REFRESHED = [(1996, 2), (1998, 11)]
+QUARTER = (1996, 2)
+
+
+def refreshed_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Two months stored with rows missing and prices wrong, then replaced by their true rows."""
+    root = scratch_path(spark, "tables")
+    rows = star.transactions(spark, folder)
+    month = F.struct(F.year("date"), F.month("date"))
+    late = month.isin([F.struct(F.lit(y), F.lit(m)) for y, m in REFRESHED])
+    tripled = F.when(late, F.col("revenue") * 3).otherwise(F.col("revenue")).cast(schemas.MONEY)
+    missing = late & (F.col("product_id") % 2 == 0)
+    people, goods = star.customers(spark, folder), star.products(spark, folder)
+    before = enrich.enrich(rows.where(~missing).withColumn("revenue", tripled), people, goods)
+    ledger = write_table(before, root, "transactions", MONTH)
+    return refresh.refresh_months(rows.where(late), people, goods, ledger, root).ledger
+
+
+def ledger_of_a_quarter(spark: SparkSession, folder: str) -> DataFrame:
+    year, quarter = QUARTER
+    ledger = stored_ledger(spark, folder)
+    return stored.between_months(ledger, (year, 3 * quarter - 2), (year, 3 * quarter))
+
+
+def ledger_by_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """The same quarter, found in the stored monthly summary."""
+    year, quarter = QUARTER
+    summary = settle(monthly_summary(spark, folder), "monthly")
+    months = summary.where((F.col("year") == year) & (F.col("quarter") == quarter))
+    return stored.of_months(stored_ledger(spark, folder), months)
+
+
+def approximate_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct customers by month, quarter and year, exact, and whether the sketches' count is near."""
+    ledger = star.transactions(spark, folder).withColumns(date_features(F.col("date")))
+    sketched = settle(sketches.monthly_sketches(ledger), "sketches")
+    kept = enrich.not_returned(ledger)
+    levels = []
+    for level, keys in (("month", MONTH), ("quarter", ["year", "quarter"]), ("year", ["year"])):
+        exact = kept.groupBy(*keys).agg(F.count_distinct("customer_id").alias("customers"))
+        near = F.abs(F.col("approx_customers") - F.col("customers")) <= F.greatest(
+            4 * sketches.CUSTOMER_ERROR * F.col("customers"), F.lit(1.0)
+        )
+        part = F.lit(0) if len(keys) == 1 else F.col(keys[-1])
+        levels.append(
+            exact.join(sketches.approximate_customers(sketched, keys), keys).select(
+                F.lit(level).alias("level"), "year", part.alias("part"), "customers", near.alias("is_near")
+            )
+        )
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
+
+
+def approximate_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per year, and whether the sketches' quantile has nearly the rank that it should have."""
+    ledger = star.transactions(spark, folder).withColumns(date_features(F.col("date")))
+    sketched = settle(sketches.monthly_sketches(ledger), "sketches")
+    fraction = float(enrich.HIGH_VALUE_FRACTION)
+    found = sketches.approximate_quantile(sketched, fraction, ["year"])
+    slack = 2 * sketches.RANK_ERROR
+    value, cutoff = F.col("revenue"), F.col("approx_threshold")
+    return (
+        ledger.join(found, "year")
+        .groupBy("year")
+        .agg(
+            F.count(value).alias("rows"),
+            (
+                (F.count_if(value < cutoff) <= (fraction + slack) * F.count(value))
+                & (F.count_if(value <= cutoff) >= (fraction - slack) * F.count(value))
+            ).alias("is_near"),
+        )
+    )
+
+
 def stored_tables(spark: SparkSession, folder: str, collapsed: DataFrame) -> dict[str, DataFrame]:
     return etl.store_tables(
         collapsed,
@@ -444,8 +552,14 @@ def stored_table_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def etl_audit(spark: SparkSession, folder: str) -> DataFrame:
-    collapsed = etl.collapse(star.transactions(spark, folder))
-    return etl.audit(collapsed, stored_tables(spark, folder, collapsed))
+    collapsed, observed = etl.collapse_observed(star.transactions(spark, folder))
+    return etl.audit(collapsed, stored_tables(spark, folder, collapsed), observed)
+
+
+def observed_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """What the pass that writes the faulty rows observes of them."""
+    _, observed = etl.collapse_observed(faulty_transactions(spark, folder))
+    return etl.observed_audit(spark, observed)
 
 
 def exported(query: Query) -> Query:
@@ -529,6 +643,7 @@ QUERIES: dict[str, Query] = {
     "customers_from_csv": customers_from_csv,
     "products": star.products,
     "products_from_csv": products_from_csv,
+    "products_from_permuted_csv": products_from_permuted_csv,
     "source_row_counts": source_row_counts,
     "campaign_null_tokens": campaign_null_tokens,
     "business_keys": business_keys,
@@ -537,6 +652,8 @@ QUERIES: dict[str, Query] = {
     "product_lookup_with_misses": product_lookup_with_misses,
     "product_lookup_salted": product_lookup_salted,
     "customer_lookup_salted": customer_lookup_salted,
+    "customer_lookup_bucketed": customer_lookup_bucketed,
+    "unmatched_keys": unmatched_keys,
     "order_lookup_salted": order_lookup_salted,
     "enriched_ledger": enriched_ledger,
     "high_value_threshold": high_value_threshold,
@@ -548,6 +665,7 @@ QUERIES: dict[str, Query] = {
     "validated_transactions": on_faulty(quality.validate),
     "validation_counts": on_collapsed(quality.validation_counts),
     "duplicate_keys": duplicate_keys,
+    "observed_validation": observed_validation,
     # summaries
     "monthly_summary": monthly_summary,
     "category_summary": category_summary,
@@ -568,6 +686,8 @@ QUERIES: dict[str, Query] = {
     "customer_rfm_repeated_keys": on_repeated_keys(
         lambda rows, people, goods: early.customer_rfm(rows, people, AS_OF_DATE), "product_id"
     ),
+    "approximate_customers": approximate_customers,
+    "approximate_thresholds": approximate_thresholds,
     # views and dashboard queries
     "monthly_kpis": then(monthly_summary, reports.monthly_kpis),
     "category_performance": then(category_summary, reports.category_performance),
@@ -603,6 +723,9 @@ QUERIES: dict[str, Query] = {
     "forecast_run_summary": forecast_run_summary,
     # stored results
     "stored_ledger": stored_ledger,
+    "refreshed_ledger": refreshed_ledger,
+    "ledger_of_a_quarter": ledger_of_a_quarter,
+    "ledger_by_calendar": ledger_by_calendar,
     "stored_table_counts": stored_table_counts,
     "etl_audit": etl_audit,
     "exported_monthly_summary": exported(monthly_summary),

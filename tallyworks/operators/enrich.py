@@ -109,6 +109,10 @@ def enrich(
     return ledger.select(LEDGER_COLUMNS)
 
 
+def is_kept() -> Column:
+    """Whether a row was not returned; an unknown status is kept."""
+    return ~F.col("status").eqNullSafe(F.lit(RETURNED))
+
+
 def not_returned(ledger: DataFrame) -> DataFrame:
-    """Everything but returned rows; an unknown status is kept."""
-    return ledger.where(~F.col("status").eqNullSafe(F.lit(RETURNED)))
+    return ledger.where(is_kept())

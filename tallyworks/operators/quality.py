@@ -51,6 +51,25 @@ def validate(transactions: DataFrame) -> DataFrame:
     return accepted(collapse_duplicates(transactions))
 
 
+def audit_metrics(columns: list[str]) -> list[Column]:
+    """What ``validation_counts`` and ``null_counts`` count, as aggregates of collapsed rows."""
+    nulls = [
+        F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("copies")).otherwise(0)), F.lit(0)).alias(f"nulls {c}")
+        for c in columns
+    ]
+    return [*count_rules(), *nulls]
+
+
+def count_rules() -> list[Column]:
+    return [
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("loaded"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
+        F.count_if(F.col("fault") == NEGATIVE_REVENUE).alias(NEGATIVE_REVENUE),
+        F.count_if(F.col("fault") == NON_POSITIVE_QUANTITY).alias(NON_POSITIVE_QUANTITY),
+        F.count_if(F.col("fault").isNull()).alias("remaining"),
+    ]
+
+
 def null_counts(collapsed: DataFrame) -> DataFrame:
     """(column_name, nulls) over the rows as loaded, only where above zero."""
     columns = [c for c in collapsed.columns if c not in ("copies", "fault")]
@@ -62,13 +81,7 @@ def null_counts(collapsed: DataFrame) -> DataFrame:
 
 def validation_counts(collapsed: DataFrame) -> DataFrame:
     """One row: loaded, duplicates, rows per broken rule, removed, remaining."""
-    return collapsed.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("loaded"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
-        F.count_if(F.col("fault") == NEGATIVE_REVENUE).alias(NEGATIVE_REVENUE),
-        F.count_if(F.col("fault") == NON_POSITIVE_QUANTITY).alias(NON_POSITIVE_QUANTITY),
-        F.count_if(F.col("fault").isNull()).alias("remaining"),
-    ).withColumn("removed", F.col("loaded") - F.col("remaining"))
+    return collapsed.agg(*count_rules()).withColumn("removed", F.col("loaded") - F.col("remaining"))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -85,3 +98,15 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def duplicate_keys(dimension: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once and would multiply joined rows."""
     return dimension.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+
+
+def unmatched_keys(rows: DataFrame, dimension: DataFrame, key: str, name: str) -> DataFrame:
+    """(dimension, key, rows): keys of ``rows`` that a left join with ``dimension`` misses.
+
+    Rows collapse to one per key before they are shuffled to the join, so a hot key is one row
+    a task. A null key matches nothing and is reported as null.
+    """
+    used = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return used.join(dimension.select(key), key, "left_anti").select(
+        F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key"), "rows"
+    )

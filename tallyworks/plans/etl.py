@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.operators import quality, series, summaries
@@ -40,6 +40,17 @@ def collapse(transactions: DataFrame) -> DataFrame:
     return settle(quality.collapse_duplicates(transactions), "collapsed")
 
 
+def collapse_observed(transactions: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The same, and what the audit counts of these rows, observed by the pass that writes them.
+
+    Every task of the write counts its rows, so the copy is not read again to count them.
+    """
+    counted = Observation("collapsed")
+    rows = quality.collapse_duplicates(transactions)
+    copy = settle(rows.observe(counted, *quality.audit_metrics(transactions.columns)), "collapsed")
+    return copy, counted.get
+
+
 def table_writes(frames: dict[str, DataFrame], target: str) -> dict[str, Callable[[], DataFrame]]:
     return {name: partial(write_table, frame, target, name) for name, frame in frames.items()}
 
@@ -62,8 +73,51 @@ def store_tables(
     return stored | concurrently(spark, table_writes(summary, target))
 
 
-def audit(collapsed: DataFrame, stored: dict[str, DataFrame]) -> DataFrame:
-    """(stage, metric, value): rows loaded, removed and stored, nulls per column."""
+def lookup_misses(rows: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """(dimension, key, rows) of the customers and products that the lookups do not find."""
+    return quality.unmatched_keys(rows, customers, "customer_id", "customers").unionByName(
+        quality.unmatched_keys(rows, products, "product_id", "products")
+    )
+
+
+def observed_audit(spark: SparkSession, observed: dict[str, int]) -> DataFrame:
+    """(stage, metric, value) of the rows loaded and removed, and of nulls where there are any."""
+    counts = {name: n for name, n in observed.items() if not name.startswith("nulls ")}
+    counts["removed"] = counts["loaded"] - counts["remaining"]
+    nulls = {name.removeprefix("nulls "): n for name, n in observed.items() if name.startswith("nulls ")}
+    rows = [("validate", metric, n) for metric, n in counts.items()]
+    rows += [("nulls", column, n) for column, n in nulls.items() if n > 0]
+    return spark.createDataFrame(rows, "stage string, metric string, value long")
+
+
+def audit(
+    collapsed: DataFrame, stored: dict[str, DataFrame], observed: dict[str, int] | None = None
+) -> DataFrame:
+    """(stage, metric, value): rows loaded, removed, stored and not matched, nulls per column.
+
+    ``observed`` has the counts of the collapsed rows if the pass that wrote them took them.
+    """
+    tables = quality.table_counts(stored).select(
+        F.lit("load").alias("stage"),
+        F.col("table_name").alias("metric"),
+        F.col("row_count").alias("value"),
+    )
+    missing = lookup_misses(stored["transactions"], stored["customers"], stored["products"])
+    names = collapsed.sparkSession.createDataFrame([("customers",), ("products",)], "dimension string")
+    unmatched = (
+        names.join(missing, "dimension", "left")
+        .groupBy("dimension")
+        .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("value"))
+        .select(F.lit("unmatched").alias("stage"), F.col("dimension").alias("metric"), "value")
+    )
+    if observed is not None:
+        checked = [observed_audit(collapsed.sparkSession, observed)]
+    else:
+        checked = counted_audit(collapsed)
+    return reduce(DataFrame.unionByName, [*checked, tables, unmatched])
+
+
+def counted_audit(collapsed: DataFrame) -> list[DataFrame]:
     counts = quality.validation_counts(collapsed)
     validated = counts.unpivot([], counts.columns, "metric", "value").select(
         F.lit("validate").alias("stage"), "metric", F.col("value").cast("long").alias("value")
@@ -73,12 +127,7 @@ def audit(collapsed: DataFrame, stored: dict[str, DataFrame]) -> DataFrame:
         F.col("column_name").alias("metric"),
         F.col("nulls").alias("value"),
     )
-    tables = quality.table_counts(stored).select(
-        F.lit("load").alias("stage"),
-        F.col("table_name").alias("metric"),
-        F.col("row_count").alias("value"),
-    )
-    return reduce(DataFrame.unionByName, [validated, nulls, tables])
+    return [validated, nulls]
 
 
 def csv_writes(stored: dict[str, DataFrame], target: str) -> dict[str, Callable[[], str]]:
@@ -114,9 +163,9 @@ def run_etl(
     """
     spark = transactions.sparkSession
     with scratch_below(spark, target):
-        collapsed = collapse(transactions)
+        collapsed, observed = collapse_observed(transactions)
         stored = store_tables(collapsed, customers, products, f"{target}/tables")
-        checked = audit(collapsed, stored)
+        checked = audit(collapsed, stored, observed)
         if quarantine:
             kept = concurrently(spark, table_writes(quarantine_tables(quarantine), f"{target}/tables"))
             checked = checked.unionByName(quarantine_counts(kept))

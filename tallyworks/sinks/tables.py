@@ -37,6 +37,30 @@ def write_table(
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 
 
+def replace_partitions(
+    frame: DataFrame, root: str, name: str, partition_by: Sequence[str]
+) -> DataFrame:
+    """Replace only the partitions of the table ``name`` that ``frame`` has rows for."""
+    path = f"{root.rstrip('/')}/{name}"
+    writer = gathered(frame, partition_by).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
+
+
+def write_bucketed(frame: DataFrame, root: str, name: str, key: str, buckets: int) -> DataFrame:
+    """Store ``frame`` as a catalog table in ``buckets`` files by ``key``, sorted, and return it.
+
+    Tables with the same key and number of buckets join on it without an exchange. Rows of one key
+    lie in one bucket: where a key is hot, use the salted lookup instead.
+    """
+    spark = frame.sparkSession
+    path = f"{root.rstrip('/')}/{name}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    dealt = frame.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def write_csv(frame: DataFrame, root: str, name: str) -> str:
     """Replace the CSV export ``name``; adaptive execution sizes the part files."""
     path = f"{root.rstrip('/')}/{name}"

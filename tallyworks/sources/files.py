@@ -33,18 +33,33 @@ def normalise_null_tokens(frame: DataFrame) -> DataFrame:
 CORRUPT = "_corrupt_record"
 
 
-def _text_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All fields as text, null tokens as nulls; lines of another shape in CORRUPT."""
-    fields = [T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), CORRUPT]]
+def _header(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> list[str]:
+    """The file's columns in their own order; all declared ones must be among them."""
+    found = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    names = [name.strip() for name in found.csv(path).columns]
+    if missing := [name for name in schema.fieldNames() if name not in names]:
+        raise ValueError(f"{path}: the header lacks the columns {', '.join(missing)}")
+    return names
+
+
+def _text_rows(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:
+    """All fields as text, null tokens as nulls; lines of another shape in CORRUPT.
+
+    Columns go by the name in the header, whatever their order; others are left out.
+    """
+    header = _header(spark, path, schema, multiline)
+    fields = [T.StructField(name, T.StringType()) for name in [*header, CORRUPT]]
     return (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("columnNameOfCorruptRecord", CORRUPT)
         # quotes inside a field are doubled
         .option("escape", '"')
-        # a header that differs from the schema fails instead of shifting columns
+        .option("multiLine", multiline)
+        # a part file whose header differs from the first fails instead of shifting columns
         .option("enforceSchema", False)
         .csv(path)
+        .select(*schema.fieldNames(), CORRUPT)
     )
 
 
@@ -60,14 +75,19 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
-def read_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_checked(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+) -> DataFrame:
     """Typed rows of a CSV with the text of each, and what is wrong with it.
 
+    With ``multiline``, quoted fields may hold line breaks; then a file is one split, so large
+    inputs should come as many files. Without it, both halves of such a record have faults.
+
     ``faults`` names the columns whose text is neither a null token nor a value
     of the declared type, and CORRUPT for a line of another shape; ``source``
     holds the fields as read.
     """
-    raw = _text_rows(spark, path, schema)
+    raw = _text_rows(spark, path, schema, multiline)
     known = normalise_null_tokens(raw)
     names = schema.fieldNames()
     faults = [
@@ -102,37 +122,39 @@ def quarantined(checked: DataFrame) -> DataFrame:
     return checked.where(F.size("faults") > 0).select("faults", "source")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema).parquet(path)
-    return accepted(read_checked(spark, path, schema))
+    return accepted(read_checked(spark, path, schema, multiline))
 
 
-def _quarantine(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def _quarantine(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool
+) -> DataFrame | None:
     if path.rstrip("/").endswith(".parquet"):
         return None
-    return quarantined(read_checked(spark, path, schema))
+    return quarantined(read_checked(spark, path, schema, multiline))
 
 
 def quarantines(
-    spark: SparkSession, transactions: str, customers: str, products: str
+    spark: SparkSession, transactions: str, customers: str, products: str, multiline: bool = False
 ) -> dict[str, DataFrame]:
     """Rows that the three readers refuse, by source; parquet files have declared types."""
     found = {
-        "transactions": _quarantine(spark, transactions, schemas.TRANSACTIONS),
-        "customers": _quarantine(spark, customers, schemas.CUSTOMERS),
-        "products": _quarantine(spark, products, schemas.PRODUCTS),
+        "transactions": _quarantine(spark, transactions, schemas.TRANSACTIONS, multiline),
+        "customers": _quarantine(spark, customers, schemas.CUSTOMERS, multiline),
+        "products": _quarantine(spark, products, schemas.PRODUCTS, multiline),
     }
     return {name: rows for name, rows in found.items() if rows is not None}
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.TRANSACTIONS)
+def read_transactions(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return _read(spark, path, schemas.TRANSACTIONS, multiline)
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.CUSTOMERS)
+def read_customers(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return _read(spark, path, schemas.CUSTOMERS, multiline)
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.PRODUCTS)
+def read_products(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return _read(spark, path, schemas.PRODUCTS, multiline)
