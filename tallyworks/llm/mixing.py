@@ -71,7 +71,8 @@ def with_copies(
 
     ``copies`` is the floor of the source's rate (target over size) plus one
     more with the probability of its fraction, decided by the hash of seed and
-    doc_id, so reruns and repeated rows agree. A null or blank text has size 0;
+    doc_id, so reruns and repeated rows agree. Where doc_id is null, source and text stand
+    for it. A null or blank text has size 0;
     a null source is a source of its own; a source without words gets target 0
     and no copies. Columns that have one of the four ``names`` are replaced. The
     targets are one row a source: Spark broadcasts them if they are below its own
@@ -89,8 +90,11 @@ def with_copies(
         F.col("source_size").alias(source_size),
         F.col("target").alias(target),
     )
+    unnamed = F.concat(
+        F.lit(":"), F.coalesce("source", F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))
+    )
     draw = hash_fraction(
-        F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+        F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), unnamed))
     )
     rated = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(0.0)
     whole = F.floor(rate)

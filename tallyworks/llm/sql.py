@@ -40,6 +40,7 @@ def source_mixing(seed: str = "mix") -> str:
     return f"""
 WITH sized AS (
   SELECT doc_id, source,
+         coalesce(doc_id::VARCHAR, ':' || coalesce(source, '') || ':' || coalesce(text, '')) AS name,
          len(regexp_extract_all(coalesce(text, ''), '{SPACED_WORD}'))::BIGINT AS size
   FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
@@ -62,7 +63,7 @@ targets AS (
 rated AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN source_size > 0 THEN target / source_size::DOUBLE ELSE 0.0 END AS rate,
-         {hash_fraction(f"'{seed}:' || coalesce(doc_id::VARCHAR, '')")} AS draw
+         {hash_fraction(f"'{seed}:' || name")} AS draw
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT))::BIGINT AS taken

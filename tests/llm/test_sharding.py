@@ -115,3 +115,19 @@ def test_mixed_words_come_near_the_targets(spark):
         totals[sources[row.doc_id]][0] += row.taken
         totals[sources[row.doc_id]][1] = row.target
     assert all(abs(taken / target - 1) < 0.05 for taken, target in totals.values())
+
+
+def test_sources_come_near_their_targets_without_ids(spark):
+    """Half the documents have no id; their texts draw for them, each its own."""
+    rows = [
+        (None if n % 2 else n, " ".join(f"w{n}x{k}" for k in range(5 + n % 7)), f"s{n % 3}") for n in range(9_000)
+    ]
+    rows += [(None, None, None), (None, "", "s0"), (None, "lonely words", None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target = Counter(), {}
+    assert all(row.taken <= 2 * row.size for row in mixing.mixing_report(documents).collect())
+    for row in mixing.with_copies(documents).collect():
+        taken[row.source] += row.size * row.copies
+        target[row.source] = row.target
+    for source in ("s0", "s1", "s2"):
+        assert taken[source] == pytest.approx(target[source], rel=0.05)
