@@ -1,11 +1,11 @@
-"""License scan: an inverted index of template words picks candidates, banded alignment measures them."""
+"""License scan: winnowed fingerprints of templates pick candidates, banded alignment measures them."""
 
 from __future__ import annotations
 
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -109,11 +109,38 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
     return matched, start, end
 
 
+def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` consecutive words."""
+    count = max(0, len(words) - size + 1)
+    hashes = np.zeros(count, dtype=np.uint64)
+    for place in range(size):
+        hashes = (hashes ^ words[place : place + count]) * np.uint64(0x9E3779B97F4A7C15)
+        hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
+def winnowed(hashes: np.ndarray, window: int) -> np.ndarray:
+    """The smallest hash of every ``window`` consecutive ones, each once."""
+    return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, window).min(axis=1))
+
+
+def shared_run(length: int, need: int, band: int) -> int:
+    """Words in a row that a passage shares with a template if it matches ``need`` of its words.
+
+    It leaves out length - need words at most. Words put in between shift the diagonal, and
+    only words left out shift it back, so with a band to either side there are at most
+    length - need + 2 * band places with some. All these places cut the matched words into
+    one run more than there are of them, and one run has at least its share.
+    """
+    breaks = 2 * (length - need) + 2 * band
+    return math.ceil(need / (breaks + 1))
+
+
 class TemplateIndex:
-    """Template words, inverted, and what a passage needs of them to reach ``coverage``.
+    """Winnowed fingerprints of the templates, inverted, and what a passage needs of their words.
 
-    A passage that matches ``need`` of a template's words matches one of any
-    len - need + 1 of them: those in the fewest templates, then the longest, are probes.
+    The grams and windows of a template are so short that any run of ``shared_run`` words has one of
+    its fingerprints: no passage that reaches ``coverage`` is without.
     """
 
     def __init__(self, templates: Sequence[tuple[str, str]], coverage: float = COVERAGE):
@@ -125,15 +152,19 @@ class TemplateIndex:
         self.keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
         self.order = [np.argsort(words, kind="stable") for words in self.words]
         self.terms = [np.searchsorted(self.keys, words) for words in self.words]
-        spread = Counter(word for text in texts for word in set(text))
-        probes: defaultdict[int, set[int]] = defaultdict(set)
-        for number, (text, terms) in enumerate(zip(texts, self.terms, strict=True)):
-            rarest = sorted(range(len(text)), key=lambda at: (spread[text[at]], -len(text[at]), at))
-            for at in rarest[: max(0, len(text) - self.need[number] + 1)]:
-                probes[int(terms[at])].add(number)
-        self.probes = dict(probes)
-        self.probed = np.zeros(len(self.keys), dtype=bool)
-        self.probed[list(probes)] = True
+        owners: defaultdict[int, defaultdict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+        for number, words in enumerate(self.words):
+            run = shared_run(len(words), self.need[number], self.band(number))
+            size = (run + 1) // 2
+            for gram in winnowed(gram_hashes(words, size), run - size + 1).tolist():
+                owners[size][gram].add(number)
+        self.prints = {
+            size: (np.array(sorted(grams), dtype=np.uint64), [grams[gram] for gram in sorted(grams)])
+            for size, grams in owners.items()
+        }
+
+    def band(self, number: int) -> int:
+        return max(1, min(BAND, len(self.words[number]) // 4))
 
     def hashed(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > KNOWN_WORDS:
@@ -144,14 +175,18 @@ class TemplateIndex:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def candidates(self, words: np.ndarray) -> list[int]:
-        """The templates of which the text has enough words, wherever they are."""
-        if not len(words) or not len(self.keys):
+        """The templates with a fingerprint in the text of which it has enough words, wherever they are."""
+        numbers: set[int] = set()
+        for size, (prints, owners) in self.prints.items():
+            grams = gram_hashes(words, size)
+            place = np.minimum(np.searchsorted(prints, grams), len(prints) - 1)
+            for found in np.unique(place[prints[place] == grams]).tolist():
+                numbers |= owners[found]
+        if not numbers:
             return []
         place = np.minimum(np.searchsorted(self.keys, words), len(self.keys) - 1)
         present = np.zeros(len(self.keys), dtype=bool)
         present[place[self.keys[place] == words]] = True
-        probed = np.flatnonzero(present & self.probed).tolist()
-        numbers = set().union(*map(self.probes.__getitem__, probed))
         return sorted(n for n in numbers if present[self.terms[n]].sum() >= self.need[n])
 
     def hits(self, number: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,8 +208,7 @@ class TemplateIndex:
         first, unless the alignments found already hold too many of them for another passage,
         or match as much as it can.
         """
-        template, need = self.words[number], self.need[number]
-        band = max(1, min(BAND, len(template) // 4))
+        template, need, band = self.words[number], self.need[number], self.band(number)
         position, at = self.hits(number, words)
         diagonal = at - position
         # A hit counts for the diagonals at most a band away that its word did not count for yet.
@@ -246,7 +280,9 @@ def find_licenses(
     Whole texts are scanned where they lie; the index of the templates, at most
     TEMPLATE_WORDS words, is broadcast. Spans are code points, end exclusive. A
     template is found if at least ``coverage`` of its words align in order within a
-    band. Null, empty and clean texts give no row; repeated rows give theirs each.
+    band. Null, empty and clean texts give no row, an empty table none at all; repeated rows give
+    theirs each. Texts of any length are scanned whole. Other columns are not read, so their
+    names may clash.
     """
     chosen = list(TEMPLATES.items()) if templates is None else list(templates)
     chosen = [(name, text) for name, text in chosen if words_of(text.encode())]

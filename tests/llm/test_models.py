@@ -298,14 +298,71 @@ def edited_once(words: list[str]) -> list[list[str]]:
     return edits + [[*words[:at], "new", *words[at:]] for at in range(len(words) + 1)]
 
 
+def banded_by_hand(template: list, words: list, diagonal: int, band: int) -> set[int]:
+    """Matched words of all local alignments of best score near a diagonal, cell by cell."""
+    cells: dict[tuple[int, int], tuple[int, set[int]]] = {}
+    nothing = (0, {0})
+    best = nothing
+    for i in range(1, len(template) + 1):
+        for j in range(max(1, i + diagonal - band), min(len(words), i + diagonal + band) + 1):
+            match = template[i - 1] == words[j - 1]
+            score, ways = cells.get((i - 1, j - 1), nothing)
+            options = [(score + (2 if match else -1), {m + match for m in ways})]
+            for before in ((i - 1, j), (i, j - 1)):
+                if before in cells:
+                    options.append((cells[before][0] - 1, cells[before][1]))
+            top = max(0, *(score for score, _ in options))
+            ways = set().union(*(w for score, w in options if score == top), *([{0}] if top == 0 else []))
+            cells[i, j] = (top, ways)
+            if top >= best[0]:
+                best = (top, ways | (best[1] if top == best[0] else set()))
+    return best[1]
+
+
 def most_matched(index: licenses.TemplateIndex, number: int, text: str) -> int:
     """Most words that an alignment near any diagonal matches."""
     template, words = index.words[number], index.hashed(licenses.words_of(text.encode()))
-    band = max(1, min(licenses.BAND, len(template) // 4))
+    band = index.band(number)
     diagonals = range(-len(template) - band, len(words) + band + 1)
     return max(licenses.align(template, words, diagonal, band)[0] for diagonal in diagonals)
 
 
+def test_alignment_equals_an_independent_one():
+    chance = random.Random(12)
+    for _ in range(300):
+        template = [chance.randrange(5) for _ in range(chance.randint(1, 9))]
+        words = [chance.randrange(5) for _ in range(chance.randint(0, 14))]
+        diagonal, band = chance.randint(-4, 8), chance.randint(1, 3)
+        matched, start, end = licenses.align(
+            np.array(template, np.uint64), np.array(words, np.uint64), diagonal, band
+        )
+        assert matched in banded_by_hand(template, words, diagonal, band)
+        assert not matched or (0 <= start < end <= len(words) and matched <= end - start)
+
+
+def test_fingerprints_are_winnowed_and_short_enough():
+    index = licenses.TemplateIndex(list(licenses.TEMPLATES.items()))
+    prints = {n: set() for n in range(len(index.words))}
+    for size, (hashes, owners) in index.prints.items():
+        for gram, numbers in zip(hashes.tolist(), owners, strict=True):
+            for n in numbers:
+                prints[n].add((size, gram))
+    long = 400
+    wide = licenses.TemplateIndex([("long", " ".join(f"w{n}" for n in range(long)))], coverage=0.97)
+    run = licenses.shared_run(long, wide.need[0], wide.band(0))
+    [(size, (hashes, _))] = wide.prints.items()
+    assert run >= 5 and size == (run + 1) // 2 and len(hashes) < long - size + 1
+    for number, words in enumerate([*index.words, wide.words[0]]):
+        chosen = index if number < len(index.words) else wide
+        own = number if chosen is index else 0
+        run = licenses.shared_run(len(words), chosen.need[own], chosen.band(own))
+        size = (run + 1) // 2
+        mine = prints[number] if chosen is index else {(size, h) for h in hashes.tolist()}
+        for start in range(len(words) - run + 1):
+            grams = licenses.gram_hashes(words[start : start + run], size).tolist()
+            assert any((size, gram) in mine for gram in grams)
+
+
 def test_license_candidates_lose_no_alignment():
     chance = random.Random(3)
     index = licenses.TemplateIndex(list(licenses.TEMPLATES.items()))
