@@ -128,6 +128,17 @@ def test_held_out_languages_are_predicted(documents):
     assert len(right) > 20 and np.mean(right) > 0.95
 
 
+def test_held_out_languages_are_predicted_where_the_cut_drops_most_grams(documents):
+    """Here all but some hundred grams go; on large tables those under one in 2^20 bytes."""
+    out = langid.held_out(F.col("doc_id"))
+    few = langid.fit_languages(documents.where(~out), grams_kept=1 << 9)
+    all_of_them = langid.fit_languages(documents.where(~out))
+    sizes = [sum(len(tree.bits) for tree in models.trees) for models in (few, all_of_them)]
+    assert sizes[0] < 0.25 * sizes[1]
+    rows = langid.identify(documents.where(out), few).collect()
+    assert np.mean([r.lang_pred == r.lang for r in rows if r.lang]) > 0.95
+
+
 @pytest.mark.parametrize("table", TABLES)
 def test_languages_of_odd_documents(request, table):
     frame = request.getfixturevalue(table)
