@@ -679,6 +679,10 @@ SELECT c_nationkey, count(*) AS copies FROM customer
 GROUP BY c_nationkey HAVING count(*) > 1""",
         # summaries
         "monthly_summary": f"{with_(MONTHLY)} {MONTHLY_OUT}",
+        "monthly_return_rates": f"""{with_(LINES)}
+SELECT year, month, count(*) AS all_orders, count(*) FILTER (is_returned) AS returned_orders,
+       {even("returned_orders::DOUBLE / all_orders * 100")} AS return_rate_all_pct, period
+FROM lines WHERE date IS NOT NULL GROUP BY year, month, period""",
         "category_summary": f"{with_(CATEGORY)} {CATEGORY_OUT}",
         "region_summary": f"{with_(REGION)} {REGION_OUT}",
         "channel_summary": f"{with_(CHANNEL)} {CHANNEL_OUT}",

@@ -15,7 +15,7 @@ from tallyworks.functions.keys import business_key
 from tallyworks.functions.rounding import decimals_as_doubles, half_even
 from tallyworks.operators import enrich, quality, quantile, regression, reports, series, sketches
 from tallyworks.operators.joins import salted_lookup
-from tallyworks.operators.summaries import MONTH
+from tallyworks.operators.summaries import MONTH, monthly_return_rates
 from tallyworks.plans import early, etl, forecast, refresh
 from tallyworks.session import scratch_path, settle
 from tallyworks.sinks.tables import write_bucketed, write_csv, write_table
@@ -281,6 +281,11 @@ def monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def return_rates(spark: SparkSession, folder: str) -> DataFrame:
+    dated = star.transactions(spark, folder).withColumns(date_features(F.col("date")))
+    return monthly_return_rates(dated)
+
+
 def category_summary(spark: SparkSession, folder: str) -> DataFrame:
     return early.category_summary(star.transactions(spark, folder), star.products(spark, folder))
 
@@ -668,6 +673,7 @@ QUERIES: dict[str, Query] = {
     "observed_validation": observed_validation,
     # summaries
     "monthly_summary": monthly_summary,
+    "monthly_return_rates": return_rates,
     "category_summary": category_summary,
     "region_summary": region_summary,
     "channel_summary": channel_summary,

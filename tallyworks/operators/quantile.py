@@ -6,12 +6,16 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A decimal(12,2) has under 2^40 cents: at most 2^20 buckets of 2^20 values each.
 BUCKET_BITS = 20
 
 
 def _value_counts(frame: DataFrame, column: str) -> DataFrame:
+    kind = frame.schema[column].dataType
+    if not isinstance(kind, T.DecimalType) or kind.scale > 2 or kind.precision - kind.scale > 10:
+        raise TypeError(f"{column} is {kind.simpleString()}: buckets are bounded for decimal(12,2) only")
     cents = (F.col(column) * 100).cast("long")
     return (
         frame.where(F.col(column).isNotNull())

@@ -91,6 +91,19 @@ def monthly_summary(ledger: DataFrame) -> DataFrame:
     return labelled_months(monthly_totals(rows).join(customers, MONTH))
 
 
+def monthly_return_rates(ledger: DataFrame) -> DataFrame:
+    """(year, month, all_orders, returned_orders, return_rate_all_pct, period) over all rows.
+
+    In the summaries returned rows leave first, so their return rate is zero by construction.
+    """
+    counted = ledger.dropna(subset=MONTH).groupBy(*MONTH).agg(
+        F.count("transaction_id").alias("all_orders"),
+        F.count_if("is_returned").alias("returned_orders"),
+    )
+    rate = as_double_ratio(F.col("returned_orders"), F.col("all_orders")) * 100.0
+    return with_period(counted.withColumn("return_rate_all_pct", half_even(rate))).orderBy("period")
+
+
 def category_summary(ledger: DataFrame) -> DataFrame:
     keys = [*MONTH, "category"]
     totals = (

@@ -53,3 +53,12 @@ def test_both_passes_share_one_shuffle_of_the_values(spark):
     found = quantile.quantile(rows, "revenue", Decimal("0.9"))
     found.collect()
     assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_other_types_are_refused(spark):
+    for kind in ("double", "decimal(12,4)", "decimal(20,2)", "long"):
+        wide = frame(spark, [1.0]).selectExpr(f"CAST(revenue AS {kind}) AS revenue")
+        with pytest.raises(TypeError, match="decimal"):
+            quantile.quantile(wide, "revenue", Decimal("0.9"))
+    narrow = frame(spark, [1.0, 3.0]).selectExpr("CAST(revenue AS decimal(6,1)) AS revenue")
+    assert quantile.quantile(narrow, "revenue", Decimal("0.5")).first().threshold == 2.0
