@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -92,11 +93,13 @@ def scratch_below(spark: SparkSession, target: str) -> Iterator[str]:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the run's own scratch folder, else in ``spark.checkpoint.dir``.
 
-    Every executor must reach it. Where neither is set, the warehouse is the one
-    folder that the session shares with its executors.
+    Every executor must reach it. In local mode, where neither is set, the warehouse folder serves;
+    on a cluster it may lie on one machine, so there the setting is asked for.
     """
     root = RUN_SCRATCH.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
