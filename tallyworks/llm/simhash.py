@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import fresh
@@ -50,19 +50,20 @@ def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(majority, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint long); a text without words, or none at all, has fingerprint zero."""
+def fingerprints(
+    documents: DataFrame, shingle: int = SHINGLE, carried: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """(*carried, fingerprint long); a text without words, or none at all, has fingerprint zero."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [simhash(text.as_py(), shingle) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values, pa.int64())], ["doc_id", "fingerprint"]
-            )
+            columns = [*(batch.column(name) for name in carried), pa.array(values, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*carried, "fingerprint"])
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        compute, f"doc_id {kind}, fingerprint long"
+    kinds = [f"`{name}` {documents.schema[name].dataType.simpleString()}" for name in carried]
+    return documents.select(*carried, F.col("text").cast("binary").alias("text")).mapInArrow(
+        compute, ", ".join([*kinds, "fingerprint long"])
     )
 
 
@@ -240,6 +241,17 @@ def fingerprint_links(
     return links.distinct()
 
 
+def rooted_fingerprints(prints: DataFrame, first: Column, distance: int) -> DataFrame:
+    """(fingerprint, first, root): the smallest ``first`` of each fingerprint, and its component's root."""
+    nodes = settle(prints.groupBy("fingerprint").agg(F.min(first).alias("first")), "simhash-nodes")
+    roots = settle(
+        component_roots(fingerprint_links(nodes.select("fingerprint"), distance)), "simhash-roots"
+    )
+    return nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(
     documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
@@ -248,18 +260,12 @@ def near_duplicates(
     Documents are linked when their fingerprints differ in at most ``distance``
     bits; ``component_id`` is the smallest doc_id that a document reaches. Copies
     share a fingerprint and are compared once. Texts without words have fingerprint zero
-    and are linked like any other. A null doc_id is returned with its component,
-    whose id is null only if no member has one. Other columns are not read.
+    and are linked like any other; texts of any length are read whole. A null doc_id is
+    returned with its component, whose id is null only if no member has one. An empty table
+    has no rows. Other columns are not read.
     """
     prints = settle(fingerprints(documents, shingle), "simhash")
-    nodes = settle(
-        prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-nodes"
-    )
-    roots = settle(component_roots(fingerprint_links(nodes, distance)), "simhash-roots")
-    joined = (
-        nodes.join(roots, nodes["fingerprint"] == roots["node"], "left")
-        .select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
-    )
+    joined = rooted_fingerprints(prints, F.col("doc_id"), distance)
     smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = joined.join(smallest, "root").select("fingerprint", "component_id")
     return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
@@ -270,21 +276,20 @@ def one_of_each(
 ) -> DataFrame:
     """One row of ``documents``, with all its columns, for each component of near duplicates.
 
-    The smallest doc_id stays; of several rows that have it, any. A component without
-    any doc_id, which cannot be told apart from others of that kind, keeps all its rows.
+    The row of the smallest doc_id stays, one without an id only if no member has one; of
+    several texts with that id, or without any, the one of smallest hash. So an id with
+    two texts keeps a row in each of their components, and reruns agree. Of rows with the same id
+    and text any one stays.
     """
-    classes = near_duplicates(documents, shingle, distance)
-    kept = fresh(documents, "kept")[0]
-    ids = (
-        classes.where(F.col("doc_id") == F.col("component_id"))
-        .select(F.col("doc_id").alias(kept))
-        .distinct()
-    )
-    with_id = documents.join(ids, documents["doc_id"] == ids[kept], "left_semi")
-    nameless = documents.where(F.col("doc_id").isNull())
-    orphans = classes.where(F.col("component_id").isNull()).take(1)
-    survivors = with_id.dropDuplicates(["doc_id"])
-    return survivors.unionByName(nameless) if orphans else survivors
+    key = fresh(documents, "key")[0]
+    text = F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
+    known = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    keyed = documents.withColumn(key, F.concat(text, F.lit(":"), known))
+    prints = settle(fingerprints(keyed, shingle, ("doc_id", key)), "simhash")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", key)
+    joined = rooted_fingerprints(prints, first, distance)
+    chosen = joined.groupBy("root").agg(F.min("first").alias("one")).select(f"one.{key}")
+    return keyed.join(chosen, key, "left_semi").dropDuplicates([key]).drop(key)
 
 
 def near_duplicate_report(documents: DataFrame) -> DataFrame:

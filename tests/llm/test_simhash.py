@@ -118,3 +118,25 @@ def test_components_of_a_long_path(spark):
     assert {r.root for r in found.where("node >= 500").collect()} == {900}
     assert found.count() == 303
     assert component_roots(path.limit(0)).count() == 0
+
+
+def test_every_component_keeps_one_row_whatever_its_ids(spark):
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    other = "aa bb cc dd ee ff gg hh ii jj kk ll mm nn oo pp qq rr ss tt"
+    third = "red orange yellow green blue indigo violet white black grey brown pink teal"
+    rows = [
+        (7, base, "x"), (7, other, "y"), (3, base, "z"), (None, other, "n"), (7, other, "y"),
+        (None, third, "m"), (None, third, "m"), (None, third + " gold", "o"), (9, None, "p"), (8, "", "q"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    roots = roots_by_hand([print_by_hand(text) for _, text, _ in rows])
+    results = [
+        sorted(map(str, simhash.one_of_each(frame.repartition(n)).collect())) for n in (1, 4, 9)
+    ]
+    assert results[0] == results[1] == results[2]
+    kept = simhash.one_of_each(frame).collect()
+    assert kept and simhash.one_of_each(frame).columns == frame.columns
+    groups = [roots[print_by_hand(r.text)] for r in kept]
+    assert sorted(groups) == sorted(set(roots.values()))
+    assert {(r.doc_id, r.text) for r in kept} >= {(3, base), (7, other), (8, "")}
+    assert {r.doc_id for r in kept if r.text and r.text.startswith(third)} == {None}
