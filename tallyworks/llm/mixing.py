@@ -82,7 +82,13 @@ def with_copies(
     rows = documents.drop(*names).withColumn(
         size, F.coalesce(F.regexp_count("text", F.lit(SPACED_WORD)), F.lit(0)).cast("long")
     )
-    origin, rate = fresh(rows, "origin", "rate")
+    origin, rate, draw = fresh(rows, "origin", "rate", "draw")
+    # drawn before the join, which then moves texts only if the caller wants them
+    unnamed = F.concat(
+        F.lit(":"), F.coalesce("source", F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))
+    )
+    name = F.coalesce(F.col("doc_id").cast("string"), unnamed)
+    rows = rows.withColumn(draw, hash_fraction(F.concat(F.lit(f"{seed}:"), name)))
     targets = source_targets(
         rows.select("source", F.col(size).alias("size")), weights, share, limit
     ).select(
@@ -90,19 +96,13 @@ def with_copies(
         F.col("source_size").alias(source_size),
         F.col("target").alias(target),
     )
-    unnamed = F.concat(
-        F.lit(":"), F.coalesce("source", F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))
-    )
-    draw = hash_fraction(
-        F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), unnamed))
-    )
     rated = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(0.0)
     whole = F.floor(rate)
     return (
         rows.join(targets, rows["source"].eqNullSafe(targets[origin]), "left")
         .withColumn(rate, rated)
-        .withColumn(copies, (whole + (draw < F.col(rate) - whole).cast("int")).cast("int"))
-        .drop(origin, rate)
+        .withColumn(copies, (whole + (F.col(draw) < F.col(rate) - whole).cast("int")).cast("int"))
+        .drop(origin, rate, draw)
     )
 
 
