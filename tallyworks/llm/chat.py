@@ -114,8 +114,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
     Turns follow each other by turn number (null first), then role and text;
     repeated rows count once; null roles and texts count as empty; rows without
-    a conv_id are one conversation without a name. Columns beside conv_id, turn, role and
-    text are not read.
+    a conv_id are one conversation without a name. Texts of any length are rendered whole; an
+    empty table has no rows. Columns beside conv_id, turn, role and text are not read.
     """
     turns = settle(with_prefix_hashes(conversations), "turns")
     return render(turns, maximal_conversations(turns))

@@ -232,7 +232,11 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WI
 
 
 def contamination_report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Words, hit words and items of every document."""
+    """Words, hit words and items of every document.
+
+    Repeated rows are searched each; with an empty benchmark nothing is hit; an empty table has no
+    rows. Other columns are not read, so their names may clash.
+    """
     found = find_contamination(
         documents.select("doc_id", "text"), benchmark, wanted=["doc_id", *NAMES]
     )

@@ -166,8 +166,10 @@ def fingerprint_report(documents: DataFrame) -> DataFrame:
 
     The edited text takes the place of the last half of the code points by as
     many from the start of the next document in descending doc_id. Null texts
-    count as empty. Texts move between machines once; their terms meet the
-    lexicon, and are gathered again, where the text lies.
+    count as empty; repeated rows are documents of their own, the next in order of their texts;
+    an empty table has no rows. Other columns are not read, so their names may clash. Texts
+    move between machines once; their terms meet the lexicon, and are gathered again, where
+    the text lies.
     """
     terms = settle(
         lexicon(documents).union(

@@ -231,7 +231,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def language_report(documents: DataFrame) -> DataFrame:
-    """Predictions for all documents by models of the documents that are not held out."""
+    """Predictions for all documents by models of the documents that are not held out.
+
+    Of languages with equally short codes the first by name wins. Repeated rows are predicted alike;
+    an empty table has no rows, and without any language to learn all are ``und``.
+    """
     models = fit_languages(documents.where(~held_out(F.col("doc_id"))))
     rows = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     return identify(rows, models).select("doc_id", "held_out", "lang_pred", "score")

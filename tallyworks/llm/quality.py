@@ -276,6 +276,11 @@ def good_documents(documents: DataFrame, reject_from: float = REJECT_FROM) -> Da
 
 
 def quality_report(documents: DataFrame) -> DataFrame:
+    """doc_id, the label model's posterior, the scorer's score, and whether the document is kept.
+
+    A score of exactly one half rejects. Repeated rows are judged alike; an empty table has no
+    rows. Other columns are not read, so their names may clash.
+    """
     return (
         score_documents(documents.select("doc_id", "text"))
         .select("doc_id", "weak_bad", "score", (F.col("score") < REJECT_FROM).alias("kept"))

@@ -515,7 +515,10 @@ def find_secrets(
 
 
 def secret_report(documents: DataFrame) -> DataFrame:
-    """Counts of base spans, the digest of their list, and the list of all spans."""
+    """Counts of base spans, the digest of their list, and the list of all spans.
+
+    Repeated rows have the same spans each; an empty table has no rows.
+    """
     found = find_secrets(documents.select("doc_id", "text"), wanted=["doc_id"])
 
     def listed(column: str) -> Column:
