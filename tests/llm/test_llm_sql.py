@@ -84,3 +84,27 @@ def test_chat_ignores_clashing_columns(spark):
     table = spark.createDataFrame([(1, 0, "user", "hi", 9, 9, 9)], schema)
     [row] = chat.format_chats(table).collect()
     assert row.rendered == "<|im_start|>user\nhi<|im_end|>\n" and row.n_turns == 1
+
+
+def test_hot_conversations_spread_over_parts_and_equal_sql(spark, tmp_path):
+    nameless = [(None, row % 5, "user", f"{row} " * (row % 7)) for row in range(600)]
+    copies = [(3, 0, "user", "again")] * 600
+    others = [(4 + row // 3, row % 3, "user", f"turn {row % 9}") for row in range(600)]
+    long = [(1, 0, "user", "word " * 400_000), (1, 1, "assistant", None)]
+    table = spark.createDataFrame(
+        nameless + copies + others + long, "conv_id long, turn long, role string, text string"
+    )
+    connection = connection_with(tmp_path, conversations=table)
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        turns = chat.ordered_turns(table).where("conv.conv_id IS NULL")
+        sizes = [row["count"] for row in turns.groupBy("part").count().collect()]
+        assert len(sizes) > 1 and max(sizes) < 400
+        assert_same(chat.format_chats(table), connection, sql.chat_snapshots())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_copies_meet_before_they_are_shuffled(spark):
+    table = spark.createDataFrame([(1, 0, "user", "again")] * 5000, "conv_id long, turn long, role string, text string")
+    assert chat.fewer_copies(table).count() <= 2 * table.rdd.getNumPartitions()
