@@ -112,13 +112,18 @@ def test_code_lengths_equal_partial_matching_by_hand():
     for lang, pieces in training.items():
         found, seen = np.unique(np.concatenate([langid.grams(p) for p in pieces]), return_counts=True)
         counts[lang] = (found.astype(np.int64), seen.astype(float))
-    models = langid.LanguageModels(counts)
-    alphabet = {0, *b"".join(sum(training.values(), []))}
-    for text in (b"abra ", b"zebra qux ", b"q", b"banabanana xyz zyx "):
-        expected = [bits_by_hand(training[lang], text, alphabet) for lang in models.languages]
-        assert models.code_lengths(text) == pytest.approx(expected, rel=1e-4)
-    assert models.predict(b"abra banana")[0] == "x"
-    assert models.predict(b"zyx")[0] == "y"
+    alphabet = langid.alphabet_of(sorted({*b"".join(sum(training.values(), []))}))
+    trees = [langid.ContextTree(*counts[lang], alphabet) for lang in sorted(counts)]
+    for part_bytes in (1 << 20, 4 * 40, 1):
+        parts = [part for n, tree in enumerate(trees) for part in langid.tree_parts(n, tree, part_bytes)]
+        assert (len(parts) == 2) == all(part.whole for part in parts) == (part_bytes == 1 << 20)
+        models = langid.LanguageModels(sorted(counts), alphabet, parts)
+        for text in (b"abra ", b"zebra qux ", b"q", b"banabanana xyz zyx "):
+            known = {0, *b"".join(sum(training.values(), []))}
+            expected = [bits_by_hand(training[lang], text, known) for lang in models.languages]
+            assert models.code_lengths(text) == pytest.approx(expected, rel=1e-4)
+        assert models.decide(b"abra banana", models.code_lengths(b"abra banana "))[0] == "x"
+        assert models.decide(b"zyx", models.code_lengths(b"zyx "))[0] == "y"
 
 
 def test_held_out_languages_are_predicted(documents):
@@ -128,15 +133,29 @@ def test_held_out_languages_are_predicted(documents):
     assert len(right) > 20 and np.mean(right) > 0.95
 
 
-def test_held_out_languages_are_predicted_where_the_cut_drops_most_grams(documents):
-    """Here all but some hundred grams go; on large tables those under one in 2^20 bytes."""
+def test_every_gram_is_kept(documents):
+    train = documents.where(~langid.held_out(F.col("doc_id")))
+    counted = langid.count_grams(train).groupBy("lang").agg(F.countDistinct(F.expr("gram DIV 256"))).collect()
+    [models] = langid.fit_languages(train)
+    widest = [max(int(part.row.max()) + 1 for part in models.parts if part.language == n)
+              for n in range(len(models.languages))]
+    assert all(part.whole and len(part.bits) == widest[part.language] for part in models.parts)
+    contexts = {row[0]: row[1] for row in counted}
+    assert all(widest[n] >= contexts[lang] for n, lang in enumerate(models.languages))
+
+
+def test_models_in_several_broadcasts_predict_the_same(documents):
     out = langid.held_out(F.col("doc_id"))
-    few = langid.fit_languages(documents.where(~out), grams_kept=1 << 9)
-    all_of_them = langid.fit_languages(documents.where(~out))
-    sizes = [sum(len(tree.bits) for tree in models.trees) for models in (few, all_of_them)]
-    assert sizes[0] < 0.25 * sizes[1]
-    rows = langid.identify(documents.where(out), few).collect()
-    assert np.mean([r.lang_pred == r.lang for r in rows if r.lang]) > 0.95
+    train, rest = documents.where(~out), documents.where(out).withColumn("code_lengths", F.lit(7))
+    groups = list(langid.fit_languages(train, model_bytes=1 << 19, part_bytes=1 << 16))
+    assert len(groups) > 1 and any(not part.whole for group in groups for part in group.parts)
+    several = langid.identify(rest, groups)
+    once = langid.identify(rest, langid.fit_languages(train))
+    assert several.columns == once.columns
+    by_id = {r.doc_id: r for r in once.collect()}
+    for row in several.collect():
+        assert row.lang_pred == by_id[row.doc_id].lang_pred and row.code_lengths == 7
+        assert row.score == pytest.approx(by_id[row.doc_id].score, rel=1e-3)
 
 
 @pytest.mark.parametrize("table", TABLES)
