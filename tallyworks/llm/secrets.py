@@ -238,8 +238,9 @@ def true_tags(tokens: list[re.Match], spans: Iterable[Span]) -> np.ndarray:
     ends = np.array([token.end() for token in tokens])
     for kind, start, end in spans:
         touched = np.flatnonzero((starts < end) & (ends > start))
-        if kind == "assign":  # the value alone, which ends the match
-            touched = touched[-1:]
+        if kind == "assign":  # the value alone, which ends the match, perhaps with padding
+            words = [place for place in touched if tokens[place].group() != "="]
+            touched = touched[touched >= words[-1]]
         tags[touched] = INSIDE
         if len(touched):
             tags[touched[0]] = BEGIN
@@ -255,14 +256,34 @@ def looks_random(token: str) -> bool:
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
-def disguises(token: str) -> list[str]:
-    """A secret of other kinds, fixed by the token: upper case, and letters of either case."""
+def disguises(token: str) -> list[list[str]]:
+    """Tokens of a secret of other kinds, fixed by the token.
+
+    Itself, upper case, letters of either case, the same with signs and padding, in dashed
+    groups, behind a name, and broken over punctuation.
+    """
     noise = zlib.crc32(token.encode())
-    letters = []
-    for place in range(16 + noise % 25):
-        noise = zlib.crc32(f"{noise} {place}".encode())
-        letters.append(ALPHABET[noise % len(ALPHABET)])
-    return [token, token.upper(), "".join(letters)]
+
+    def letters(count: int, alphabet: str = ALPHABET) -> str:
+        nonlocal noise
+        picked = []
+        for place in range(count):
+            noise = zlib.crc32(f"{noise} {place}".encode())
+            picked.append(alphabet[noise % len(alphabet)])
+        return "".join(picked)
+
+    mark = ":~|,"[noise % 4]
+    size = 16 + noise % 25
+    secrets = [
+        token,
+        token.upper(),
+        letters(size),
+        letters(size, ALPHABET + "+/") + "=" * (1 + noise % 2),
+        "-".join(letters(4 + size % 9) for _ in range(3 + size % 3)),
+        "_".join([letters(2 + size % 3, ALPHABET[36:]), letters(4, ALPHABET[36:]), letters(size)]),
+        mark.join(letters(8 + size % 9) for _ in range(2 + size % 3)),
+    ]
+    return [TOKEN.findall(secret) for secret in secrets]
 
 
 def window_features(
@@ -296,18 +317,19 @@ def training_windows(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
     shared = file_features(text, len(tokens))
     size = 2 * REACH + 1
 
-    def labels(start: int) -> list[int]:
+    def labels(start: int, tags: list[int]) -> list[int]:
         return [
-            int(tags[place]) if 0 <= place < len(tokens) else OUTSIDE
-            for place in range(start, start + size)
+            tags[place] if 0 <= place < len(tags) else OUTSIDE for place in range(start, start + size)
         ]
 
+    known = tags.tolist()
     for centre in np.flatnonzero(tags == BEGIN)[:WINDOWS].tolist():
         start = centre - REACH
-        for token in disguises(tokens[centre]):
-            other = [*tokens[:centre], token, *tokens[centre + 1 :]]
+        for parts in disguises(tokens[centre]):
+            other = [*tokens[:centre], *parts, *tokens[centre + 1 :]]
+            tagged = [*known[: centre + 1], *[INSIDE] * (len(parts) - 1), *known[centre + 1 :]]
             for alone in (False, True):
-                yield window_features(other, shared, start, size, alone), labels(start)
+                yield window_features(other, shared, start, size, alone), labels(start, tagged)
     hard = [
         place
         for place, token in enumerate(tokens)
@@ -321,7 +343,7 @@ def training_windows(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
     ]
     for place, centre in enumerate([*clear[:WINDOWS], *clear[WINDOWS:][-1:]]):
         start = centre - REACH
-        yield window_features(tokens, shared, start, size, bool(place % 2)), labels(start)
+        yield window_features(tokens, shared, start, size, bool(place % 2)), labels(start, known)
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

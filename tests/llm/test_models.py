@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import string
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -34,6 +35,61 @@ def test_label_model_finds_good_labellers_without_labels():
     assert abs(model.share - 0.2) < 0.03
 
 
+def test_label_model_equals_plain_loops_over_the_votes(documents):
+    """Expectation and maximisation document by document, in plain Python."""
+    texts = [(r.text or "").encode() for r in documents.select("text").collect()]
+    model = quality.fit_labels(documents)
+    votes = []
+    for text in texts:
+        code, row = quality.votes_code(text), []
+        for _ in quality.LABELLERS:
+            row.append(code % 3)
+            code //= 3
+        votes.append(row)
+    belief = [0.9 if quality.BAD in row else 0.1 for row in votes]
+    for _ in range(quality.ROUNDS):
+        share = (sum(belief) + 1) / (len(votes) + 2)
+        odds = [math.log(share) - math.log(1 - share)] * len(votes)
+        for labeller in range(len(quality.LABELLERS)):
+            weight = {(label, vote): 1.0 for label in (0, 1) for vote in (quality.GOOD, quality.BAD)}
+            for row, bad in zip(votes, belief, strict=True):
+                if row[labeller] != quality.ABSTAIN:
+                    weight[0, row[labeller]] += 1 - bad
+                    weight[1, row[labeller]] += bad
+            for document, row in enumerate(votes):
+                vote = row[labeller]
+                if vote != quality.ABSTAIN:
+                    chance = [weight[c, vote] / (weight[c, quality.GOOD] + weight[c, quality.BAD]) for c in (0, 1)]
+                    odds[document] += math.log(chance[1]) - math.log(chance[0])
+        belief = [1 / (1 + math.exp(-max(-500, min(500, one)))) for one in odds]
+    found = model.posterior(np.array([quality.votes_code(text) for text in texts]))
+    assert found == pytest.approx(belief, abs=1e-9)
+
+
+def test_scorer_takes_the_steps_that_plain_loops_take():
+    rows = [([3, 7], [0.5, 0.5], 1.0), ([7, 9, 9], [0.2, 0.4, 0.4], 0.1), ([3], [1.0], 0.8), ([], [], 0.3)]
+    scorer = quality.Scorer(rows, steps=25)
+    weights, total = defaultdict(float), defaultdict(float)
+    bias, total_bias = 0.0, 1e-8
+    for _ in range(25):
+        errors = []
+        for buckets, values, label in rows:
+            odds = bias + sum(value * weights[bucket] for bucket, value in zip(buckets, values, strict=True))
+            errors.append(1 / (1 + math.exp(-odds)) - label)
+        for bucket in (3, 7, 9):
+            slope = 1e-4 * weights[bucket]
+            for (buckets, values, _), error in zip(rows, errors, strict=True):
+                slope += sum(v * error for b, v in zip(buckets, values, strict=True) if b == bucket) / len(rows)
+            total[bucket] += slope**2
+            weights[bucket] -= 2.0 * slope / math.sqrt(total[bucket] + 1e-12)
+        mean = sum(errors) / len(errors)
+        total_bias += mean**2
+        bias -= 0.5 * mean / math.sqrt(total_bias)
+    assert scorer.bias == pytest.approx(bias)
+    assert [scorer.weights[bucket] for bucket in (3, 7, 9)] == pytest.approx([weights[b] for b in (3, 7, 9)])
+    assert np.count_nonzero(scorer.weights) == 3
+
+
 def test_scorer_agrees_with_the_given_labels(spark, documents, folder):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     rows = quality.quality_report(documents).collect()
@@ -260,6 +316,86 @@ def test_field_trains_on_texts_that_many_rows_repeat(spark):
         secrets.fit_field(spark.createDataFrame([(PROSE,)], "text string"))
 
 
+LETTERS = string.ascii_letters + string.digits
+
+
+def unseen_secrets(chance: random.Random) -> dict[str, str]:
+    """Secrets of kinds that no base pattern finds; the last holds a word that is none of it."""
+
+    def pick(alphabet: str, low: int, high: int) -> str:
+        return "".join(chance.choices(alphabet, k=chance.randint(low, high)))
+
+    return {
+        "mixed case": pick(LETTERS, 20, 40),
+        "upper case": pick(string.ascii_uppercase + string.digits, 20, 40),
+        "base64": pick(LETTERS + "+/", 24, 44) + "==",
+        "dashed": "-".join(pick(LETTERS, 8, 8) for _ in range(4)),
+        "behind a name": "sk_live_" + pick(LETTERS, 24, 24),
+        "no assignment": "pass -> " + pick(LETTERS, 16, 16),
+        "broken over colons": ":".join(pick(LETTERS, 12, 12) for _ in range(3)),
+    }
+
+
+def look_alikes(chance: random.Random) -> list[str]:
+    def pick(alphabet: str, low: int, high: int) -> str:
+        return "".join(chance.choices(alphabet, k=chance.randint(low, high)))
+
+    word = "abcdeilmnorst"
+    return [
+        pick(string.digits, 10, 20),
+        f"{pick(word, 6, 6)}.{chance.randint(1, 99)}@mail{chance.randint(1, 9)}.example.com",
+        f"/usr/local/share/{pick(word, 6, 6)}/{pick(word, 6, 6)}.txt",
+        f"v{chance.randint(1, 9)}.{chance.randint(0, 30)}.{chance.randint(0, 30)}-beta.{chance.randint(1, 9)}",
+        "".join(pick(word, 3, 7).title() for _ in range(4)),
+        pick(word, 18, 30),
+        f"https://www.example.org/{pick(word, 7, 7)}/{pick(word, 7, 7)}?page={chance.randint(1, 99)}",
+        pick(word.upper(), 12, 18),
+        f"+49-{chance.randint(100, 999)}-{chance.randint(1000000, 9999999)}",
+    ]
+
+
+def test_field_finds_unseen_kinds_and_leaves_look_alikes(spark, documents):
+    """280 planted secrets of seven kinds, 360 look-alikes, in texts that hold no base secret."""
+    chance = random.Random(3)
+    texts = [r.text for r in documents.where("text IS NOT NULL").orderBy("doc_id").collect()]
+    texts = [text for text in texts if len(text) > 100 and not secrets.base_spans(text)]
+
+    def planted(text: str, piece: str) -> tuple[str, int]:
+        at = max(0, text.find(" ", chance.randint(0, len(text) // 2)))
+        return f"{text[:at]} {piece}{text[at:]}", at + 1
+
+    known = [
+        lambda: f"password = \"{''.join(chance.choices(LETTERS, k=16))}\"",
+        lambda: f"api_key: {chance.getrandbits(128):032x}",
+        lambda: "AKIA" + "".join(chance.choices(string.ascii_uppercase + string.digits, k=16)),
+        lambda: f"{chance.getrandbits(160):040x}",
+    ]
+    training = [(planted(chance.choice(texts), known[n % 4]())[0],) for n in range(60)]
+    training += [(text,) for text in texts]
+    scanner = secrets.Scanner(secrets.fit_field(spark.createDataFrame(training, "text string")))
+
+    def covered(text: str, start: int, size: int) -> float:
+        base, spans = scanner.scan(text)
+        assert not base
+        return sum(max(0, min(end, start + size) - max(at, start)) for _, at, end in spans) / size
+
+    found = defaultdict(list)
+    for _ in range(40):
+        for kind, secret in unseen_secrets(chance).items():
+            text, start = planted(chance.choice(texts), secret)
+            word = len("pass -> ") if kind == "no assignment" else 0
+            found[kind].append(covered(text, start + word, len(secret) - word) >= 0.8)
+    assert np.mean(sum(found.values(), [])) >= 0.9, {kind: np.mean(hits) for kind, hits in found.items()}
+    assert min(np.mean(hits) for hits in found.values()) >= 0.6
+    wrong = [
+        piece
+        for _ in range(40)
+        for piece in look_alikes(chance)
+        if scanner.scan(planted(chance.choice(texts), piece)[0])[1]
+    ]
+    assert len(wrong) <= 4, wrong
+
+
 @pytest.mark.parametrize("table", [*TABLES, "documents"])
 def test_secrets_of_odd_documents(request, table):
     import hashlib
