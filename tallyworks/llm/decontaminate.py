@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,9 +16,10 @@ from tallyworks.llm.fmindex import FMIndex
 from tallyworks.session import settle
 
 WINDOW = 10
-# Indexed words of a shard, and benchmark words searched in one pass over the documents.
+# Indexed words of a shard; phrases and owners searched in one pass over the documents.
 SHARD_WORDS = 1 << 20
-BLOCK_WORDS = 2_000_000
+BLOCK_PHRASES = 1_000_000
+WINDOWS_AT_ONCE = 10_000
 # Which bytes belong to a word. A-Z count as a-z; all others separate words.
 WORD_BYTES = bytes(
     byte + 32 if 65 <= byte <= 90 else byte if 48 <= byte <= 57 or 97 <= byte <= 122 or byte >= 128 else 32
@@ -30,21 +32,20 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Phrases:
-    """The distinct windows of a block of benchmark items, as rows of word numbers."""
+    """The phrases of one block, as rows of word numbers, and the items that each occurs in."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, phrases: list[tuple[bytes, list[str]]], window: int):
         self.numbers: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ids = [self.numbers.setdefault(word, len(self.numbers) + 1) for word in words_of(text)]
-            for start in range(max(1, len(ids) - window + 1) if ids else 0):
-                owners.setdefault(tuple(ids[start : start + window]), set()).add(item)
-        self.owners = [sorted(owner) for owner in owners.values()]
-        self.lengths = np.array([len(phrase) for phrase in owners], dtype=np.int64)
-        self.rows = np.zeros((len(owners), window), dtype=np.int64)
-        for row, phrase in enumerate(owners):
-            self.rows[row, window - len(phrase) :] = phrase
-        self.shortest = int(self.lengths.min()) if len(owners) else 0
+        ids = [
+            [self.numbers.setdefault(word, len(self.numbers) + 1) for word in phrase.split()]
+            for phrase, _ in phrases
+        ]
+        self.owners = [owners for _, owners in phrases]
+        self.lengths = np.array([len(row) for row in ids], dtype=np.int64)
+        self.rows = np.zeros((len(ids), window), dtype=np.int64)
+        for row, own in enumerate(ids):
+            self.rows[row, window - len(own) :] = own
+        self.shortest = int(self.lengths.min()) if ids else 0
 
 
 def phrase_runs(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,14 +111,14 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def search_block(
     documents: DataFrame,
-    items: list[tuple[str, bytes]],
+    phrases: list[tuple[bytes, list[str]]],
     window: int,
     names: Sequence[str],
     wanted: Sequence[str],
 ) -> DataFrame:
     """The columns ``wanted`` of ``documents``, one block's occurrences added to those of ``names``."""
     n_words, spans, found = names
-    block = documents.sparkSession.sparkContext.broadcast(Phrases(items, window))
+    block = documents.sparkSession.sparkContext.broadcast(Phrases(phrases, window))
 
     def finish(batches: list[pa.RecordBatch], counts: list[int], shard: Shard):
         document, first, phrase = shard.occurrences()
@@ -167,24 +168,50 @@ def search_block(
     return documents.mapInArrow(compute, schema)
 
 
-def benchmark_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark's items in blocks of at most BLOCK_WORDS words, or of one item.
+def benchmark_phrases(benchmark: DataFrame, window: int) -> DataFrame:
+    """(phrase, owners): distinct windows of the items' words, space-joined, and the items that hold each.
 
     A null item id counts as an item without a name; null texts have no words.
     """
-    block: list[tuple[str, bytes]] = []
-    words = 0
-    rows = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.col("text").cast("binary")
-    ).where("text IS NOT NULL")
-    for item, text in rows.toLocalIterator():
-        size = len(words_of(text))
-        if block and words + size > BLOCK_WORDS:
-            yield block
-            block, words = [], 0
-        block.append((item, bytes(text)))
-        words += size
-    yield block
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text"), strict=True):
+                words = words_of(text.as_buffer().to_pybytes())
+                starts = range(max(1, len(words) - window + 1) if words else 0)
+                for first in range(0, len(starts), WINDOWS_AT_ONCE):
+                    phrases = {
+                        b" ".join(words[start : start + window])
+                        for start in starts[first : first + WINDOWS_AT_ONCE]
+                    }
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(phrases), pa.binary()), pa.array([item] * len(phrases))],
+                        ["phrase", "item"],
+                    )
+
+    items = benchmark.where("text IS NOT NULL").select(
+        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+        F.col("text").cast("binary").alias("text"),
+    )
+    return (
+        items.mapInArrow(cut, "phrase binary, item string")
+        .groupBy("phrase")
+        .agg(F.sort_array(F.collect_set("item")).alias("owners"))
+    )
+
+
+def benchmark_blocks(benchmark: DataFrame, window: int) -> Iterator[list[tuple[bytes, list[str]]]]:
+    """The benchmark's phrases in blocks of about BLOCK_PHRASES phrases and owners, by hash.
+
+    Spark finds the phrases; one block at a time meets the driver.
+    """
+    phrases = settle(benchmark_phrases(benchmark, window), "phrases")
+    [total] = phrases.agg(F.coalesce(F.sum(F.size("owners") + 1), F.lit(0))).first()
+    blocks = max(1, math.ceil(total / BLOCK_PHRASES))
+    block = F.pmod(F.xxhash64("phrase"), F.lit(blocks))
+    for number in range(blocks):
+        rows = phrases.where(block == number).collect()
+        yield sorted((bytes(row.phrase), list(row.owners)) for row in rows)
 
 
 NAMES = ("n_words", "spans", "items")
@@ -216,7 +243,7 @@ def find_contamination(
     rows = documents.drop(*names)
     rows = rows.select("*", *[column.alias(name) for column, name in zip(empty, names, strict=True)])
     wanted = wanted or rows.columns
-    blocks = benchmark_blocks(benchmark)
+    blocks = benchmark_blocks(benchmark, window)
     block = next(blocks)
     for following in blocks:
         rows = settle(search_block(rows, block, window, names, rows.columns), "searched")

@@ -50,9 +50,9 @@ def test_small_shards_and_several_blocks_change_nothing(spark, documents, folder
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     whole = sorted(decontaminate.contamination_report(documents, benchmark).collect())
     assert any(r.contaminated for r in whole)
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 500)
+    monkeypatch.setattr(decontaminate, "BLOCK_PHRASES", 150)
     assert sorted(decontaminate.contamination_report(documents, benchmark).collect()) == whole
-    phrases = decontaminate.Phrases([("a", b"x y z w v u t s r q p")], 10)
+    phrases = decontaminate.Phrases([(b"x y z w v u t s r q", ["a"]), (b"y z w v u t s r q p", ["a"])], 10)
     monkeypatch.setattr(decontaminate, "SHARD_WORDS", 7)
     shard = decontaminate.Shard(phrases)
     words = decontaminate.words_of(b"x y z w v u t s r q p " * 5)
@@ -71,3 +71,13 @@ def test_clean_documents_keep_their_columns(spark, odd, clashing, empty):
         expected = [r for r in frame.collect() if "jumps over one lazy dog" not in (r.text or "")]
         assert sorted(map(str, kept.collect())) == sorted(map(str, expected))
         assert decontaminate.clean_documents(frame, benchmark.limit(0)).count() == frame.count()
+
+
+def test_phrases_of_the_benchmark_and_their_items(spark):
+    rows = [("b", "One two, THREE four"), ("a", "two three four five"), (None, "one two three four"),
+            ("c", "One"), ("d", ""), ("e", None), ("b", "one two")]
+    table = decontaminate.benchmark_phrases(spark.createDataFrame(rows, "item_id string, text string"), 3)
+    assert {bytes(r.phrase): r.owners for r in table.collect()} == {
+        b"one two three": ["", "b"], b"two three four": ["", "a", "b"], b"three four five": ["a"],
+        b"one": ["c"], b"one two": ["b"],
+    }
