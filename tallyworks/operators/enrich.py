@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -47,13 +48,19 @@ def with_customer(
 
 
 def with_product(
-    transactions: DataFrame, products: DataFrame, keys_from: DataFrame | None = None
+    transactions: DataFrame,
+    products: DataFrame,
+    keys_from: DataFrame | None = None,
+    spread_by: Sequence[str | Column] = ("transaction_id", "revenue", "quantity"),
 ) -> DataFrame:
+    """Category and cost price where the source does not carry them."""
+    if "cost_price" in transactions.columns:
+        return transactions
     return lookup(
         transactions,
         products.select("product_id", "category", "cost_price"),
         "product_id",
-        spread_by=["transaction_id", "revenue", "quantity"],
+        spread_by=spread_by,
         keys_from=keys_from,
     )
 
@@ -93,19 +100,26 @@ def enrich(
     customers: DataFrame,
     products: DataFrame,
     population: DataFrame | None = None,
+    gather: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The 30-column ledger, one row per transaction.
 
+    All that follows from other columns is added after the last shuffle: after the lookups, and after
+    ``gather``, which may bring together the rows of a month (they have year and month by then).
+
     ``population`` supplies the revenues the high-value cutoff is taken from. By
     default the joined rows do; a caller that knows the dimension keys to be
     unique passes rows from before any join instead.
     """
-    ledger = with_date_features(transactions)
-    ledger = with_customer(ledger, customers, keys_from=transactions)
     unjoined = transactions if population is None else population
-    ledger = with_product(ledger, products, keys_from=unjoined)
-    ledger = with_ratios(with_cost(ledger))
-    ledger = with_high_value_flag(ledger, ledger if population is None else population)
+    joined = with_product(transactions, products, keys_from=unjoined)
+    joined = with_customer(joined, customers, keys_from=transactions)
+    ledger = joined
+    if gather is not None:
+        date = F.col("date")
+        ledger = gather(ledger.withColumns({"year": F.year(date), "month": F.month(date)}))
+    ledger = with_ratios(with_cost(with_date_features(ledger)))
+    ledger = with_high_value_flag(ledger, joined if population is None else population)
     return ledger.select(LEDGER_COLUMNS)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.session import bytes_setting, input_bytes
@@ -14,12 +14,24 @@ from tallyworks.session import bytes_setting, input_bytes
 MIN_TRACKED = 4_096
 MAX_TRACKED = 65_536
 
+# Stored bytes of the input that one partition of a shuffle join takes: some 20 times that as rows.
+PARTITION_BYTES = 4 * 2**20
+# Frames that no file backs have no known size; the optimizer says 2^63.
+UNKNOWN_BYTES = 2**60
+
 
 def shuffle_partitions(frame: DataFrame) -> int:
     return max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
 
 
-def hot_keys(fact: DataFrame, key: str) -> DataFrame:
+def join_partitions(fact: DataFrame) -> int:
+    """Partitions that stay small enough to sort and group in memory, however large the input."""
+    stored = input_bytes(fact)
+    fitting = 0 if stored >= UNKNOWN_BYTES else math.ceil(stored / PARTITION_BYTES)
+    return max(shuffle_partitions(fact), min(fitting, MAX_TRACKED // 4))
+
+
+def hot_keys(fact: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """(key, salts): keys that alone would overfill an average shuffle partition.
 
     There can be no more of them than partitions. A mergeable sketch finds them
@@ -27,7 +39,7 @@ def hot_keys(fact: DataFrame, key: str) -> DataFrame:
     partitions' worth of rows a key has. It only decides where rows go: a key it
     misses is joined like any other.
     """
-    partitions = shuffle_partitions(fact)
+    partitions = partitions or shuffle_partitions(fact)
     tracked = min(max(MIN_TRACKED, 4 * partitions), MAX_TRACKED)
     # Splits' sketches merge in groups first, so that no task receives all of them.
     groups = max(2, math.isqrt(partitions))
@@ -59,19 +71,23 @@ def salted_lookup(
     dimension: DataFrame,
     key: str,
     how: str,
-    spread_by: Sequence[str],
+    spread_by: Sequence[str | Column],
     keys_from: DataFrame | None = None,
+    keep_salt: bool = False,
 ) -> DataFrame:
     """Shuffle join on (key, salt).
 
     Rows of a hot key spread over as many partitions as they would fill, and the
     dimension rows they match are repeated once per salt. Null keys match
-    nothing, so they spread over all partitions.
+    nothing, so they spread over all partitions. With ``keep_salt`` the column stays: grouping by
+    the key, the salt and more needs no other shuffle.
     """
-    hot = F.broadcast(hot_keys(fact if keys_from is None else keys_from, key))
+    keyed = fact if keys_from is None else keys_from
+    partitions = join_partitions(keyed)
+    hot = F.broadcast(hot_keys(keyed, key, partitions))
     spread = F.xxhash64(*spread_by)
     row_salt = (
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(shuffle_partitions(fact))))
+        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(partitions)))
         .when(F.col("salts").isNotNull(), F.pmod(spread, F.col("salts")))
         .otherwise(F.lit(0))
     )
@@ -82,15 +98,19 @@ def salted_lookup(
     salted_dimension = (
         dimension.join(hot, key, "left").withColumn("salt", F.explode(every_salt)).drop("salts")
     )
-    return salted_fact.join(salted_dimension, [key, "salt"], how).drop("salt")
+    if partitions > shuffle_partitions(fact):
+        salted_fact = salted_fact.repartition(partitions, key, "salt")
+    joined = salted_fact.join(salted_dimension, [key, "salt"], how)
+    return joined if keep_salt else joined.drop("salt")
 
 
 def lookup(
     fact: DataFrame,
     dimension: DataFrame,
     key: str,
-    spread_by: Sequence[str],
+    spread_by: Sequence[str | Column],
     keys_from: DataFrame | None = None,
+    keep_salt: bool = False,
 ) -> DataFrame:
     """Left join: broadcast ``dimension`` while it is small, else shuffle with salt.
 
@@ -98,8 +118,9 @@ def lookup(
     ``fact``, which may itself be the result of joins.
     """
     if is_small(dimension):
-        return fact.join(F.broadcast(dimension), key, "left")
-    return salted_lookup(fact, dimension, key, "left", spread_by, keys_from)
+        joined = fact.join(F.broadcast(dimension), key, "left")
+        return joined.withColumn("salt", F.lit(0)) if keep_salt else joined
+    return salted_lookup(fact, dimension, key, "left", spread_by, keys_from, keep_salt)
 
 
 def lookup_grouped(groups: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

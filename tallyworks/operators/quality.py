@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,21 +19,24 @@ def fault() -> Column:
     )
 
 
-def collapse_duplicates(transactions: DataFrame) -> DataFrame:
+def collapse_duplicates(transactions: DataFrame, together: Sequence[str] = ()) -> DataFrame:
     """One row per distinct row, with its number of ``copies`` and its ``fault``.
 
     Everything the validation reports derives from this one shuffle; copies
-    merge on the map side, so a heavily repeated row costs one row per task.
+    merge on the map side, so a heavily repeated row costs one row per task. ``together`` names columns
+    that follow from the others and that the rows are partitioned by: then there is no shuffle, and
+    they are dropped.
     """
     return (
         transactions.groupBy(*transactions.columns)
         .agg(F.count(F.lit(1)).alias("copies"))
+        .drop(*together)
         .withColumn("fault", fault())
     )
 
 
-def drop_duplicates(transactions: DataFrame) -> DataFrame:
-    return transactions.dropDuplicates()
+def drop_duplicates(transactions: DataFrame, together: Sequence[str] = ()) -> DataFrame:
+    return transactions.dropDuplicates().drop(*together)
 
 
 def drop_negative_revenue(transactions: DataFrame) -> DataFrame:
@@ -47,8 +51,8 @@ def accepted(collapsed: DataFrame) -> DataFrame:
     return collapsed.where(F.col("fault").isNull()).drop("copies", "fault")
 
 
-def validate(transactions: DataFrame) -> DataFrame:
-    return accepted(collapse_duplicates(transactions))
+def validate(transactions: DataFrame, together: Sequence[str] = ()) -> DataFrame:
+    return accepted(collapse_duplicates(transactions, together))
 
 
 def audit_metrics(columns: list[str]) -> list[Column]:

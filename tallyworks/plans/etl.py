@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +12,7 @@ from tallyworks.operators import quality, series, summaries
 from tallyworks.operators.enrich import enrich
 from tallyworks.plans import forecast
 from tallyworks.session import concurrently, scratch_below, settle
-from tallyworks.sinks.tables import write_csv, write_table
+from tallyworks.sinks.tables import gathered, write_csv, write_table
 
 SUMMARIES = {
     "monthly_summary": summaries.monthly_summary,
@@ -29,25 +29,36 @@ def keys_are_unique(customers: DataFrame, products: DataFrame) -> bool:
     )
 
 
-def enriched_ledger(clean: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+gather_months = partial(gathered, keys=summaries.MONTH)
+
+
+def enriched_ledger(
+    clean: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    gather: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Repeated dimension keys multiply rows, which then count for the cutoff as well."""
     population = clean if keys_are_unique(customers, products) else None
-    return enrich(clean, customers, products, population)
+    return enrich(clean, customers, products, population, gather)
 
 
-def collapse(transactions: DataFrame) -> DataFrame:
+def collapse(transactions: DataFrame, together: Sequence[str] = ()) -> DataFrame:
     """The duplicate-free rows, settled: audit, cutoff and ledger all start there."""
-    return settle(quality.collapse_duplicates(transactions), "collapsed")
+    return settle(quality.collapse_duplicates(transactions, together), "collapsed")
 
 
-def collapse_observed(transactions: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+def collapse_observed(
+    transactions: DataFrame, together: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, int]]:
     """The same, and what the audit counts of these rows, observed by the pass that writes them.
 
     Every task of the write counts its rows, so the copy is not read again to count them.
     """
     counted = Observation("collapsed")
-    rows = quality.collapse_duplicates(transactions)
-    copy = settle(rows.observe(counted, *quality.audit_metrics(transactions.columns)), "collapsed")
+    rows = quality.collapse_duplicates(transactions, together)
+    columns = [c for c in transactions.columns if c not in together]
+    copy = settle(rows.observe(counted, *quality.audit_metrics(columns)), "collapsed")
     return copy, counted.get
 
 
@@ -63,10 +74,10 @@ def store_tables(
     The summaries read the stored ledger.
     """
     spark = collapsed.sparkSession
-    ledger = enriched_ledger(quality.accepted(collapsed), customers, products)
+    ledger = enriched_ledger(quality.accepted(collapsed), customers, products, gather_months)
     writes = table_writes({"customers": customers, "products": products}, target)
     writes["transactions"] = partial(
-        write_table, ledger, target, "transactions", ["year", "month"]
+        write_table, ledger, target, "transactions", summaries.MONTH, is_gathered=True
     )
     stored = concurrently(spark, writes)
     summary = {name: build(stored["transactions"]) for name, build in SUMMARIES.items()}

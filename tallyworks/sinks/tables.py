@@ -25,24 +25,37 @@ def gathered(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_table(
-    frame: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()
+    frame: DataFrame,
+    root: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    is_gathered: bool = False,
 ) -> DataFrame:
     """Replace the parquet table ``name`` under ``root`` and return a reader of it.
 
-    Rows of a partitioned table are brought together by its partition values.
+    Rows of a partitioned table are brought together by its partition values, unless they were
+    when they were narrower.
     """
     path = f"{root.rstrip('/')}/{name}"
-    rows = gathered(frame, partition_by) if partition_by else frame
+    rows = gathered(frame, partition_by) if partition_by and not is_gathered else frame
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 
 
 def replace_partitions(
-    frame: DataFrame, root: str, name: str, partition_by: Sequence[str]
+    frame: DataFrame,
+    root: str,
+    name: str,
+    partition_by: Sequence[str],
+    is_gathered: bool = False,
 ) -> DataFrame:
-    """Replace only the partitions of the table ``name`` that ``frame`` has rows for."""
+    """Replace only the partitions of the table ``name`` that ``frame`` has rows for.
+
+    ``frame`` may read the table: Spark stages the new files and replaces the old ones at the end.
+    """
     path = f"{root.rstrip('/')}/{name}"
-    writer = gathered(frame, partition_by).write.mode("overwrite")
+    rows = frame if is_gathered else gathered(frame, partition_by)
+    writer = rows.write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions.rounding import as_double_ratio, half_even
-from tallyworks.operators.joins import lookup
+from tallyworks.operators.joins import is_small, lookup
 from tallyworks.schemas import MONEY
 from tallyworks.session import underfills_cores
 
@@ -56,35 +56,56 @@ def status(is_returned: Column, is_pending: Column) -> Column:
     return F.when(is_returned, "Returned").when(is_pending, "Pending").otherwise("Completed")
 
 
-def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with exact prices; one scan, no join."""
-    quantity = F.col("l_quantity").cast("int")
-    gross = F.col("l_extendedprice").cast(MONEY)
-    percent = F.round(F.abs("l_discount") * 100).cast("int")
+def transaction_id() -> Column:
+    return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+def lines_as_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns that ``priced`` derives the sales from: half as wide as what it derives."""
+    return read_table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").cast(MONEY).alias("gross"),
+        F.round(F.abs("l_discount") * 100).cast("int").alias("discount_pct"),
+        "l_returnflag",
+        "l_linestatus",
+    )
+
+
+def priced(lines: DataFrame, *more: str) -> DataFrame:
+    """``lines_as_stored`` with exact prices, and the columns ``more`` as they are."""
+    quantity = F.col("quantity")
     is_returned = F.col("l_returnflag") == RETURN_FLAG
-    lines = read_table(spark, folder, "lineitem")
-    return (
-        spread_small_scan(lines, "l_orderkey", "l_partkey", "l_suppkey")
-        .withColumns({"gross": gross, "discount_pct": percent})
-        .withColumn("discount_amount", discount_amount(F.col("gross"), F.col("discount_pct")))
-        .select(
-            "l_orderkey",
-            F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias(
-                "transaction_id"
-            ),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_linestatus").alias("channel"),
-            quantity.alias("quantity"),
-            half_even(as_double_ratio(F.col("gross"), quantity)).cast(MONEY).alias("unit_price"),
-            "discount_pct",
-            "discount_amount",
-            (F.col("gross") - F.col("discount_amount")).cast(MONEY).alias("revenue"),
-            is_returned.alias("is_returned"),
-            status(is_returned, F.col("l_returnflag") == PENDING_FLAG).alias("status"),
-        )
+    return lines.withColumn(
+        "discount_amount", discount_amount(F.col("gross"), F.col("discount_pct"))
+    ).select(
+        "l_orderkey",
+        transaction_id().alias("transaction_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_linestatus").alias("channel"),
+        "quantity",
+        half_even(as_double_ratio(F.col("gross"), quantity)).cast(MONEY).alias("unit_price"),
+        "discount_pct",
+        "discount_amount",
+        (F.col("gross") - F.col("discount_amount")).cast(MONEY).alias("revenue"),
+        is_returned.alias("is_returned"),
+        status(is_returned, F.col("l_returnflag") == PENDING_FLAG).alias("status"),
+        *more,
     )
 
 
+def spread_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_small_scan(lines_as_stored(spark, folder), "l_orderkey", "l_partkey", "l_suppkey")
+
+
+def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with exact prices; one scan, no join."""
+    return priced(spread_lines(spark, folder))
+
+
 TRANSACTION_COLUMNS = [
     "transaction_id",
     "date",
@@ -111,14 +132,26 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def with_order(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
-    return lookup(
-        priced_lines(spark, folder),
+def with_order(
+    spark: SparkSession, folder: str, orders: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
+    """Priced lines with the columns of their order, and the ``salt`` they were dealt by.
+
+    The lines are dealt to their orders as stored and priced afterwards. ``lines`` may be such lines
+    that have been looked up already; what they have besides stays.
+    """
+    more = [] if lines is None else ["category", "cost_price"]
+    if lines is None:
+        lines = (spread_lines if is_small(orders) else lines_as_stored)(spark, folder)
+    joined = lookup(
+        lines,
         orders,
         "l_orderkey",
-        spread_by=["transaction_id", "product_id", "revenue"],
+        spread_by=[transaction_id()],
         keys_from=read_table(spark, folder, "lineitem"),
+        keep_salt=True,
     )
+    return priced(joined, *[c for c in orders.columns if c != "l_orderkey"], *more, "salt")
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,16 +162,29 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     return with_order(spark, folder, order_facts(spark, folder)).select(TRANSACTION_COLUMNS)
 
 
-def placed_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Transactions with region, segment and city.
+def keyed_transactions(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    """Transactions, and what they were dealt by when they met their orders.
+
+    The id begins with the order's key and the salt follows from the id, so equal rows lie together
+    already. Where a line lacks its order's key an id may begin with another number: then no
+    columns are named.
+    """
+    lines = read_table(spark, folder, "lineitem")
+    together = ["l_orderkey", "salt"] if lines.where("l_orderkey IS NULL").isEmpty() else []
+    rows = with_order(spark, folder, order_facts(spark, folder))
+    return rows.select(*TRANSACTION_COLUMNS, *together), together
+
+
+def placed_transactions(
+    spark: SparkSession, folder: str, lines: DataFrame | None = None
+) -> DataFrame:
+    """Transactions with region, segment and city, and what ``lines`` have besides.
 
     Customers join the orders first, which are fewer and narrower than the lines.
     """
     places = customers(spark, folder).select("customer_id", "region", "segment", "city")
     orders = lookup(order_facts(spark, folder), places, "customer_id", spread_by=["l_orderkey"])
-    return with_order(spark, folder, orders).select(
-        *TRANSACTION_COLUMNS, "region", "segment", "city"
-    )
+    return with_order(spark, folder, orders, lines).drop("l_orderkey", "salt")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
