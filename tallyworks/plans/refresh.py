@@ -11,6 +11,7 @@ from tallyworks.operators import quality
 from tallyworks.operators.enrich import HIGH_VALUE_FRACTION, enrich, with_date_features
 from tallyworks.operators.quantile import quantile_cutoff
 from tallyworks.operators.summaries import MONTH
+from tallyworks.plans.etl import gather_months
 from tallyworks.session import settle
 from tallyworks.sinks.tables import replace_partitions
 
@@ -59,7 +60,8 @@ def refresh_months(
     flag = F.coalesce(F.col("revenue") >= cutoff.scalar(), F.lit(False))
     stale = settle(others.where(F.col("is_high_value") != flag).select(*MONTH).distinct(), "stale")
     # the flag of the new rows alone is never computed: the one below replaces it
-    fresh = enrich(clean, customers, products, clean).withColumn("is_high_value", flag)
+    fresh = enrich(clean, customers, products, clean, gather_months).withColumn("is_high_value", flag)
+    # stored by month already: a task that reads a file of one month writes one of that month
     restated = by_month(ledger, stale, "left_semi").withColumn("is_high_value", flag)
-    changed = settle(fresh.unionByName(restated), "changed")
-    return Refresh(replace_partitions(changed, root, name, MONTH), months, stale)
+    changed = fresh.unionByName(restated)
+    return Refresh(replace_partitions(changed, root, name, MONTH, is_gathered=True), months, stale)

@@ -67,3 +67,15 @@ def test_a_line_without_an_order_key_is_collapsed_by_a_shuffle(spark, folder, tm
     collapsed = quality.collapse_duplicates(frame, together)
     assert collapsed.count() == frame.distinct().count() == 3
     assert collapsed.agg(F.sum("copies")).first()[0] == 6
+
+
+def test_a_refresh_gathers_the_new_rows_only(spark, folder, monkeypatch):
+    """Restated rows of other months lie by month already."""
+    from tallyworks.plans import etl, refresh
+
+    counted = []
+    gather = etl.gather_months
+    monkeypatch.setattr(refresh, "gather_months", lambda rows: counted.append(rows.count()) or gather(rows))
+    ledger = registry.refreshed_ledger(spark, folder)
+    months = [f"(year = {y} AND month = {m})" for y, m in registry.REFRESHED]
+    assert counted == [ledger.where(" OR ".join(months)).count()] and 0 < counted[0] < ledger.count()
