@@ -32,8 +32,15 @@ def with_date_features(transactions: DataFrame) -> DataFrame:
     return transactions.withColumns(date_features(F.col("date")))
 
 
+def with_month(transactions: DataFrame) -> DataFrame:
+    return transactions.withColumns({"year": F.year("date"), "month": F.month("date")})
+
+
 def with_customer(
-    transactions: DataFrame, customers: DataFrame, keys_from: DataFrame | None = None
+    transactions: DataFrame,
+    customers: DataFrame,
+    keys_from: DataFrame | None = None,
+    spread_by: Sequence[str | Column] = ("transaction_id", "product_id", "revenue"),
 ) -> DataFrame:
     """Region, segment and city where the source does not carry them."""
     if "region" in transactions.columns:
@@ -42,7 +49,7 @@ def with_customer(
         transactions,
         customers.select("customer_id", "region", "segment", "city"),
         "customer_id",
-        spread_by=["transaction_id", "product_id", "revenue"],
+        spread_by=spread_by,
         keys_from=keys_from,
     )
 
@@ -116,8 +123,7 @@ def enrich(
     joined = with_customer(joined, customers, keys_from=transactions)
     ledger = joined
     if gather is not None:
-        date = F.col("date")
-        ledger = gather(ledger.withColumns({"year": F.year(date), "month": F.month(date)}))
+        ledger = gather(with_month(ledger))
     ledger = with_ratios(with_cost(with_date_features(ledger)))
     ledger = with_high_value_flag(ledger, joined if population is None else population)
     return ledger.select(LEDGER_COLUMNS)

@@ -19,20 +19,26 @@ def fault() -> Column:
     )
 
 
+def count_copies(rows: DataFrame, together: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct row, with its number of ``copies``.
+
+    Copies merge on the map side, so a heavily repeated row costs one row per task. ``together`` names
+    columns that follow from the others and that the rows are partitioned by: then there is no shuffle,
+    and they are dropped.
+    """
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")).drop(*together)
+
+
+def judged(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("fault", fault())
+
+
 def collapse_duplicates(transactions: DataFrame, together: Sequence[str] = ()) -> DataFrame:
     """One row per distinct row, with its number of ``copies`` and its ``fault``.
 
-    Everything the validation reports derives from this one shuffle; copies
-    merge on the map side, so a heavily repeated row costs one row per task. ``together`` names columns
-    that follow from the others and that the rows are partitioned by: then there is no shuffle, and
-    they are dropped.
+    Everything the validation reports derives from this one shuffle, or none (``count_copies``).
     """
-    return (
-        transactions.groupBy(*transactions.columns)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .drop(*together)
-        .withColumn("fault", fault())
-    )
+    return judged(count_copies(transactions, together))
 
 
 def drop_duplicates(transactions: DataFrame, together: Sequence[str] = ()) -> DataFrame:

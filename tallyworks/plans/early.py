@@ -19,6 +19,7 @@ from tallyworks.operators.enrich import (
     not_returned,
     with_cost,
     with_high_value_flag,
+    with_month,
     with_product,
     with_ratios,
 )
@@ -29,10 +30,6 @@ from tallyworks.session import settle
 MONTH = summaries.MONTH
 
 
-def with_month(transactions: DataFrame) -> DataFrame:
-    return transactions.withColumns({"year": F.year("date"), "month": F.month("date")})
-
-
 def with_repeats(transactions: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Each row as often as a left join with ``dimension`` would return it.
 

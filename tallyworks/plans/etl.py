@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.operators import quality, series, summaries
-from tallyworks.operators.enrich import enrich
+from tallyworks.operators.enrich import enrich, with_month
 from tallyworks.plans import forecast
 from tallyworks.session import concurrently, scratch_below, settle
 from tallyworks.sinks.tables import gathered, write_csv, write_table
@@ -62,19 +62,53 @@ def collapse_observed(
     return copy, counted.get
 
 
+def collapse_narrow(
+    rows: DataFrame,
+    derive: Callable[[DataFrame], DataFrame],
+    together: Sequence[str] = (),
+    observed: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame, Callable[[], dict[str, int]]]:
+    """The same for rows that ``derive`` adds the transactions' columns to, and these rows by month.
+
+    The narrow rows are what is settled and what is gathered by month; the rest is derived on reading
+    and after the gathering. Equal transactions must have equal ``rows``, which carry what the lookups
+    find: the dimensions' keys must be unique. ``observed`` names the columns whose nulls the audit
+    counts; without it nothing is counted.
+    """
+    counted = Observation("collapsed")
+    narrow = quality.count_copies(rows, together)
+    kept = narrow
+    if observed:
+        watched = quality.judged(derive(narrow)).observe(counted, *quality.audit_metrics(list(observed)))
+        kept = watched.select(narrow.columns)
+    copy = settle(kept, "collapsed")
+    by_month = gather_months(with_month(copy))
+    counts = lambda: counted.get if observed else {}
+    return quality.judged(derive(copy)), quality.judged(derive(by_month)), counts
+
+
 def table_writes(frames: dict[str, DataFrame], target: str) -> dict[str, Callable[[], DataFrame]]:
     return {name: partial(write_table, frame, target, name) for name, frame in frames.items()}
 
 
 def store_tables(
-    collapsed: DataFrame, customers: DataFrame, products: DataFrame, target: str
+    collapsed: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    target: str,
+    by_month: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Write the seven tables and return readers of them.
 
-    The summaries read the stored ledger.
+    The summaries read the stored ledger. ``by_month`` may be the collapsed rows gathered by month,
+    with what the lookups of unique keys find (``collapse_narrow``).
     """
     spark = collapsed.sparkSession
-    ledger = enriched_ledger(quality.accepted(collapsed), customers, products, gather_months)
+    clean = quality.accepted(collapsed)
+    if by_month is None:
+        ledger = enriched_ledger(clean, customers, products, gather_months)
+    else:
+        ledger = enrich(quality.accepted(by_month), customers, products, population=clean)
     writes = table_writes({"customers": customers, "products": products}, target)
     writes["transactions"] = partial(
         write_table, ledger, target, "transactions", summaries.MONTH, is_gathered=True

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from tallyworks.session import underfills_cores
+from tallyworks.session import PARQUET_CODEC, underfills_cores
 
 # Writers that a database is asked to take at once, unless the caller says otherwise.
 JDBC_WRITERS = 32
@@ -38,7 +38,7 @@ def write_table(
     """
     path = f"{root.rstrip('/')}/{name}"
     rows = gathered(frame, partition_by) if partition_by and not is_gathered else frame
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=PARQUET_CODEC)
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 
 
@@ -56,7 +56,9 @@ def replace_partitions(
     path = f"{root.rstrip('/')}/{name}"
     rows = frame if is_gathered else gathered(frame, partition_by)
     writer = rows.write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(
+        path, compression=PARQUET_CODEC
+    )
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 
 

@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions.rounding import as_double_ratio, half_even
+from tallyworks.operators.enrich import with_customer
 from tallyworks.operators.joins import is_small, lookup
 from tallyworks.schemas import MONEY
-from tallyworks.session import underfills_cores
+from tallyworks.session import input_bytes
 
 # How line items map to the ledger's vocabulary.
 NO_CAMPAIGN = "4-NOT SPECIFIED"
 RETURN_FLAG = "R"
 PENDING_FLAG = "A"
 
+# Stored bytes for every core from which on a scan has row groups enough for all cores.
+SPREAD_BYTES = 16 * 2**20
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -36,14 +39,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread_small_scan(frame: DataFrame, *keys: str) -> DataFrame:
-    """Repartition an input that has less than one full split for every core.
+    """Repartition an input that has few row groups for every core.
 
-    Such an input may be a single file that one task would read and process
-    alone. Larger inputs keep their own splits and pay no extra shuffle.
+    Such an input may be a single row group that one task would read and process
+    alone. Spark divides larger inputs among the cores by itself, without an extra shuffle.
     """
-    if underfills_cores(frame):
-        return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, *keys)
-    return frame
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores, *keys) if input_bytes(frame) < cores * SPREAD_BYTES else frame
 
 
 def discount_amount(gross: Column, discount_pct: Column) -> Column:
@@ -75,24 +77,38 @@ def lines_as_stored(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def priced(lines: DataFrame, *more: str) -> DataFrame:
-    """``lines_as_stored`` with exact prices, and the columns ``more`` as they are."""
-    quantity = F.col("quantity")
+def with_sale(lines: DataFrame) -> DataFrame:
+    """``lines_as_stored``, or wider ones, and what a sale derives from them."""
     is_returned = F.col("l_returnflag") == RETURN_FLAG
     return lines.withColumn(
         "discount_amount", discount_amount(F.col("gross"), F.col("discount_pct"))
-    ).select(
+    ).withColumns(
+        {
+            "transaction_id": transaction_id(),
+            "product_id": F.col("l_partkey"),
+            "channel": F.col("l_linestatus"),
+            "unit_price": half_even(as_double_ratio(F.col("gross"), F.col("quantity"))).cast(MONEY),
+            "revenue": (F.col("gross") - F.col("discount_amount")).cast(MONEY),
+            "is_returned": is_returned,
+            "status": status(is_returned, F.col("l_returnflag") == PENDING_FLAG),
+        }
+    )
+
+
+def priced(lines: DataFrame, *more: str) -> DataFrame:
+    """``lines_as_stored`` with exact prices, and the columns ``more`` as they are."""
+    return with_sale(lines).select(
         "l_orderkey",
-        transaction_id().alias("transaction_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_linestatus").alias("channel"),
+        "transaction_id",
+        "product_id",
+        "channel",
         "quantity",
-        half_even(as_double_ratio(F.col("gross"), quantity)).cast(MONEY).alias("unit_price"),
+        "unit_price",
         "discount_pct",
         "discount_amount",
-        (F.col("gross") - F.col("discount_amount")).cast(MONEY).alias("revenue"),
-        is_returned.alias("is_returned"),
-        status(is_returned, F.col("l_returnflag") == PENDING_FLAG).alias("status"),
+        "revenue",
+        "is_returned",
+        "status",
         *more,
     )
 
@@ -132,18 +148,16 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def with_order(
+def ordered_lines(
     spark: SparkSession, folder: str, orders: DataFrame, lines: DataFrame | None = None
 ) -> DataFrame:
-    """Priced lines with the columns of their order, and the ``salt`` they were dealt by.
+    """Lines as stored with the columns of their order, and the ``salt`` they were dealt by.
 
-    The lines are dealt to their orders as stored and priced afterwards. ``lines`` may be such lines
-    that have been looked up already; what they have besides stays.
+    ``lines`` may be such lines that have been looked up already; what they have besides stays.
     """
-    more = [] if lines is None else ["category", "cost_price"]
     if lines is None:
         lines = (spread_lines if is_small(orders) else lines_as_stored)(spark, folder)
-    joined = lookup(
+    return lookup(
         lines,
         orders,
         "l_orderkey",
@@ -151,6 +165,14 @@ def with_order(
         keys_from=read_table(spark, folder, "lineitem"),
         keep_salt=True,
     )
+
+
+def with_order(
+    spark: SparkSession, folder: str, orders: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
+    """The same, dealt to their orders as stored and priced afterwards."""
+    more = [] if lines is None else ["category", "cost_price"]
+    joined = ordered_lines(spark, folder, orders, lines)
     return priced(joined, *[c for c in orders.columns if c != "l_orderkey"], *more, "salt")
 
 
@@ -175,16 +197,33 @@ def keyed_transactions(spark: SparkSession, folder: str) -> tuple[DataFrame, lis
     return rows.select(*TRANSACTION_COLUMNS, *together), together
 
 
-def placed_transactions(
-    spark: SparkSession, folder: str, lines: DataFrame | None = None
-) -> DataFrame:
-    """Transactions with region, segment and city, and what ``lines`` have besides.
+def placed_lines(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """``ordered_lines`` with region, segment and city: ``with_sale`` makes transactions of them.
 
     Customers join the orders first, which are fewer and narrower than the lines.
     """
-    places = customers(spark, folder).select("customer_id", "region", "segment", "city")
-    orders = lookup(order_facts(spark, folder), places, "customer_id", spread_by=["l_orderkey"])
-    return with_order(spark, folder, orders, lines).drop("l_orderkey", "salt")
+    orders = with_customer(
+        order_facts(spark, folder), customers(spark, folder), spread_by=["l_orderkey"]
+    )
+    return ordered_lines(spark, folder, orders, lines)
+
+
+def keyed_lines(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame | None:
+    """``placed_lines`` that are equal if and only if their transactions are, to be collapsed.
+
+    The id tells the line's keys unless one is null, and the two amounts tell the gross price unless
+    the discount is unknown or beyond the whole price. Where a line is such, there is no result.
+    """
+    odd = (
+        "l_orderkey IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL OR l_linenumber IS NULL"
+        " OR l_discount IS NULL OR l_discount < -1 OR l_discount > 1"
+    )
+    if not read_table(spark, folder, "lineitem").where(odd).isEmpty():
+        return None
+    flag = F.col("l_returnflag")
+    # other flags mean the same
+    known = F.when(flag.isin(RETURN_FLAG, PENDING_FLAG), flag).when(flag.isNotNull(), "")
+    return placed_lines(spark, folder, lines).withColumn("l_returnflag", known)
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from checks import registry
 from tallyworks.operators import quality
+from tallyworks.plans import etl
+from tallyworks.session import scratch_path
 from tallyworks.sources import star
 
 
@@ -79,3 +81,82 @@ def test_a_refresh_gathers_the_new_rows_only(spark, folder, monkeypatch):
     ledger = registry.refreshed_ledger(spark, folder)
     months = [f"(year = {y} AND month = {m})" for y, m in registry.REFRESHED]
     assert counted == [ledger.where(" OR ".join(months)).count()] and 0 < counted[0] < ledger.count()
+
+
+def test_the_ledger_is_gathered_by_month_as_narrow_as_stored(spark, folder, no_broadcasts):
+    plan = plan_of(registry.enriched_ledger(spark, folder, etl.gather_months))
+    gathering = re.search(r"Exchange hashpartitioning\(year#\d+, month#\d+", plan).start()
+    assert "AS transaction_id" in plan[:gathering]
+    assert "AS transaction_id" not in plan[gathering : plan.index("Exchange hashpartitioning(l_orderkey")]
+
+
+def rows_of(frame):
+    columns = [F.col(c).cast("string") for c in sorted(frame.columns)]
+    return sorted(tuple(map(str, row)) for row in frame.select(columns).collect())
+
+
+def job_folder(spark, folder, target, change_lines, change_parts=lambda parts: parts):
+    for name in ("region", "nation", "customer", "orders"):
+        star.read_table(spark, folder, name).coalesce(1).write.parquet(f"{target}/{name}.parquet")
+    change_parts(star.read_table(spark, folder, "part")).write.parquet(f"{target}/part.parquet")
+    change_lines(star.read_table(spark, folder, "lineitem")).write.parquet(f"{target}/lineitem.parquet")
+    return str(target)
+
+
+def with_repeats(lines):
+    """Lines twice, some under another flag that means the same, some that are no sales or lack a value."""
+    odd = {
+        "l_returnflag": F.when(F.col("l_orderkey") % 5 == 0, "?").otherwise(F.col("l_returnflag")),
+        "l_quantity": F.when(F.col("l_orderkey") % 7 == 0, 0.0).otherwise(F.col("l_quantity")),
+        "l_extendedprice": F.when(F.col("l_orderkey") % 11 != 0, F.col("l_extendedprice")),
+    }
+    again = lines.where("l_orderkey % 3 = 0")
+    return lines.unionByName(again).unionByName(lines.withColumns(odd).where("l_orderkey % 2 = 0"))
+
+
+def job_of_whole_rows(spark, folder):
+    collapsed, observed = etl.collapse_observed(*star.keyed_transactions(spark, folder))
+    people, goods = star.customers(spark, folder), star.products(spark, folder)
+    tables = etl.store_tables(collapsed, people, goods, scratch_path(spark, "whole"))
+    return tables, etl.audit(collapsed, tables, observed)
+
+
+def assert_same_job(spark, target):
+    collapsed, tables, counts = registry.run_job(spark, target, observe=True)
+    whole, audit = job_of_whole_rows(spark, target)
+    assert tables.keys() == whole.keys()
+    for name in whole:
+        assert tables[name].schema == whole[name].schema, name
+        assert rows_of(tables[name]) == rows_of(whole[name]), name
+    assert rows_of(etl.audit(collapsed, tables, counts)) == rows_of(audit)
+    return collapsed
+
+
+def stored_columns(spark, frame):
+    return spark.read.parquet(*frame.inputFiles()).columns
+
+
+def test_the_job_stores_and_moves_narrow_rows(spark, folder, tmp_path, no_broadcasts):
+    target = job_folder(spark, folder, tmp_path, with_repeats)
+    collapsed = assert_same_job(spark, target)
+    # what follows from other columns is neither settled nor gathered
+    kept = stored_columns(spark, collapsed)
+    assert {"l_orderkey", "gross", "region", "category", "copies"} <= set(kept)
+    assert not {"transaction_id", "revenue", "unit_price", "status", "fault"} & set(kept)
+
+
+def test_the_job_collapses_whole_rows_where_ids_or_products_repeat(spark, folder, tmp_path):
+    def unknown(lines):
+        some = F.col("l_linenumber") == 1
+        return lines.withColumn("l_suppkey", F.when(~some, F.col("l_suppkey")))
+
+    def twice(parts):
+        return parts.unionByName(parts.where("p_partkey % 10 = 0").withColumn("p_type", F.lit("OTHER")))
+
+    targets = [
+        job_folder(spark, folder, tmp_path / "null", lambda lines: unknown(with_repeats(lines))),
+        job_folder(spark, folder, tmp_path / "twice", with_repeats, twice),
+    ]
+    for target in targets:
+        collapsed = assert_same_job(spark, target)
+        assert "transaction_id" in stored_columns(spark, collapsed)
