@@ -169,3 +169,9 @@ def test_the_calendar_reads_the_stored_ledger_and_joins_nothing_again(spark, fol
     monkeypatch.setattr(registry, "monthly_summary", refuse)
     found = registry.ledger_by_calendar(spark, folder)
     assert rows_of(found) == rows_of(registry.ledger_of_a_quarter(spark, folder))
+
+
+def test_csv_that_is_read_back_is_written_compressed(spark, folder):
+    for name in ("transactions_from_csv", "exported_ledger"):
+        files = registry.QUERIES[name](spark, folder).inputFiles()
+        assert files and all(file.endswith(".csv.gz") for file in files), name
