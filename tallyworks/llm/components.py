@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyworks.session import settle
 
+# Links of a file, if there are more than a file for every core holds: starting a file costs a process.
+FILE_LINKS = 1 << 20
+
 
 def stars(links: DataFrame, large: bool) -> DataFrame:
     """One contraction step: each node's neighbours move to the smallest among them.
@@ -30,7 +33,8 @@ def component_roots(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each linked node reaches, from links (a, b).
 
     Alternating large and small star steps need about log2 of the longest path;
-    each round is written to shared storage and compared by count and hash sum.
+    each round is written to shared storage and compared by count and hash sum. From the second
+    round on the count tells in how many files.
     Self links, repeated links and both directions are fine; nodes without a link do not appear.
     """
     state = settle(
@@ -41,7 +45,11 @@ def component_roots(links: DataFrame) -> DataFrame:
     )
     mark = None
     while True:
-        state = settle(stars(stars(state, large=True), large=False), "links")
+        moved = stars(stars(state, large=True), large=False)
+        if mark is not None:
+            cores = links.sparkSession.sparkContext.defaultParallelism
+            moved = moved.coalesce(max(cores, mark[0] // FILE_LINKS))
+        state = settle(moved, "links")
         digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         now = tuple(state.agg(F.count(F.lit(1)), digest).first())
         if now == mark:

@@ -255,12 +255,12 @@ def score_documents(
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label_model, linear = context.value
         for batch in batches:
-            texts = list(text_bytes(batch))
-            codes = np.array([votes_code(text) for text in texts], dtype=np.int64)
+            # the texts are read twice: no copy of a whole batch of them is held
+            codes = np.array([votes_code(text) for text in text_bytes(batch)], dtype=np.int64)
             columns = [
                 *batch.columns,
                 pa.array(label_model.posterior(codes), pa.float64()),
-                pa.array(list(linear.scores(iter(texts))), pa.float64()),
+                pa.array(list(linear.scores(text_bytes(batch))), pa.float64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, posterior, score])
 

@@ -34,13 +34,16 @@ def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def shard_of(key: Column, shards: int) -> Column:
-    """Shard number of a long key, 0 to ``shards`` - 1. A null key counts as key 0."""
+    """Shard number of a long key, 0 to ``shards`` - 1. A null key counts as key 0.
+
+    Declared as never null: else a join on it filters nulls, and the hash runs a second time for that.
+    """
 
     @F.pandas_udf("int")
     def assign(keys: pd.Series) -> pd.Series:
         return pd.Series(jump_hash(keys.to_numpy(dtype=np.int64).view(np.uint64), shards))
 
-    return assign(F.coalesce(key.cast("long"), F.lit(0).cast("long")))
+    return F.coalesce(assign(F.coalesce(key.cast("long"), F.lit(0).cast("long"))), F.lit(0))
 
 
 def number_rows(

@@ -66,6 +66,14 @@ def test_sharding_keeps_all_rows_and_columns(clashing):
     assert sharded.where("slot IS NULL OR shard IS NULL").count() == 0
 
 
+def test_a_task_hashes_its_keys_once(documents):
+    """A second hash in a task takes a second Python worker for every core."""
+    for sharded in (sharding.shard_documents(documents, 40), sharding.shard_report(documents, 40)):
+        plan = sharded._jdf.queryExecution().optimizedPlan().toString()
+        # the rows, and the counts of the buckets
+        assert plan.count("ArrowEvalPython [assign") == 2
+
+
 def water_level(sizes: dict, share: float = 1.5, limit: int = 2) -> dict:
     """Targets by the rule as told: cap, share the excess out by weight, again until none is above."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))

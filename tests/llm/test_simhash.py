@@ -7,8 +7,12 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from tallyworks.llm import simhash
+from tallyworks.llm import components, simhash
 from tallyworks.llm.components import component_roots
+from tallyworks.session import settle
+
+PARTITIONS = "spark.sql.shuffle.partitions"
+MERGED = "spark.sql.adaptive.coalescePartitions.enabled"
 
 
 def print_by_hand(text: str | None) -> int:
@@ -140,3 +144,26 @@ def test_every_component_keeps_one_row_whatever_its_ids(spark):
     assert sorted(groups) == sorted(set(roots.values()))
     assert {(r.doc_id, r.text) for r in kept} >= {(3, base), (7, other), (8, "")}
     assert {r.doc_id for r in kept if r.text and r.text.startswith(third)} == {None}
+
+
+def test_rounds_of_few_links_write_few_files(spark, monkeypatch):
+    """Every file starts a process on a local disk, so files follow the links, not the partitions."""
+    files = []
+
+    def settled(frame, name):
+        copy = settle(frame, name)
+        files.append(len(copy.inputFiles()))
+        return copy
+
+    monkeypatch.setattr(components, "settle", settled)
+    links = spark.createDataFrame([(n, n + 1) for n in range(300)], "a long, b long")
+    kept = {key: spark.conf.get(key) for key in (PARTITIONS, MERGED)}
+    try:
+        spark.conf.set(PARTITIONS, "64")
+        spark.conf.set(MERGED, "false")
+        roots = components.component_roots(links)
+        assert {tuple(row) for row in roots.collect()} == {(n, 0) for n in range(301)}
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert len(files) > 3 and max(files[2:]) <= spark.sparkContext.defaultParallelism
