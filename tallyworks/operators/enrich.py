@@ -108,11 +108,13 @@ def enrich(
     products: DataFrame,
     population: DataFrame | None = None,
     gather: Callable[[DataFrame], DataFrame] | None = None,
+    has_month: bool = False,
 ) -> DataFrame:
     """The 30-column ledger, one row per transaction.
 
     All that follows from other columns is added after the last shuffle: after the lookups, and after
-    ``gather``, which may bring together the rows of a month (they have year and month by then).
+    ``gather``, which may bring together the rows of a month (they have year and month by then). Rows
+    that had these before (``has_month``: ``with_month`` added them) keep them, and an order by them.
 
     ``population`` supplies the revenues the high-value cutoff is taken from. By
     default the joined rows do; a caller that knows the dimension keys to be
@@ -124,7 +126,10 @@ def enrich(
     ledger = joined
     if gather is not None:
         ledger = gather(with_month(ledger))
-    ledger = with_ratios(with_cost(with_date_features(ledger)))
+    features = date_features(F.col("date"))
+    if gather is not None or has_month:
+        features = {name: value for name, value in features.items() if name not in ("year", "month")}
+    ledger = with_ratios(with_cost(ledger.withColumns(features)))
     ledger = with_high_value_flag(ledger, joined if population is None else population)
     return ledger.select(LEDGER_COLUMNS)
 

@@ -175,3 +175,13 @@ def test_csv_that_is_read_back_is_written_compressed(spark, folder):
     for name in ("transactions_from_csv", "exported_ledger"):
         files = registry.QUERIES[name](spark, folder).inputFiles()
         assert files and all(file.endswith(".csv.gz") for file in files), name
+
+
+def test_rows_are_sorted_by_month_before_they_are_wide(spark, folder):
+    """A partitioned write asks for this order and sorts whole rows where it does not find it."""
+    ledger = registry.enriched_ledger(spark, folder, etl.gather_months)
+    plan = ledger._jdf.queryExecution().optimizedPlan()
+    order = plan.outputOrdering()
+    assert [order.apply(i).child().name() for i in range(order.length())] == ["year", "month"]
+    found = plan.toString()
+    assert "AS discount_amount" not in found[found.index("Sort [year") :]
