@@ -10,10 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import fresh
+from tallyworks.session import splits
 
 # Fixed value: the multiplier of the published jump consistent hash.
 JUMP_MULTIPLIER = np.uint64(2862933555777941757)
 
+# Starts of buckets, 16 bytes each, that are broadcast at most; more are joined by key.
+BROADCAST_STARTS = 1 << 20
+
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each unsigned 64-bit key; from n to n + 1 shards keys only move to shard n."""
@@ -47,19 +51,20 @@ def shard_of(key: Column, shards: int) -> Column:
 
 
 def number_rows(
-    rows: DataFrame, group: str, order: Sequence[str], slot: str, buckets: int = 1024
+    rows: DataFrame, group: str, groups: int, order: Sequence[str], slot: str, buckets: int = 1024
 ) -> DataFrame:
-    """Number the rows of every group from 0 without gaps, in the column ``slot``.
+    """Number the rows of each of the ``groups`` groups from 0 without gaps, in the column ``slot``.
 
     A group splits into ``buckets`` by the hash of the ordering columns; each
     bucket is numbered alone and starts where the earlier buckets' counts end.
-    So no task needs a whole group. Rows alike in every ordering column share a
+    So no task needs a whole group; the starts of so many groups at most are
+    broadcast, beyond that joined by key. Rows alike in every ordering column share a
     bucket and take its numbers in any order.
     """
     bucket, first, rank = fresh(rows, "bucket", "first", "rank")
-    dealt = rows.withColumn(
-        bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")
-    )
+    # Declared as never null, as the shard is: else the join hashes the order a second time.
+    place = F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")
+    dealt = rows.withColumn(bucket, F.coalesce(place, F.lit(0)))
     before = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         dealt.groupBy(group, bucket)
@@ -69,7 +74,7 @@ def number_rows(
     inside = Window.partitionBy(group, bucket).orderBy(*order)
     return (
         dealt.withColumn(rank, F.row_number().over(inside) - 1)
-        .join(starts, [group, bucket])
+        .join(F.broadcast(starts) if groups * buckets <= BROADCAST_STARTS else starts, [group, bucket])
         .withColumn(slot, (F.col(first) + F.col(rank)).cast("long"))
         .drop(bucket, first, rank)
     )
@@ -87,22 +92,31 @@ def shard_documents(documents: DataFrame, shards: int, key: str = "doc_id") -> D
     content = fresh(rows, "content")[0]
     others = [column for column in documents.columns if column not in ("shard", "slot")]
     rows = rows.withColumn(content, F.xxhash64(*others))
-    return number_rows(rows, "shard", [key, content], "slot").drop(content)
+    return number_rows(rows, "shard", shards, [key, content], "slot").drop(content)
 
 
 def shard_report(documents: DataFrame, shards: int) -> DataFrame:
-    """Where each document goes and its size; the text itself is never shuffled.
+    """Where each document goes and its size; each text is read once and never shuffled.
 
+    The columns taken from the text are dealt out evenly first. The rows and the counts of the
+    buckets read the same exchange, and no text passes the queue to the hash's Python worker.
+    The result has a part for each split of ``documents`` at most: starting a file costs processes.
     ``size`` is the UTF-8 bytes of the text (null: none) plus 16; ``text_crc32``
     is null for a null text; ``grown_shard`` is the shard with one shard more.
     """
     content = F.col("text").cast("binary")
-    rows = documents.select(
+    narrow = documents.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(content).cast("long").alias("text_crc32"),
+    )
+    parts = min(splits(documents), int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = narrow.repartition(parts).select(
+        "*",
         F.lit("key").alias("law"),
         shard_of(F.col("doc_id"), shards).alias("shard"),
         shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"),
     )
-    return number_rows(rows, "shard", ["doc_id", "text_crc32", "size"], "slot")
+    # All columns of the exchange: with fewer the counts would not share it.
+    order = ["doc_id", "text_crc32", "size"]
+    return number_rows(rows, "shard", shards, order, "slot").coalesce(parts)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from tallyworks.llm import mixing, sharding
+from tallyworks.session import splits
 
 
 def jump_by_hand(key: int, shards: int) -> int:
@@ -74,6 +75,43 @@ def test_a_task_hashes_its_keys_once(documents):
         assert plan.count("ArrowEvalPython [assign") == 2
 
 
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("shards", [40, 2_000])
+def test_slots_have_no_gaps_whether_starts_are_broadcast_or_not(documents, shards):
+    report = sharding.shard_report(documents, shards)
+    assert ("strategy=broadcast" in plan_of(report)) == (shards == 40)
+    slots = defaultdict(list)
+    for row in report.collect():
+        slots[row.shard].append(row.slot)
+    assert sum(map(len, slots.values())) == documents.count()
+    assert all(sorted(each) == list(range(len(each))) for each in slots.values())
+
+
+def test_rows_and_counts_share_one_hash_of_the_texts(documents):
+    report = sharding.shard_report(documents, 40)
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("crc32(") == 1
+    # for the rows one hash of the content and one of the order, the same for the counts, none to filter
+    assert plan_of(sharding.shard_documents(documents, 40)).count("xxhash64(") == 4
+
+
+def test_report_has_a_part_for_each_split_at_most(spark, documents):
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        parts = sharding.shard_report(documents, 40).rdd.getNumPartitions()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert parts <= splits(documents) < 64
+
+
 def water_level(sizes: dict, share: float = 1.5, limit: int = 2) -> dict:
     """Targets by the rule as told: cap, share the excess out by weight, again until none is above."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
