@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.session import PARQUET_CODEC, underfills_cores
 
@@ -12,6 +13,25 @@ from tallyworks.session import PARQUET_CODEC, underfills_cores
 JDBC_WRITERS = 32
 JDBC_BATCH_ROWS = 10_000
 
+#: Partitions that one task writes at once: as many files as Spark's scan gives it by default.
+OPEN_PARTITIONS = 32
+
+
+@contextmanager
+def partitions_at_once(spark: SparkSession) -> Iterator[None]:
+    """Write rows to their partitions as they come, instead of sorting whole rows by partition first.
+
+    For rows that lie by partition already, so that a task meets few. One that meets more than
+    ``OPEN_PARTITIONS`` sorts the rest of its rows. The setting is the session's while it holds.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_PARTITIONS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
 
 def gathered(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Few key values per task, so that a task writes few files.
@@ -56,9 +76,10 @@ def replace_partitions(
     path = f"{root.rstrip('/')}/{name}"
     rows = frame if is_gathered else gathered(frame, partition_by)
     writer = rows.write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(
-        path, compression=PARQUET_CODEC
-    )
+    with partitions_at_once(frame.sparkSession):
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(
+            path, compression=PARQUET_CODEC
+        )
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 
 

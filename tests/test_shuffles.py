@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from checks import registry
 from tallyworks.operators import quality
 from tallyworks.plans import etl
 from tallyworks.session import scratch_path
+from tallyworks.sinks import tables
 from tallyworks.sources import star
 
 
@@ -185,3 +187,67 @@ def test_rows_are_sorted_by_month_before_they_are_wide(spark, folder):
     assert [order.apply(i).child().name() for i in range(order.length())] == ["year", "month"]
     found = plan.toString()
     assert "AS discount_amount" not in found[found.index("Sort [year") :]
+
+
+AT_ONCE = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@pytest.fixture
+def writes(spark, monkeypatch):
+    """(folder's name, columns, partitions that a task may write at once) of every parquet write."""
+    found = []
+    write = DataFrameWriter.parquet
+
+    def record(self, path, *args, **options):
+        found.append((path.split("/")[-1], self._df.columns, spark.conf.get(AT_ONCE)))
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", record)
+    return found
+
+
+def test_the_refreshed_ledger_settles_narrow_rows(spark, folder, writes):
+    registry.refreshed_ledger(spark, folder)
+    [kept] = [columns for name, columns, _ in writes if name.startswith("rows-")]
+    assert {"l_orderkey", "gross", "date", "region", "category"} <= set(kept)
+    assert not {"transaction_id", "revenue", "unit_price", "status", "salt"} & set(kept)
+
+
+def test_the_refreshed_ledger_is_written_without_a_sort_of_whole_rows(spark, folder, writes):
+    before = spark.conf.get(AT_ONCE)
+    registry.refreshed_ledger(spark, folder)
+    assert [n for name, _, n in writes if name == "transactions"] == [str(tables.OPEN_PARTITIONS)] * 2
+    assert {n for name, _, n in writes if name != "transactions"} == {before} == {spark.conf.get(AT_ONCE)}
+
+
+def test_partitions_written_at_once_ask_for_no_order(spark, tmp_path):
+    spark.sql(f"CREATE TABLE at_once (a INT, b INT) USING parquet PARTITIONED BY (b) LOCATION '{tmp_path}/t'")
+    explain = "EXPLAIN INSERT OVERWRITE at_once SELECT 1 AS a, CAST(id % 3 AS INT) AS b FROM range(9)"
+    try:
+        assert "Sort [" in spark.sql(explain).first()[0]
+        with tables.partitions_at_once(spark):
+            assert "Sort [" not in spark.sql(explain).first()[0]
+    finally:
+        spark.sql("DROP TABLE at_once")
+
+
+def test_more_partitions_than_a_task_writes_at_once_are_all_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "OPEN_PARTITIONS", 3)
+    frame = spark.range(200).selectExpr("id", "int(id % 11) AS part").coalesce(1)
+    first = tables.write_table(frame.where("part < 2"), str(tmp_path), "t", ["part"])
+    assert first.count() == frame.where("part < 2").count()
+    stored = tables.replace_partitions(frame, str(tmp_path), "t", ["part"], is_gathered=True)
+    assert rows_of(stored) == rows_of(frame)
+    assert len(stored.inputFiles()) == 11
+
+
+def test_a_ledger_refreshed_from_narrow_rows_equals_one_from_whole_rows(spark, folder, tmp_path, monkeypatch):
+    def odd(lines):
+        unknown = {c: F.when(F.col("l_linenumber") != 2, F.col(c)) for c in ("l_partkey", "l_discount")}
+        orphans = lines.where("l_orderkey % 9 = 0").withColumn("l_orderkey", F.lit(None).cast("long"))
+        return with_repeats(lines.withColumns(unknown)).unionByName(orphans)
+
+    target = job_folder(spark, folder, tmp_path, odd)
+    narrow = rows_of(registry.refreshed_ledger(spark, target))
+    monkeypatch.setattr(etl, "keys_are_unique", lambda *_: False)
+    assert narrow == rows_of(registry.refreshed_ledger(spark, target)) != []
